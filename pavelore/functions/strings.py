@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def strip(text: Column) -> Column:
@@ -52,7 +53,7 @@ def length_bound(a: Column, b: Column) -> Column:
     ).otherwise(F.lit(0.0))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio of two texts as a whole number from 0 to 100."""
     from difflib import SequenceMatcher

@@ -55,12 +55,16 @@ def top_per_group(
     return df.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
 
 
-def frequency_index(df: DataFrame, column: str, index: str | None = None) -> DataFrame:
-    """Code per distinct value: 0 for the most frequent, ties in alphabetical order."""
+def frequency_index(
+    df: DataFrame, column: str, index: str | None = None, weight: str | None = None
+) -> DataFrame:
+    """Code per distinct value: 0 for the most frequent, ties in alphabetical order.
+
+    ``weight`` names a column of row counts where the rows were counted before.
+    """
     index = index or f"{column}_indexed"
-    sizes = df.filter(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("frequency")
-    )
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    sizes = df.filter(F.col(column).isNotNull()).groupBy(column).agg(size.alias("frequency"))
     ranked = global_rank(sizes, [F.desc("frequency"), F.asc(column)], "_rank")
     return ranked.select(
         column, "frequency", (F.col("_rank") - 1).cast("double").alias(index)

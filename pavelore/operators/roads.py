@@ -31,9 +31,25 @@ def join_roads(accidents: DataFrame, roads: DataFrame, unique: bool = False) ->
     return balanced_join(accidents, roads, ROAD_KEY)
 
 
+def way_attributes(ways: DataFrame) -> DataFrame:
+    """way_id, highway and name from a way's id and tag map; other columns stay."""
+    rest = [c for c in ways.columns if c not in ("id", "tags")]
+    return ways.select(
+        F.col("id").alias("way_id"),
+        F.col("tags")["highway"].alias("highway"),
+        F.col("tags")["name"].alias("name"),
+        *rest,
+    )
+
+
 def way_nodes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One row per (way, node) in way order: way_id, pos, node_id, lat, lon."""
-    steps = ways.select("way_id", F.posexplode("nodes").alias("pos", "node_id"))
+    """One row per (way, node) in way order: way_id, pos, node_id, lat, lon.
+
+    A node a closed way lists twice counts once, at its first place.
+    """
+    steps = ways.select(
+        "way_id", F.posexplode(F.array_distinct("nodes")).alias("pos", "node_id")
+    )
     return balanced_join(
         steps, nodes.select("node_id", "lat", "lon"), ["node_id"], spread_by=["way_id", "pos"]
     ).select("way_id", "pos", "node_id", "lat", "lon")

@@ -34,20 +34,25 @@ def scenario_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def scenario_events(events: DataFrame, dt: Column | None = None) -> DataFrame:
-    """Road events under all weather settings, five weather fields and the time replaced."""
+def replaced_weather(dt: Column | None = None) -> Column:
+    """``weather_info`` with the setting's five fields, and the time where one is given."""
     info = F.col("weather_info")
-    dt = info.getField("dt") if dt is None else dt
     main = (
         info.getField("main")
         .withField("humidity", F.col("humidity").cast("double"))
         .withField("temp", F.col("temp").cast("double"))
         .withField("pressure", F.col("pressure").cast("double"))
     )
+    wind = info.getField("wind").withField("speed", F.col("speed").cast("double"))
     replaced = (
         info.withField("main", main)
-        .withField("wind", info.getField("wind").withField("speed", F.col("speed").cast("double")))
+        .withField("wind", wind)
         .withField("weather", set_first_icon(info.getField("weather"), F.col("icon")))
-        .withField("dt", dt.cast("long"))
     )
-    return scenario_rows(events).withColumn("weather_info", replaced).select(*events.columns)
+    return replaced if dt is None else replaced.withField("dt", dt.cast("long"))
+
+
+def scenario_events(events: DataFrame, dt: Column | None = None) -> DataFrame:
+    """Road events under all weather settings."""
+    settings = scenario_rows(events)
+    return settings.withColumn("weather_info", replaced_weather(dt)).select(*events.columns)
