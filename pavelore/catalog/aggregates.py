@@ -109,7 +109,7 @@ def lambda_sql(pairs: str) -> str:
             f"""grid{k} AS ({grid}),
     fit{k} AS (SELECT lam, (lam - 1) * sum(w * ln(x)) - sum(w) / 2e0 * ln(
         sum(w * y * y) / sum(w) - pow(sum(w * y) / sum(w), 2)) AS llf FROM (
-        SELECT lam, w, x, CASE WHEN abs(lam) < 1e-9 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END AS y
+        SELECT lam, w, x, CASE WHEN abs(lam) < 1e-9 THEN ln(x) WHEN abs(lam) < 5e-1 THEN (pow(x, lam) - 1) / lam ELSE pow(x, lam) / lam END AS y
         FROM {pairs}, grid{k}) GROUP BY lam)"""
         )
         step = step / 50

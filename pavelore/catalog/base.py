@@ -106,10 +106,10 @@ STANDINS: dict[str, tuple[str, dict[str, str | tuple[str, str]]]] = {
             "County": f"'County ' || {_div('l_partkey', 400)}",
             "State": "'State ' || (l_partkey % 2)",
             "Temperature(F)": "CASE WHEN l_suppkey % 29 = 3 THEN NULL"
-            " ELSE floor(l_quantity / 10) * 9e0 + 14.9e0 END",
-            "Humidity(%)": "floor(l_discount * 25) * 20e0 + 15.5e0",
-            "Pressure(in)": "floor(l_tax * 25) * 5e-1 + 29e0",
-            "Wind_Speed(mph)": "(l_linenumber % 3) * 3.5e0",
+            " ELSE floor(l_quantity / 17) * 9e0 + 14.9e0 END",
+            "Humidity(%)": "floor(l_discount * 12) * 20e0 + 15.5e0",
+            "Pressure(in)": "floor(l_tax * 15) * 5e-1 + 29e0",
+            "Wind_Speed(mph)": "(l_linenumber % 2) * 3.5e0",
             "Weather_Condition": "CASE l_suppkey % 10 WHEN 0 THEN 'Clear' WHEN 1 THEN 'Fair'"
             " WHEN 2 THEN 'Overcast' WHEN 3 THEN 'Rain and Sleet' WHEN 4 THEN 'Light Rain'"
             " WHEN 5 THEN 'T-Storm' WHEN 6 THEN 'Heavy Snow' WHEN 7 THEN 'Haze'"

@@ -150,12 +150,13 @@ def boxcox_apply(spark, sf):
 @query(
     "bool_to_int",
     f"""WITH {cte('accidents')}
-    SELECT {', '.join(f'CAST("{f}" AS INTEGER) AS "{f}"' for f in FLAGS)}, count(*) AS n
+    SELECT {', '.join(f'coalesce(CAST("{f}" AS INTEGER), -1) AS "{f}"' for f in FLAGS)}, count(*) AS n
     FROM accidents GROUP BY ALL""",
 )
 def bool_to_int(spark, sf):
+    """Flag combinations; a flag that stays null is shown as -1."""
     flags = standin(spark, sf, "accidents").select(
-        *[conditions.bool_to_int(F.col(f)).alias(f) for f in FLAGS]
+        *[F.coalesce(conditions.bool_to_int(F.col(f)), F.lit(-1)).alias(f) for f in FLAGS]
     )
     return flags.groupBy(*FLAGS).agg(F.count(F.lit(1)).alias("n"))
 
@@ -223,7 +224,7 @@ def epoch_to_ts(spark, sf):
 
 @query(
     "parse_iso_or_epoch",
-    """SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL
+    """SELECT event_id, CASE WHEN event_id % 5 = 4 THEN -1
       ELSE CAST(floor(epoch_us(ts) / 1000) AS BIGINT) END AS millis FROM events""",
 )
 def parse_iso_or_epoch(spark, sf):
@@ -235,7 +236,8 @@ def parse_iso_or_epoch(spark, sf):
         .otherwise(number)
     )
     return load(spark, sf, "events").select(
-        "event_id", F.unix_millis(times.parse_iso_or_epoch(text)).alias("millis")
+        "event_id",
+        F.coalesce(F.unix_millis(times.parse_iso_or_epoch(text)), F.lit(-1)).alias("millis"),
     )
 
 
@@ -314,7 +316,7 @@ def proj_location(spark, sf):
     "convert_types",
     f"""WITH {cte('points')}
     SELECT event_id,
-      CASE WHEN event_id % 9 = 0 THEN NULL ELSE CAST(trunc("Temperature_C") AS INTEGER) END AS "Temperature_C",
+      CASE WHEN event_id % 9 = 0 THEN -999 ELSE CAST(trunc("Temperature_C") AS INTEGER) END AS "Temperature_C",
       CAST(trunc("Humidity_%") AS INTEGER) AS "Humidity_%", "pressure_hPa", "wind_speed_meterSec",
       "Give_Way", "Crossing", "Traffic_Calming", "Traffic_Signal", "Railway", "Stop",
       "Amenity", "No_Exit", "Junction", lat,
@@ -322,7 +324,7 @@ def proj_location(spark, sf):
     FROM points""",
 )
 def convert_types(spark, sf):
-    """Text fields to numbers; unreadable texts become null."""
+    """Text fields to numbers; unreadable texts become null (a null temperature shows as -999)."""
     points = standin(spark, sf, "points")
     fields = [*point_steps.POINT_WHOLE_FIELDS, *point_steps.DECIMAL_FIELDS]
     texts = {c: F.col(f"`{c}`").cast("string") for c in fields}
@@ -330,9 +332,10 @@ def convert_types(spark, sf):
         texts["Temperature_C"]
     )
     texts["lon"] = F.when(F.col("event_id") % 8 == 0, "east").otherwise(texts["lon"])
-    return point_steps.convert_types(
+    converted = point_steps.convert_types(
         points.select("event_id", *[t.alias(c) for c, t in texts.items()])
     )
+    return converted.fillna({"Temperature_C": -999})
 
 
 CLEANED_SQL = f"""{weather_dim_sql()},

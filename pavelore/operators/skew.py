@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1 / 256  # a key with more than this share of all rows is hot: at most 256 keys
@@ -25,11 +25,25 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and 0 <= size <= limit
 
 
+def splits_hot_partitions(spark: SparkSession) -> bool:
+    """Whether adaptive execution cuts oversized join partitions by itself."""
+    on = [
+        spark.conf.get(f"spark.sql.adaptive.{name}", "true").lower() == "true"
+        for name in ("enabled", "skewJoin.enabled")
+    ]
+    return all(on)
+
+
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; no more than ``1/share`` rows."""
+    """Keys that hold more than ``share`` of all rows; no more than ``1/share`` rows.
+
+    The rows are counted once, combined on the map side; the keys are small enough for the
+    driver by definition.
+    """
     sizes = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    threshold = df.agg((F.count(F.lit(1)) * F.lit(share)).alias("_limit")).scalar()
-    return sizes.filter(F.col("_rows") > threshold).select(*on)
+    limit = df.agg((F.count(F.lit(1)) * F.lit(share)).alias("_limit")).scalar()
+    rows = sizes.filter(F.col("_rows") > limit).select(*on).collect()
+    return df.sparkSession.createDataFrame(rows, df.select(*on).schema)
 
 
 def balanced_join(
@@ -38,21 +52,40 @@ def balanced_join(
     on: list[str],
     how: str = "inner",
     spread_by: list[str | Column] | None = None,
-    share: float = HOT_SHARE,
-    pieces: int = SPREAD,
+    salt: bool | None = None,
 ) -> DataFrame:
     """Equi-join of a possibly skewed left side.
 
-    A right side below the broadcast threshold is broadcast. Otherwise the hot keys of the
-    left side are counted, their left rows are cut into ``pieces`` by a hash of
-    ``spread_by`` (default: the whole row) and only their right rows are repeated.
-    The hash depends on row content alone, so a recomputed task produces the same pieces.
+    A right side below the broadcast threshold is broadcast. Beyond it the join shuffles,
+    and a key with a large share of the rows is handled by many tasks: by adaptive
+    execution where the session has it on, else (or with ``salt=True``) by salting.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), on=on, how=how)
+    if salt is None:
+        if fits_broadcast(right):
+            return left.join(F.broadcast(right), on=on, how=how)
+        salt = not splits_hot_partitions(left.sparkSession)
+    if not salt:
+        return left.join(right, on=on, how=how)
+    return salted_join(left, right, on, how, spread_by)
+
 
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    spread_by: list[str | Column] | None = None,
+    share: float = HOT_SHARE,
+    pieces: int = SPREAD,
+) -> DataFrame:
+    """Equi-join that cuts the left rows of hot keys into pieces.
+
+    Pieces follow a hash of ``spread_by`` (default: the whole row); only the right rows of
+    hot keys are repeated per piece. The hash depends on row content alone, so a task that
+    runs again produces the same pieces.
+    """
     hot = F.broadcast(hot_keys(left.select(*on), on, share).withColumn("_hot", F.lit(True)))
     no_key = F.lit(False)
     for key in on:

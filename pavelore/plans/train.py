@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..fixed import MAX_TRAINING_CONDITIONS
 from ..operators import cleaning, labels, model
 from ..schemas import ACCIDENTS, ROADS
-from ..session import materialize
 from ..sources.files import read_csv
 
 
@@ -22,7 +21,7 @@ def training_table(
 ) -> tuple[DataFrame, float]:
     """The ``n`` most frequent conditions with ``count_bc`` and label, and the exponent."""
     counts = labels.count_joined_conditions(cleaning.clean_accidents(accidents), roads)
-    return labels.risk_label(materialize(labels.most_frequent(counts, n)))
+    return labels.risk_label(labels.most_frequent(counts, n))
 
 
 def train_and_save(
