@@ -96,6 +96,33 @@ _tags_duck = "CASE p_size % 10 " + " ".join(
     for i, tags in _poi_tags.items()
 ) + " END"
 
+def _documents(key: str, other: str, highway: str, dt: str) -> dict[str, tuple[str, str]]:
+    points = f"filter(sequence(0, 3), i -> i < {key} % 4)"
+    columns = {
+        "way_id": key,
+        "highway": highway,
+        "name": f"'Road ' || {other}",
+        "lista_coppie": f"transform({points}, i -> array(37e0 + i, 15e0 + i))",
+        "nodes_info": f"transform({points}, i -> named_struct("
+        f"'Crossing', CAST(({key} + i) % 2 AS INT),"
+        f"'Give_Way', CAST(({key} + i) % 3 AS INT) % 2,"
+        f"'Railway', CAST(({key} + i) % 5 AS INT) % 2,"
+        "'Stop', 0, 'Traffic_Calming', 1, 'Traffic_Signal', CAST(i AS INT) % 2,"
+        f"'Amenity', CAST({other} % 2 AS INT), 'No_Exit', 0,"
+        f"'Junction', CAST({other} % 3 AS INT) % 2,"
+        "'lat', 37e0 + i, 'lon', 15e0 + i))",
+        "weather_info": f"named_struct('main', named_struct('temp', {key} % 40 - 10 + 7e-1,"
+        f" 'humidity', CAST({other} % 101 AS DOUBLE),"
+        f" 'pressure', 1000e0 + ({key} % 300) / 1e1),"
+        f" 'wind', named_struct('speed', ({other} % 90) / 1e1),"
+        f" 'weather', CASE WHEN {key} % 13 = 0 THEN NULL WHEN {key} % 17 = 0"
+        " THEN CAST(array() AS ARRAY<STRUCT<icon: STRING>>) ELSE"
+        f" array(named_struct('icon', {icon_text(f'{key} % 11', other)})) END,"
+        f" 'dt', {dt})",
+    }
+    return {name: (expression, "NULL") for name, expression in columns.items()}
+
+
 STANDINS: dict[str, tuple[str, dict[str, str | tuple[str, str]]]] = {
     "accidents": (
         "lineitem",
@@ -226,41 +253,14 @@ STANDINS: dict[str, tuple[str, dict[str, str | tuple[str, str]]]] = {
             "ts": "ts",
         },
     ),
-    # one nested document per order; DuckDB twins rebuild the flat fields themselves
+    # one nested document per order or supplier; DuckDB twins rebuild the flat fields
     "documents_of_roads": (
         "orders",
-        {
-            "way_id": "o_orderkey",
-            "highway": "o_orderpriority",
-            "name": "'Road ' || o_custkey",
-            "lista_coppie": (
-                "transform(filter(sequence(0, 3), i -> i < o_orderkey % 4),"
-                " i -> array(37e0 + i, 15e0 + i))",
-                "NULL",
-            ),
-            "nodes_info": (
-                "transform(filter(sequence(0, 3), i -> i < o_orderkey % 4), i -> named_struct("
-                "'Crossing', CAST((o_orderkey + i) % 2 AS INT),"
-                "'Give_Way', CAST((o_orderkey + i) % 3 AS INT) % 2,"
-                "'Railway', CAST((o_orderkey + i) % 5 AS INT) % 2,"
-                "'Stop', 0, 'Traffic_Calming', 1, 'Traffic_Signal', CAST(i AS INT) % 2,"
-                "'Amenity', CAST(o_custkey % 2 AS INT), 'No_Exit', 0,"
-                "'Junction', CAST(o_custkey % 3 AS INT) % 2,"
-                "'lat', 37e0 + i, 'lon', 15e0 + i))",
-                "NULL",
-            ),
-            "weather_info": (
-                "named_struct('main', named_struct('temp', o_orderkey % 40 - 10 + 7e-1,"
-                " 'humidity', CAST(o_custkey % 101 AS DOUBLE),"
-                " 'pressure', 1000e0 + (o_orderkey % 300) / 1e1),"
-                " 'wind', named_struct('speed', (o_custkey % 90) / 1e1),"
-                " 'weather', CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0"
-                " THEN CAST(array() AS ARRAY<STRUCT<icon: STRING>>) ELSE"
-                f" array(named_struct('icon', {icon_text('o_orderkey % 11', 'o_custkey')})) END,"
-                " 'dt', unix_seconds(CAST(o_orderdate AS TIMESTAMP)))",
-                "NULL",
-            ),
-        },
+        _documents("o_orderkey", "o_custkey", "o_orderpriority", "unix_seconds(CAST(o_orderdate AS TIMESTAMP))"),
+    ),
+    "documents_of_suppliers": (
+        "supplier",
+        _documents("s_suppkey", "s_nationkey", "s_name", "s_suppkey * 1000"),
     ),
 }
 

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import relational, roads, scenario
-from ..sources.files import read_address_lines  # noqa: F401
 from ..functions import strings
+from ..operators import relational, roads, scenario
 from .base import cte, icon_text, load, query, standin
 
 _joined = 'a."Street", a."City", a."County", a."State", "Temperature(F)", "Humidity(%)"'
@@ -183,36 +182,29 @@ def scenario_cross(spark, sf):
 
 @query(
     "scenario_events",
-    f"""WITH documents AS (SELECT *, o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 AS bare FROM orders)
+    f"""WITH documents AS (SELECT *, s_suppkey % 13 = 0 OR s_suppkey % 17 = 0 AS bare FROM supplier)
     SELECT g.icon, g.temp::DOUBLE AS temp, g.pressure::DOUBLE AS pressure,
       CAST(count(*) FILTER (NOT bare) AS BIGINT) AS with_icon, CAST(count(*) AS BIGINT) AS n,
-      CAST(sum(o_orderkey) AS BIGINT) AS way_sum,
+      CAST(sum(s_suppkey) AS BIGINT) AS way_sum,
       CAST(sum(humidity * speed) AS DOUBLE) AS mixed
     FROM documents, {_grid} AS g GROUP BY ALL""",
 )
 def scenario_events(spark, sf):
-    """Nested documents with the five weather fields replaced, summed per setting.
+    """Nested documents under every setting, summed per icon, temperature and pressure.
 
-    Documents without a weather list keep none, so their icon is read from the setting.
+    The first listed icon is overwritten; a document without a weather list keeps none.
     """
-    documents = standin(spark, sf, "documents_of_roads").select(
-        "way_id", "weather_info", F.size("weather_info.weather").alias("listed")
+    documents = standin(spark, sf, "documents_of_suppliers")
+    settings = scenario.scenario_rows(documents).withColumn(
+        "weather_info", scenario.replaced_weather()
     )
-    settings = scenario.scenario_rows(documents).select(
-        "way_id", "listed", "icon", "weather_info", "humidity", "temp", "speed", "pressure"
-    )
-    info = scenario.replaced_weather()
-    return (
-        settings.withColumn("weather_info", info)
-        .groupBy(
-            "icon",
-            F.col("weather_info.main.temp").alias("temp"),
-            F.col("weather_info.main.pressure").alias("pressure"),
-        )
-        .agg(
-            F.count(F.when(F.get("weather_info.weather", F.lit(0))["icon"] == F.col("icon"), 1)).alias("with_icon"),
-            F.count(F.lit(1)).alias("n"),
-            F.sum("way_id").alias("way_sum"),
-            F.sum(F.col("weather_info.main.humidity") * F.col("weather_info.wind.speed")).alias("mixed"),
-        )
+    listed = F.get("weather_info.weather", F.lit(0))["icon"]
+    main = "weather_info.main"
+    return settings.groupBy(
+        "icon", F.col(f"{main}.temp").alias("temp"), F.col(f"{main}.pressure").alias("pressure")
+    ).agg(
+        F.count(F.when(listed == F.col("icon"), 1)).alias("with_icon"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("way_id").alias("way_sum"),
+        F.sum(F.col(f"{main}.humidity") * F.col("weather_info.wind.speed")).alias("mixed"),
     )

@@ -6,11 +6,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..fixed import CATEGORIES, FEATURES, LABEL
-from ..operators import cleaning, labels, model
+from ..fixed import CATEGORIES, CONDITIONS, FEATURES, LABEL
+from ..operators import cleaning, model
 from ..plans.train import training_table
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from .base import cte, query, standin
+from .aggregates import condition_counts
 from .scalars import CLEANED_SQL
 
 _trained: dict = {}
@@ -21,6 +22,7 @@ def trained(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
         table, _ = training_table(standin(spark, sf, "accidents"), standin(spark, sf, "roads"))
+        table = materialize(table)
         _trained[key] = (table, model.train(table))
     return _trained[key]
 
@@ -67,13 +69,10 @@ def ml_train(spark, sf):
 
 @query("ml_score")
 def ml_score(spark, sf):
-    """Score every cleaned accident with the fitted model."""
+    """Score every condition of the accidents, also the rare ones, with the fitted model."""
     _, fitted = trained(spark, sf)
-    accidents = cleaning.clean_accidents(standin(spark, sf, "accidents"))
-    from ..operators.roads import join_roads
-
-    rows = join_roads(accidents, standin(spark, sf, "roads"))
-    return fitted.transform(rows).select("Street", "highway", "Weather_Condition", "prediction")
+    scored = fitted.transform(condition_counts(spark, sf))
+    return scored.select(*[F.col(f"`{c}`") for c in CONDITIONS], "count", "prediction")
 
 
 @query("ml_evaluate")

@@ -447,7 +447,7 @@ def point_messages(spark, sf):
 )
 def json_decode(spark, sf):
     """Message bytes to typed rows; broken messages are routed away first."""
-    return scoring.decode(scoring.readable(point_messages(spark, sf)))
+    return scoring.decode_readable(point_messages(spark, sf))
 
 
 @query(

@@ -95,7 +95,7 @@ def stream_messages(spark, sf):
     folder = scratch_path(spark, "messages")
     as_messages(standin(spark, sf, "points")).write.text(folder)
     messages = read_messages(spark, "text", folder)
-    derived = scoring.derive_conditions(scoring.decode(scoring.readable(messages)))
+    derived = scoring.derive_conditions(scoring.decode_readable(messages))
     return _run(
         derived.select("way_id", "name", "Temperature(C)", "Pressure(in)", "Sunrise_Sunset", "lat", "lon"),
         "derived",

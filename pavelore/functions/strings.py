@@ -42,7 +42,7 @@ def token_sort(text: Column) -> Column:
     """Drop non-ASCII characters, keep word characters, lower-case, sort the words."""
     ascii_only = F.regexp_replace(text, r"[^\x00-\x7F]", "")
     words = F.trim(F.lower(F.regexp_replace(ascii_only, r"[^A-Za-z0-9_]+", " ")))
-    return F.array_join(F.array_sort(F.split(words, " ")), " ")
+    return F.array_join(F.sort_array(F.split(words, " ")), " ")
 
 
 def length_bound(a: Column, b: Column) -> Column:

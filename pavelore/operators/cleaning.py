@@ -22,7 +22,8 @@ def weather_dimension(spark: SparkSession) -> DataFrame:
     for name, texts in WEATHER_CLASSES.items():
         for text in texts:
             rows.setdefault(text, name)
-    return spark.createDataFrame(list(rows.items()), "raw string, class string")
+    entries = F.create_map(*[F.lit(text) for pair in rows.items() for text in pair])
+    return spark.range(1).select(F.explode(entries).alias("raw", "class"))
 
 
 def classify(

@@ -13,6 +13,7 @@ from ..functions.times import version_stamp
 
 VECTOR = "predictors"
 DEFAULT_BINS = 32
+ROWS_PER_TASK = 10_000
 
 
 def feature_stages(on_invalid: str = "error") -> list:
@@ -50,8 +51,16 @@ def train(
         maxBins=bins_needed(df),
         featureSubsetStrategy="all",
         seed=seed,
+        maxMemoryInMB=1024,
+        cacheNodeIds=True,
     )
-    return Pipeline(stages=[*feature_stages(on_invalid), forest]).fit(df)
+    return Pipeline(stages=[*feature_stages(on_invalid), forest]).fit(_spread(df))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Enough partitions for the cores, none of them tiny: every tree level is a pass."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(cores, df.count() // ROWS_PER_TASK)))
 
 
 def rmse(label: str = LABEL, prediction: str = "prediction") -> Column:

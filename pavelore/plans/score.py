@@ -31,7 +31,7 @@ def scored_messages(
     """
     if on_invalid not in ON_INVALID:
         raise ValueError(f"on_invalid must be one of {ON_INVALID}")
-    points = scoring.derive_conditions(scoring.decode(scoring.readable(messages)), mode)
+    points = scoring.derive_conditions(scoring.decode_readable(messages), mode)
     if on_invalid == "reject":
         points = scoring.scoreable(points, model)
     return check_contract(scoring.shape_scored(model.transform(points)), SCORED)
@@ -39,7 +39,7 @@ def scored_messages(
 
 def rejected_points(messages: DataFrame, model: PipelineModel, mode: str = "truncate") -> DataFrame:
     """Readable rows the model cannot score."""
-    points = scoring.derive_conditions(scoring.decode(scoring.readable(messages)), mode)
+    points = scoring.derive_conditions(scoring.decode_readable(messages), mode)
     return scoring.unscoreable(points, model)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,31 +18,39 @@ from ..schemas import POINT_EVENT, POINT_WHOLE_FIELDS, SCORED_COLUMNS
 _BROKEN = "_broken"
 
 
-def _read(messages: DataFrame) -> DataFrame:
-    text = decode_value(F.col("value"))
+def _parsed(messages: DataFrame) -> DataFrame:
+    """Message text and its fields. Every message is parsed once, by a generator, so no
+    filter on the fields can repeat the parsing below it."""
     schema = T.StructType(
         [*relaxed(POINT_EVENT, POINT_WHOLE_FIELDS).fields, T.StructField(_BROKEN, T.StringType())]
     )
-    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
-    return messages.select(text.alias("value"), parsed.alias("data"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    texts = messages.select(decode_value(F.col("value")).alias("value"))
+    return texts.select("value", F.inline(F.array(F.from_json("value", schema, options))))
+
+
+def _points(parsed: DataFrame) -> DataFrame:
+    fields = {c: whole_number(F.col(f"`{c}`")) for c in POINT_WHOLE_FIELDS}
+    return parsed.drop("value", _BROKEN).withColumns(fields)
+
+
+def _unreadable() -> Column:
+    return F.col("value").isNull() | F.col(_BROKEN).isNotNull()
 
 
 def decode(messages: DataFrame) -> DataFrame:
     """Messages as typed point rows; an unreadable message gives a row of nulls."""
-    rows = _read(messages).select("data.*").drop(_BROKEN)
-    return rows.withColumns({c: whole_number(F.col(f"`{c}`")) for c in POINT_WHOLE_FIELDS})
+    return _points(_parsed(messages))
 
 
-def broken(messages: DataFrame) -> DataFrame:
-    """Messages that are null or not a readable document."""
-    unreadable = F.col("value").isNull() | F.col("data").isNull() | F.col(f"data.{_BROKEN}").isNotNull()
-    return _read(messages).filter(unreadable).select("value")
+def decode_readable(messages: DataFrame) -> DataFrame:
+    """Messages as typed point rows, without the broken ones."""
+    return _points(_parsed(messages).filter(~_unreadable()))
 
 
-def readable(messages: DataFrame) -> DataFrame:
-    """Messages without the broken ones."""
-    fine = F.col("value").isNotNull() & F.col("data").isNotNull() & F.col(f"data.{_BROKEN}").isNull()
-    return _read(messages).filter(fine).select("value")
+def broken(messages: DataFrame) -> DataFrame:
+    """Messages that are null or not a readable document."""
+    return _parsed(messages).filter(_unreadable()).select("value")
 
 
 def derive_conditions(points: DataFrame, mode: str = "truncate") -> DataFrame:
@@ -86,7 +94,7 @@ def unscoreable(points: DataFrame, model: PipelineModel) -> DataFrame:
     return points.filter(~_accepted(model))
 
 
-def _accepted(model: PipelineModel):
+def _accepted(model: PipelineModel) -> Column:
     complete = known_categories(model)
     for column in model.stages[1].getInputCols():
         if not column.endswith("_indexed"):
