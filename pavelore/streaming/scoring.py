@@ -35,7 +35,8 @@ def _points(parsed: DataFrame) -> DataFrame:
 
 
 def _unreadable() -> Column:
-    return F.col("value").isNull() | F.col(_BROKEN).isNotNull()
+    no_document = F.coalesce(F.trim("value").isin("", "null"), F.lit(True))
+    return no_document | F.col(_BROKEN).isNotNull()
 
 
 def decode(messages: DataFrame) -> DataFrame:
