@@ -1,0 +1,203 @@
+"""Files, messages and streaming steps."""
+
+import json
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pavelore.fixed import FLAGS, SCENARIO_ICONS
+from pavelore.schemas import ACCIDENTS, POINT_EVENT, POINT_FLAG_ORDER, ROAD_EVENT, SCORED
+from pavelore.session import scratch_path, shared_folder
+from pavelore.sources import files, streams
+from pavelore.streaming import points, scoring, weather
+from rows import accidents
+
+ROOT = Path(__file__).resolve().parent.parent
+
+
+def listed(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_shared_folder_is_the_session_setting(spark, tmp_path):
+    assert scratch_path(spark, "x").startswith(f"{shared_folder(spark)}/pavelore/x-")
+    script = f"""
+from pyspark.sql import SparkSession
+from pavelore.session import materialize, scratch_path
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", "{tmp_path}").getOrCreate())
+print(scratch_path(spark, "x"))
+materialize(spark.range(5)).count()
+print(spark.sparkContext.getCheckpointDir())
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=ROOT, capture_output=True, text=True, timeout=120, check=True)
+    scratch, checkpoints = done.stdout.split()
+    assert scratch.startswith(f"{tmp_path}/pavelore/x-") and str(tmp_path) in checkpoints
+
+
+def test_csv_folder_round_trip(spark):
+    df = accidents(spark, {}, {"Street": "Elm, \"North\" St"}, {"Weather_Condition": None})
+    path = scratch_path(spark, "csv")
+    files.write_csv(df.repartition(3), path)
+    files.write_csv(df.repartition(2), path)  # overwrite
+    back = files.read_csv(spark, path, ACCIDENTS)
+    assert back.exceptAll(df).count() == 0 and back.count() == 3
+
+
+def test_address_lines(spark):
+    path = scratch_path(spark, "lines")
+    lines = [("W Iowa Ave # Sunnyvale California",), ("  Via Roma  #  Catania ",), ("no mark",)]
+    spark.createDataFrame(lines, "value string").write.text(path)
+    good, bad = files.read_address_lines(spark, path)
+    assert listed(good.select("street", "address")) == [
+        ("Via Roma", "Via Roma, Catania"), ("W Iowa Ave", "W Iowa Ave, Sunnyvale California")]
+    assert listed(bad) == [("no mark", "no # in line")]
+
+
+def test_contract_and_typed_table(spark):
+    location = scratch_path(spark, "table")
+    name = "t_" + location.rsplit("-", 1)[1]
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("at", T.TimestampType())])
+    assert files.ensure_table(spark, name, schema, location) is True
+    assert files.ensure_table(spark, name, schema, location) is False
+    rows = spark.range(2).select(F.lit(0).cast("timestamp").alias("at"), F.col("id").alias("a"))
+    files.append_table(rows, name)
+    files.append_table(rows, name)
+    assert spark.table(name).count() == 4 and spark.table(name).columns == ["a", "at"]
+    with pytest.raises(ValueError, match="missing column 'at'"):
+        files.append_table(rows.drop("at"), name)
+    with pytest.raises(ValueError, match="'a' is int, not bigint"):
+        files.append_table(rows.withColumn("a", F.lit(1)), name)
+
+
+def test_unknown_stream_kind(spark):
+    with pytest.raises(ValueError):
+        streams.read_messages(spark, "carrier pigeon", "x")
+
+
+NODE = {f: 0 for f in POINT_FLAG_ORDER} | {"Stop": 1, "lat": 37.0, "lon": 15.0}
+
+
+def document(**changes):
+    base = {
+        "way_id": 1, "highway": "x", "name": "n", "nodes_info": [NODE, {**NODE, "lat": 38.0}],
+        "weather_info": {"main": {"temp": 12.7, "humidity": 40, "pressure": 1010},
+                         "wind": {"speed": 8}, "weather": [{"icon": "10d"}, {"icon": "01d"}],
+                         "dt": 1721922246},
+    }
+    return json.dumps({**base, **changes})
+
+
+def flat(spark, *documents):
+    path = scratch_path(spark, "docs")
+    spark.createDataFrame([(d,) for d in documents], "value string").write.text(path)
+    return points.flatten_documents(files.read_jsonl(spark, path, ROAD_EVENT))
+
+
+def test_one_row_per_point(spark):
+    got = flat(spark, document(), document(way_id=2, nodes_info=[]), document(way_id=3, nodes_info=None))
+    rows = got.orderBy("lat").collect()
+    assert [(r["way_id"], r["lat"]) for r in rows] == [(1, 37.0), (1, 38.0)]
+    first = rows[0].asDict()
+    assert (first["Temperature_C"], first["Humidity_%"], first["weather_icon"], first["Stop"]) == (12, 40, "10d", 1)
+    assert first["weather_timestamp_iso8601"] == "2024-07-25T15:44:06.000Z"
+
+
+def test_missing_nested_fields_become_null_not_zero(spark):
+    row = flat(spark, document(weather_info={"main": {}}, nodes_info=[{"lat": 1.0}])).first().asDict()
+    assert [row[c] for c in ("Temperature_C", "pressure_hPa", "weather_icon", "Stop", "lon",
+                             "weather_timestamp_iso8601")] == [None] * 6
+    assert row["lat"] == 1.0
+
+
+def point(**changes):
+    base = {"way_id": 1, "highway": "x", "name": "n", "Temperature_C": 20, "Humidity_%": 40,
+            "pressure_hPa": 1010.0, "wind_speed_meterSec": 8.0, "weather_icon": "01d",
+            **{f: 0 for f in FLAGS}, "lat": 1.0, "lon": 2.0,
+            "weather_timestamp_iso8601": "2024-07-25T15:44:06.000Z"}
+    return json.dumps({**base, **changes})
+
+
+def messages(spark, *values):
+    return spark.createDataFrame([(None if v is None else v.encode(),) for v in values], "value binary")
+
+
+def test_broken_messages(spark):
+    bad = [None, "", "null", "{\"way_id\": 1, \"hi", "[1", "7", point(way_id="one")]
+    all_of_them = messages(spark, point(), "{}", *bad)
+    assert scoring.decode_readable(all_of_them).count() == 2
+    assert sorted(r[0] or "" for r in scoring.broken(all_of_them).collect()) == sorted(b or "" for b in bad)
+
+
+def test_a_broken_message_is_a_row_of_nulls_and_a_night_of_unknown_weather(spark):
+    decoded = scoring.decode(messages(spark, None, "{\"way_id\": 1, \"hi"))
+    assert decoded.columns == [f.name for f in POINT_EVENT.fields]
+    rows = scoring.derive_conditions(decoded).select("highway", "Sunrise_Sunset", "Weather_Condition")
+    assert listed(rows) == [(None, "Night", "unknown")] * 2
+
+
+def test_fraction_in_a_whole_field_is_cut(spark):
+    row = scoring.decode(messages(spark, point(Temperature_C=1.5, Stop=1.0))).first()
+    assert (row["Temperature_C"], row["Stop"]) == (1, 1)
+
+
+def test_messages_are_parsed_once(spark):
+    plan = scoring.decode_readable(messages(spark, point()))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_json") + plan.lower().count("jsontostructs") == 1
+
+
+def test_derive_all_icons(spark):
+    df = scoring.derive_conditions(scoring.decode(messages(spark, *[point(weather_icon=i) for i in SCENARIO_ICONS])))
+    got = df.groupBy("Weather_Condition", "Sunrise_Sunset").count().collect()
+    assert len(got) == 18 and "weather_icon" not in df.columns
+
+
+def test_scored_shape(spark):
+    df = scoring.derive_conditions(scoring.decode(messages(spark, point()))).withColumn("prediction", F.lit(0.5))
+    shaped = scoring.shape_scored(df)
+    assert files.check_contract(shaped, SCORED).columns == shaped.columns and len(shaped.columns) == 21
+    assert scoring.with_event_date(shaped).select(F.col("event_date").cast("string")).first()[0] == "2024-07-25"
+
+
+def test_message_round_trip(spark):
+    df = scoring.decode(messages(spark, point(name="Via \"Étna\"")))
+    again = scoring.decode(streams.as_messages(df))
+    assert listed(again) == listed(df)
+
+
+def run(df, path):
+    streams.append_stream(df, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/out")
+
+
+def test_stream_equals_batch_and_restart_adds_nothing(spark):
+    folder, path = scratch_path(spark, "in"), scratch_path(spark, "run")
+    batch = lambda: points.flatten_documents(files.read_jsonl(spark, folder, ROAD_EVENT))
+    stream = lambda: points.flatten_documents(streams.read_documents(spark, folder, ROAD_EVENT))
+    first = spark.createDataFrame([(document(way_id=i),) for i in range(3)], "value string")
+    first.write.mode("append").text(folder)
+    assert listed(run(stream(), path)) == listed(batch())
+    assert run(stream(), path).count() == 6
+    first.write.mode("append").text(folder)
+    assert listed(run(stream(), path)) == listed(batch())
+    assert run(stream(), path).count() == 12
+
+
+def test_weather_updates_reach_every_road_once(spark):
+    info = ROAD_EVENT["weather_info"].dataType.simpleString()
+    road = spark.range(200).select(
+        F.col("id").alias("way_id"), F.when(F.col("id") < 150, 1).otherwise(F.col("id")).cast("long").alias("place"))
+    updates = scratch_path(spark, "updates")
+    make = lambda place, dt, icon: json.dumps(
+        {"place": place, "weather_info": {"dt": dt, "weather": [{"icon": icon}] if icon else []}})
+    lines = [make(1, 10, "01d"), make(1, 20, "02d"), make(160, 10, "03d"), make(170, 10, None), make(999, 1, "01d")]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(updates)
+    schema = T.StructType.fromDDL(f"place long, weather_info {info}")
+    fresh = weather.refresh(streams.read_documents(spark, updates, schema), road, ["place"])
+    got = run(fresh.select("way_id", "weather_info.dt"), scratch_path(spark, "fresh"))
+    assert listed(got) == sorted([(i, d) for i in range(150) for d in (10, 20)] + [(160, 10)])
