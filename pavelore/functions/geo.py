@@ -58,12 +58,13 @@ def cell_at(lat: Column, lon: Column, cell_m: float, level: int = 0) -> Column:
     return F.struct(_row(lat, cell_m, level).alias("row"), column.alias("column"))
 
 
-def cells_touched(lat: Column, lon: Column, radius_m: float, cell_m: float) -> Column:
+def cells_touched(lat: Column, lon: Column, radius_m: Column, cell_m: float) -> Column:
     """Array of the level-0 cells a circle may touch, each once."""
-    reach = row_height(radius_m)
+    angle = radius_m * F.lit(_MARGIN / EARTH_RADIUS_M)
+    reach = F.degrees(angle)
     rows = F.sequence(_row(lat - reach, cell_m, 0), _row(lat + reach, cell_m, 0))
     # Largest longitude offset on the circle; the whole row where the circle holds a pole.
-    tangent = F.sin(F.lit(radius_m * _MARGIN / EARTH_RADIUS_M)) / F.cos(F.radians(lat))
+    tangent = F.sin(angle) / F.cos(F.radians(lat))
     polar = (F.abs(lat) + reach >= 90) | (tangent >= 1)
     span = F.when(polar, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), tangent))) * _MARGIN

@@ -149,7 +149,7 @@ def test_cells_touched_hold_every_place_of_the_circle(spark, lat):
             lon = (179.9999 + math.degrees(dl) + 180) % 360 - 180
             rows.append((math.degrees(p2), lon))
     df = spark.createDataFrame(rows, "lat double, lon double")
-    touched = geo.cells_touched(F.lit(lat), F.lit(179.9999), radius, radius)
+    touched = geo.cells_touched(F.lit(lat), F.lit(179.9999), F.lit(radius), radius)
     cell = geo.cell_at(F.col("lat"), F.col("lon"), radius)
     got = df.select(F.array_contains(touched, cell).alias("in"),
                     (F.size(F.array_distinct(touched)) == F.size(touched)).alias("once")).distinct().collect()

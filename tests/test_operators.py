@@ -2,6 +2,7 @@
 
 import math
 import random
+from difflib import SequenceMatcher
 
 import numpy as np
 import pytest
@@ -276,9 +277,9 @@ def test_crowded_cell_is_cut(spark, monkeypatch):
     tested = []
     original = nearby._tested
 
-    def spy(here, todo, radius):
-        tested.append(here.join(todo, "cell").count())
-        return original(here, todo, radius)
+    def spy(here, todo, on):
+        tested.append(here.join(todo, on).count())
+        return original(here, todo, on)
 
     monkeypatch.setattr(nearby, "_tested", spy)
     rng = random.Random(6)
@@ -331,13 +332,33 @@ def test_long_way_continues_in_parts(spark):
 
 
 def test_best_name_keeps_all_its_ways_and_no_tied_other_name(spark):
-    candidates = spark.createDataFrame(
-        [("West Iowa Avenue", 0.0, 0.0, i, n) for i, n in
-         [(1, "iowa avenue west"), (2, "West Iowa Avenue"), (3, "West Iowa Avenue"), (4, "Harbour Road")]],
-        "street string, lat double, lon double, way_id long, name string")
-    best = matching.best_names(candidates)
-    assert listed(best.select("way_id", "name", "score")) == [
-        (2, "West Iowa Avenue", 100), (3, "West Iowa Avenue", 100)]
+    rows = [(1, "iowa avenue west", 99), (2, "West Iowa Avenue", 100), (3, "West Iowa Avenue", 100),
+            (4, "iowa avenue west ", 100)]
+    scored = spark.createDataFrame(
+        [("W", 0.0, 0.0, n, s, i) for i, n, s in rows],
+        "street string, lat double, lon double, name string, score int, way_id long")
+    assert listed(matching.best_names(scored).select("way_id", "name")) == [
+        (2, "West Iowa Avenue"), (3, "West Iowa Avenue")]
+
+
+def test_candidates_equal_brute_force(spark):
+    tables = road_tables(spark)
+    located = roads.way_nodes(tables.ways, tables.nodes)
+    places = [("W Iowa Ave", 37.0, 15.0), ("W Iowa Ave", 37.0, 15.0), ("Iowa Avenue W", north(-350), 15.0),
+              ("East Iowa", north(-350), 15.0), ("Iowa Avenue East", north(300), 15.0)]
+    df = spark.createDataFrame(places, "street string, lat double, lon double")
+    words = lambda text: " ".join(sorted(text.lower().split()))
+    names = {r["way_id"]: r["name"] for r in tables.ways.collect() if r["name"]}
+    marks = [(r["lat"], r["lon"], r["way_id"]) for r in located.collect() if r["way_id"] in names]
+    for min_score in (0, 70):
+        want = set()
+        for street, lat, lon in places:
+            for _, _, way in brute([(lat, lon)], marks, 600.0):
+                score = round(100 * SequenceMatcher(None, words(street), words(names[way])).ratio())
+                if score >= min_score:
+                    want.add((street, lat, lon, names[way], score, way))
+        got = matching.scored_candidates(df, tables.ways, located, min_score)
+        assert listed(got.select("street", "lat", "lon", "name", "score", "way_id")) == sorted(want)
 
 
 def test_names_below_70_are_left_out(spark):
@@ -348,13 +369,32 @@ def test_names_below_70_are_left_out(spark):
 
 
 def test_more_than_100_ways_of_the_best_name(spark):
-    rows = [("Main", 0.0, 0.0, i, "Main") for i in range(150)]
-    candidates = spark.createDataFrame(rows, "street string, lat double, lon double, way_id long, name string")
-    assert matching.best_names(candidates).count() == 150
-    scored = candidates.withColumn("score", F.lit(100))
+    rows = [("Main", 0.0, 0.0, "Main", 100, i) for i in range(150)]
+    scored = spark.createDataFrame(
+        rows, "street string, lat double, lon double, name string, score int, way_id long")
+    assert matching.best_names(scored).count() == 150
     assert matching.top_candidates(scored, ["street", "lat", "lon"]).count() == 100
 
 
+def test_radius_join_with_equal_columns_and_own_radii(spark):
+    rng = random.Random(9)
+    place = lambda: (37 + rng.uniform(0, 0.002), 15 + rng.uniform(0, 0.002), rng.choice("xy"))
+    points = [place() for _ in range(60)]
+    marks = [(*place(), rng.choice("ab"), rng.choice([30.0, 100.0])) for _ in range(60)]
+    for limit in (10**9, 20):
+        got = nearby.tags_near(
+            spark.createDataFrame(points, "lat double, lon double, kind string"),
+            spark.createDataFrame(marks, "lat double, lon double, kind string, tag string, radius double"),
+            100.0, same=["kind"], pair_limit=limit)
+        want = set()
+        for kind in "xy":
+            for radius in (30.0, 100.0):
+                here = [p for p in points if p[2] == kind]
+                around = [(m[0], m[1], m[3]) for m in marks if m[2] == kind and m[4] == radius]
+                want |= {(a, b, kind, t) for a, b, t in brute(here, around, radius)}
+        assert listed(got) == sorted(want)
+
+
 # ------------------------------------------------------------------ report and scenarios
 
 
