@@ -9,6 +9,7 @@ from ..fixed import FLAGS, UNKNOWN_CLASS, WEATHER_CLASSES, WEATHER_NUMBERS
 from ..functions.conditions import bool_to_int
 from ..functions.units import f_to_c, round_int
 from .relational import require_not_null
+from .skew import balanced_join
 
 REQUIRED = [
     "Temperature(F)", "Humidity(%)", "Pressure(in)", "Wind_Speed(mph)", "Weather_Condition",
@@ -31,11 +32,11 @@ def classify(
 ) -> DataFrame:
     """Replace a text column by its class; null and unlisted texts get the default.
 
-    ``dimension`` (raw, class) is a fixed lookup list and is broadcast.
+    ``dimension`` (raw, class) holds each text once; a short list is broadcast.
     """
     order = df.columns
-    lookup = F.broadcast(dimension.withColumnsRenamed({"raw": column, "class": "_class"}))
-    joined = df.join(lookup, on=column, how="left")
+    lookup = dimension.withColumnsRenamed({"raw": column, "class": "_class"})
+    joined = balanced_join(df, lookup, [column], "left")
     replaced = F.coalesce(F.col("_class"), F.lit(default)).alias(column)
     return joined.select(*[replaced if c == column else F.col(f"`{c}`") for c in order])
 

@@ -45,11 +45,11 @@ def way_attributes(ways: DataFrame) -> DataFrame:
 def way_nodes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """One row per (way, node) in way order: way_id, pos, node_id, lat, lon.
 
-    A node a closed way lists twice counts once, at its first place.
+    A node a closed way lists twice counts once, at its first place. Copies of a way are
+    one way.
     """
-    steps = ways.select(
-        "way_id", F.posexplode(F.array_distinct("nodes")).alias("pos", "node_id")
-    )
+    distinct = ways.select("way_id", F.array_distinct("nodes").alias("nodes")).distinct()
+    steps = distinct.select("way_id", F.posexplode("nodes").alias("pos", "node_id"))
     return balanced_join(
         steps, nodes.select("node_id", "lat", "lon"), ["node_id"], spread_by=["way_id", "pos"]
     ).select("way_id", "pos", "node_id", "lat", "lon")
@@ -79,10 +79,8 @@ def latest_weather(observations: DataFrame, by: list[str]) -> DataFrame:
     ``observations``: the place columns and ``weather_info``.
     """
     usable = observations.filter(F.size("weather_info.weather") > 0)
-    newest = F.max_by(
-        "weather_info", F.struct("weather_info.dt", F.to_json("weather_info"))
-    ).alias("weather_info")
-    return usable.groupBy(*by).agg(newest)
+    newest = F.max_by("weather_info", F.struct("weather_info.dt", "weather_info"))
+    return usable.groupBy(*by).agg(newest.alias("weather_info"))
 
 
 def attach_weather(roads: DataFrame, observations: DataFrame, by: list[str]) -> DataFrame:

@@ -174,6 +174,8 @@ def test_enrich_job(spark, fitted):
     assert {r[0] for r in complete.select("weather_info.main.temp").collect()} == {6.0}
     copies = enrich.all_copies(addresses, matched, complete)
     assert copies.count() == 4
+    many = addresses.crossJoin(spark.range(1250).drop("id"))
+    assert enrich.all_copies(many, matched, complete).groupBy("way_id").count().collect()[0][1] == 2500
     points = flatten_documents(complete)
     assert points.count() == 4 and points.select("weather_timestamp_iso8601").distinct().count() == 1
     none, all_missing = enrich.add_weather(documents, seen.filter("lat > 40"))

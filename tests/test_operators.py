@@ -116,6 +116,18 @@ def test_way_nodes_keep_way_order_and_count_a_closing_node_once(spark):
     assert listed(roads.first_node(located).select("way_id", "node_id")) == [(1, 3)]
 
 
+def test_copies_of_ways_do_not_multiply(spark):
+    ways = spark.createDataFrame([(1, "Main", "x", [3, 1])] * 50, WAYS)
+    nodes = spark.createDataFrame([(1, 1.0, 1.0), (3, 3.0, 3.0)], NODES)
+    located = roads.way_nodes(ways, nodes)
+    assert located.count() == 2
+    flagged = located.unionByName(located).withColumns({f: F.lit(0) for f in FLAGS})
+    [document] = nearby.road_documents(ways, flagged).collect()
+    assert [n["lat"] for n in document["nodes_info"]] == [3.0, 1.0]
+    places = spark.createDataFrame([("main", 1.0, 1.0)] * 30, "street string, lat double, lon double")
+    assert matching.scored_candidates(places, ways, located).count() == 1
+
+
 def test_geocode_takes_the_first_result(spark):
     tables = road_tables(spark)
     addresses = spark.createDataFrame(
