@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +21,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the estimate is below the session's broadcast threshold."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = int(str(limit).lower().rstrip("b"))
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
     size = estimated_bytes(df)
-    return size is not None and 0 <= size <= limit
+    return size is not None and 0 <= size <= as_bytes(limit)
+
+
+def as_bytes(setting: str) -> int:
+    """Bytes of a size setting such as ``10485760b``, ``10MB`` or ``-1``."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", setting.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
 
 
 def splits_hot_partitions(spark: SparkSession) -> bool:

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from pavelore.fixed import FEATURES, FLAGS, LABEL
 from pavelore.operators import model
-from pavelore.operators.scenario import scenario_events
-from pavelore.plans import enrich, report, score, train
+from pavelore.plans import emit, enrich, report, score, train
 from pavelore.schemas import ROAD_EVENT
 from pavelore.session import scratch_path
 from pavelore.sources import streams
 from pavelore.sources.files import read_scored
+from pavelore.streaming import scoring
 from pavelore.streaming.points import flatten_documents
 from rows import MAIN, accidents, road_tables, roads
 
@@ -187,10 +187,38 @@ def test_demonstration_run(spark, fitted):
     node = tuple([0] * 9) + (37.5, 15.0)
     event = (1, "primary", "n", [[37.5, 15.0]], [node, node],
              ((1.0, 2.0, 3.0), (4.0,), [("01d",)], 1721922246))
-    points = flatten_documents(scenario_events(spark.createDataFrame([event], ROAD_EVENT)))
-    scored = score.scored_messages(streams.as_messages(points), fitted, on_invalid="reject")
+    sent = emit.scenario_messages(spark.createDataFrame([event], ROAD_EVENT), F.lit(1721922246))
+    points = scoring.decode_readable(sent)
+    scored = score.scored_messages(sent, fitted, on_invalid="reject")
     labels = fitted.stages[0].labelsArray[1]
     known = 648 * 2 * len(labels) // 9
     assert points.count() == 648 * 2 and scored.count() == known
     low, high = scored.agg(F.min("danger_index"), F.max("danger_index")).first()
     assert 0 <= low <= high <= 1
+
+
+def test_live_messages_are_sent_once_per_update(spark):
+    """Two roads in one place, one elsewhere; a restart sends nothing again."""
+    node = tuple([0] * 9) + (37.5, 15.0)
+    info = ROAD_EVENT["nodes_info"].dataType.simpleString()
+    roads_table = spark.createDataFrame(
+        [(i, 0, "x", f"n{i}", [[37.5, 15.0]], [node] * 3, 375 if i < 3 else 10, 150) for i in (1, 2, 3)],
+        "way_id long, part int, highway string, name string, lista_coppie array<array<double>>,"
+        f" nodes_info {info}, place_row int, place_column int")
+    arrived, path = scratch_path(spark, "updates"), scratch_path(spark, "live")
+
+    def update(temperature):
+        weather = {"main": {"temp": temperature}, "weather": [{"icon": "01d"}], "dt": 1721922246}
+        send(spark, arrived, {"lat": 37.55, "lon": 15.05, "weather_info": weather})
+
+    def run():
+        updates = streams.read_documents(spark, arrived, emit.UPDATE)
+        emit.start_live(updates, roads_table, f"{path}/out", f"{path}/checkpoint",
+                        every_seconds=None).awaitTermination()
+        return scoring.decode_readable(spark.read.text(f"{path}/out"))
+
+    update(12.7)
+    assert run().count() == 6 and run().count() == 6
+    update(20)
+    got = run().groupBy("way_id", "Temperature_C").count().collect()
+    assert sorted(map(tuple, got)) == [(1, 12, 3), (1, 20, 3), (2, 12, 3), (2, 20, 3)]

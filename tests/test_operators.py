@@ -80,6 +80,11 @@ def test_salted_join_equals_plain_join(spark, how):
     assert sorted(map(tuple, salted.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
 
 
+def test_size_settings():
+    sizes = ["10485760b", "10485760", "10MB", "10m", "1g", "-1", "-1b", "2 KiB"]
+    assert [skew.as_bytes(s) for s in sizes] == [10 << 20] * 4 + [1 << 30, -1, -1, 2048]
+
+
 def test_hot_keys_are_few_and_found(spark):
     left, _ = skewed(spark)
     assert listed(skew.hot_keys(left, ["k"], 0.3)) == [(7,)]
