@@ -11,9 +11,15 @@ from ..fixed import MAP_BOUNDS, RECENT_MINUTES, TOP_ROADS
 def recent(
     df: DataFrame, ts: str, now: Column | None = None, minutes: int = RECENT_MINUTES
 ) -> DataFrame:
-    """Rows of the last minutes up to ``now`` (default: the newest time in the table)."""
-    now = df.agg(F.max(ts)).scalar() if now is None else now
-    start = now - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    """Rows of the last minutes up to ``now`` (default: the newest time in the table).
+
+    Both ends reach the scan as pushed filters.
+    """
+    length = F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    if now is None:
+        now, start = df.agg(F.max(ts)).scalar(), df.agg(F.max(ts) - length).scalar()
+    else:
+        start = now - length
     return df.filter((F.col(ts) >= start) & (F.col(ts) <= now))
 
 

@@ -40,7 +40,7 @@ def live_messages(updates: DataFrame, documents: DataFrame) -> DataFrame:
     """
     by = ["place_row", "place_column"]
     placed = updates.select(*place_columns(F.col("lat"), F.col("lon")), "weather_info")
-    return as_messages(flatten_documents(refresh(placed, documents, by)))
+    return as_messages(flatten_documents(refresh(placed, documents, by, ["way_id", "part"])))
 
 
 def scenario_messages(documents: DataFrame, now: Column | None = None) -> DataFrame:

@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 SPREAD = 16
 
 
-def refresh(updates: DataFrame, roads: DataFrame, by: list[str], pieces: int = SPREAD) -> DataFrame:
+def refresh(
+    updates: DataFrame,
+    roads: DataFrame,
+    by: list[str],
+    spread_by: list[str] | None = None,
+    pieces: int = SPREAD,
+) -> DataFrame:
     """Every road of an updated place with its fresh weather, once per update.
 
     ``updates``: the place columns and ``weather_info`` (few rows); ``roads``: static, many
-    rows per place. Roads are cut into pieces by row content and each update is repeated
-    per piece, so a place with a large share of the roads is handled by many tasks.
+    rows per place. Roads are cut into pieces by a hash of ``spread_by`` (default: the
+    whole row) and each update is repeated per piece, so a place with a large share of the
+    roads is handled by many tasks.
     """
-    piece = F.pmod(F.xxhash64(*roads.columns), F.lit(pieces)).cast("int")
+    piece = F.pmod(F.xxhash64(*(spread_by or roads.columns)), F.lit(pieces)).cast("int")
     usable = updates.filter(F.size("weather_info.weather") > 0).select(*by, "weather_info")
     repeated = usable.withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))

@@ -13,6 +13,7 @@ from pavelore.operators import (
     cleaning, labels, matching, nearby, ranking, relational, report, roads, scenario, skew,
 )
 from pavelore.schemas import NODES, POIS, ROAD_EVENT, WAYS
+from pavelore.session import scratch_path
 from rows import GOOD, MAIN, accidents, north, road_tables
 from rows import roads as road_rows
 
@@ -440,6 +441,10 @@ def test_road_metrics_of_a_road_without_values_are_null(spark):
 def test_recent_and_bounds(spark):
     df = scored(spark).filter("name <> 'empty'")
     assert report.recent(df, "ts", minutes=2).select("name").distinct().count() == 3
+    path = scratch_path(spark, "scored")
+    df.write.parquet(path)
+    plan = report.recent(spark.read.parquet(path), "ts")._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
     now = F.lit(120).cast("timestamp")
     assert report.recent(df, "ts", now, 1).select("name").distinct().count() == 2
     inside = report.in_bounds(df)
