@@ -438,14 +438,16 @@ def test_road_metrics_of_a_road_without_values_are_null(spark):
     assert (row["avg_danger"], row["min_danger"], row["max_danger"]) == (None, None, None)
 
 
-def test_recent_and_bounds(spark):
+def test_recent_and_bounds(spark, capsys):
     df = scored(spark).filter("name <> 'empty'")
     assert report.recent(df, "ts", minutes=2).select("name").distinct().count() == 3
     path = scratch_path(spark, "scored")
     df.write.parquet(path)
-    plan = report.recent(spark.read.parquet(path), "ts")._jdf.queryExecution().toString()
-    assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
     now = F.lit(120).cast("timestamp")
+    for given, pushed in ((None, ["Greater"]), (now, ["Greater", "Less"])):
+        report.recent(spark.read.parquet(path), "ts", given).explain("formatted")
+        plan = capsys.readouterr().out
+        assert all(f"{side}ThanOrEqual(ts" in plan for side in pushed)
     assert report.recent(df, "ts", now, 1).select("name").distinct().count() == 2
     inside = report.in_bounds(df)
     assert inside.agg(F.max("lat")).first()[0] <= MAP_BOUNDS["max_lat"]
