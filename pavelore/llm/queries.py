@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .mixing import mix
 from .packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,48 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
     )
+
+
+MIX_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+    coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT, 0) AS hash
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2e0 * sum(size)::DOUBLE AS most,
+    [5e0, 2e0, 1e0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+  FROM d GROUP BY source),
+r(turn, rate) AS (
+  SELECT 0, 0e0
+  UNION ALL
+  SELECT turn + 1, (
+    SELECT (1.5e0 * sum(source_size)::DOUBLE - coalesce(sum(most) FILTER (weight * rate >= most), 0e0))
+      / coalesce(sum(weight) FILTER (NOT weight * rate >= most), 1e0) FROM s)
+  FROM r WHERE turn < 40),
+t AS (
+  SELECT source, source_size,
+    CASE WHEN weight * rate >= most THEN most ELSE weight * rate END AS target
+  FROM s, (SELECT rate FROM r ORDER BY turn DESC LIMIT 1)),
+b AS (
+  SELECT source, source_size, target, target >= source_size AS whole,
+    CASE WHEN target >= source_size THEN target - source_size ELSE target END AS budget FROM t),
+h AS (
+  SELECT source, hash, sum(size) AS words,
+    sum(sum(size)) OVER (PARTITION BY source ORDER BY hash)::DOUBLE AS upto
+  FROM d GROUP BY source, hash),
+c AS (
+  SELECT h.source, min(h.hash) AS hash, min_by(words::DOUBLE, h.hash) AS words, min_by(upto, h.hash) AS upto,
+    any_value(budget) AS budget
+  FROM h JOIN b ON h.source IS NOT DISTINCT FROM b.source WHERE upto > budget GROUP BY h.source),
+l AS (
+  SELECT source, hash + CASE WHEN budget - (upto - words) > upto - budget THEN 1 ELSE 0 END AS least FROM c)
+SELECT doc_id, size, source_size, target,
+  size * (whole::BIGINT + (least IS NULL OR hash < least)::BIGINT) AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+LEFT JOIN l ON d.source IS NOT DISTINCT FROM l.source
+"""
+
+
+@query("op5_mix", MIX_SQL)
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")

@@ -1,0 +1,84 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from pavelore.llm.mixing import mix
+from pavelore.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string, source string, size string, target int"
+
+
+def brute(rows, weights=(5, 2, 1), share=1.5):
+    """Targets by resharing in turn; documents of a source in hash order up to the budget."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    code = lambda k: 0 if k is None else int(hashlib.md5(str(k).encode()).hexdigest()[:15], 16)
+    sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(size(r[1]) for r in rows if r[2] == s) for s in sources}
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sources)}
+    capped: set = set()
+    while True:
+        rest = share * sum(total.values()) - sum(2 * total[s] for s in capped)
+        free = sum(weight[s] for s in sources if s not in capped)
+        rate = rest / free if free else 0
+        more = {s for s in sources if s not in capped and weight[s] * rate >= 2 * total[s]}
+        if not more:
+            break
+        capped |= more
+    target = {s: 2.0 * total[s] if s in capped else weight[s] * rate for s in sources}
+    taken = {}
+    for s in sources:
+        whole = target[s] >= total[s]
+        budget = target[s] - total[s] if whole else target[s]
+        groups: dict = {}
+        for r in rows:
+            if r[2] == s:
+                groups[code(r[0])] = groups.get(code(r[0]), 0) + size(r[1])
+        got, chosen = 0, set()
+        for h in sorted(groups):
+            over = got + groups[h] - budget
+            if over > 0 and budget - got <= over:
+                break
+            chosen.add(h)
+            got += groups[h]
+            if over > 0:
+                break
+        for r in rows:
+            if r[2] == s:
+                taken.setdefault((r[0], s, r[1]), size(r[1]) * (whole + (code(r[0]) in chosen)))
+    return target, taken
+
+
+def cases():
+    rng = random.Random(3)
+    text = lambda: " ".join("w" * rng.randint(1, 4) for _ in range(rng.choice([0, 1, 5, 40])))
+    hot = [(i, text(), "b" if rng.random() < 0.5 else rng.choice("acdefg")) for i in range(400)]
+    odd = [(None, "x y", None), (None, "z", "a"), (1, None, None), (1, "a b", "b"), (1, "a b", "b"),
+           (2, "", "c"), (3, "\t\n", "c"), (4, "w " * 5000, "ä"), (5, "q r\x1cs", "Z")]
+    return {"hot": hot, "odd": odd, "both": hot + odd, "one": [(7, "a b c", "s")], "blank": [(1, "", "s")]}
+
+
+@pytest.mark.parametrize("name", cases())
+def test_mix_equals_brute_force(spark, name):
+    rows = cases()[name]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    target, taken = brute(rows)
+    got = mix(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.target == pytest.approx(target[r.source])
+    texts = sorted((str(k[0]), str(k[1]), v) for k, v in ((r[:1] + r[2:3], taken[(r[0], r[2], r[1])]) for r in rows))
+    assert sorted((str(r.doc_id), str(r.source), r.taken) for r in got) == texts
+
+
+def test_no_rows(spark):
+    assert mix(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_query_comes_near_its_targets(spark):
+    rows = QUERIES["op5_mix"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 1000 and all(r.taken in (0, r["size"], 2 * r["size"]) for r in rows)
+    for size, target in {(r.source_size, r.target) for r in rows}:
+        own = [r for r in rows if r.source_size == size and r.target == target]
+        assert abs(sum(r.taken for r in own) - target) <= max(r["size"] for r in own)
