@@ -142,11 +142,8 @@ def pack(
             for batch in batches:
                 keys[:] = [batch.column(0).type]
                 texts = batch.column(1).to_pylist()
-                for at in range(0, len(texts), 64):
-                    ids = encoder.encode(texts[at : at + 64])
-                    yield from zip(
-                        batch.column(0).slice(at, 64).to_pylist(), (x + end for x in ids)
-                    )
+                ids = encoder.encode(texts)
+                yield from zip(batch.column(0).to_pylist(), (x + end for x in ids))
 
         def rows(made: list[tuple]) -> pa.RecordBatch:
             key, start, ids, total, sequence, offset = zip(*made)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from . import language, toxicity
+from .common import documents, fold
 from .mixing import mix
 from .packing import pack
 
@@ -86,3 +87,22 @@ LEFT JOIN l ON d.source IS NOT DISTINCT FROM l.source
 @query("op5_mix", MIX_SQL)
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 0
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.learn(docs.filter(~held_out), labels.filter(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 4) == 2
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    content = language.dictionaries(docs.filter(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), content)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")

@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
+import re
+import string
 import struct
 
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_500_000
+MARKS = string.punctuation.encode()
+COMBINING = re.compile("[\u0300-\u036f]")  # marks that make one letter with an ASCII one
+LATIN_END = "ɐ"  # letters before it are composed and lower-cased one by one
+
+#: Byte-level tokenizers write a byte that is no visible Latin-1 character as another one.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
+def _pack(ids: list[int]) -> bytes:
+    n = len(ids)
+    return _PACKERS[n](*ids) if n < 32 else struct.pack(f"<{n}I", *ids)
 
 
 class WordIds:
-    """Ids by a tokenizer that drops white space and treats each word by itself.
+    """Ids by a byte-level tokenizer that drops white space and lower-cases.
 
     ``encode`` returns the ids of a text as little-endian unsigned 32-bit numbers. Words
-    between ASCII white space are encoded once and remembered. A full stop or comma after
-    an ASCII letter or digit is a token run of its own, so such a word is put together.
-    In an all-ASCII text, case makes no difference. Names of special tokens within a text
-    are ordinary text.
+    between ASCII white space are encoded once and remembered. Most words are a run of Latin
+    letters within runs of ASCII punctuation; the tokenizer's rules split them there, so
+    the letters go to its merge model by themselves. All other words take its whole way.
+    ASCII capitals are lowered first, unless a combining mark could join them. Names of
+    special tokens within a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -22,44 +40,70 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.words: dict[bytes, bytes] = {}
-        self.mark = {m: self._fresh([m])[0] for m in (b".", b",")}
-
-    def _fresh(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in words], add_special_tokens=False
-        )
-        out = []
-        for x in found:
-            ids = x.ids
-            out.append(struct.pack(f"<{len(ids)}I", *ids))
-        return out
+        self.marks: dict[bytes, bytes] = {b"": b""}
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode() for w in words]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [_pack(x.ids) for x in found]
+
+    def _letters(self, run: bytes) -> bytes | None:
+        """Ids of a run of Latin letters; None if it is something else."""
+        if run.isalpha():  # ASCII letters
+            return _pack([t.id for t in self.model.tokenize(run.lower().decode())])
+        text = run.decode()
+        if not text.isalpha() or max(text) >= LATIN_END:
+            return None
+        low = text.lower()
+        if len(low) != len(text):
+            return None
+        shown = low.encode().decode("latin-1").translate(_HIDDEN)
+        return _pack([t.id for t in self.model.tokenize(shown)])
+
+    def _around(self, run: bytes) -> bytes:
+        ids = self.marks.get(run)
+        if ids is None:
+            ids = self._whole([run])[0]
+            if len(self.marks) < CACHED_WORDS:
+                self.marks[run] = ids
+        return ids
 
     def learn(self, words: set[bytes]) -> None:
-        known, mark = self.words, self.mark
-        if len(known) + len(words) > CACHED_WORDS:
+        known = self.words
+        if len(known) + 2 * len(words) > CACHED_WORDS:
             known.clear()
-        missing = [w for w in words if w not in known]
-        plain, marked = set(), []
-        for w in missing:
-            if len(w) > 1 and w[-1:] in mark and w[-2] < 128 and w[-2:-1].isalnum():
-                marked.append(w)
-                if w[:-1] not in known:
-                    plain.add(w[:-1])
+        other = []
+        for word in words:
+            if word in known:
+                continue
+            core = word.strip(MARKS)
+            ids = known.get(core) if len(core) < len(word) else None
+            if ids is None and core:
+                ids = self._letters(core)
+            if ids is None:
+                other.append(word)
+            elif len(core) == len(word):
+                known[word] = ids
             else:
-                plain.add(w)
-        order = list(plain)
-        known.update(zip(order, self._fresh(order)))
-        for w in marked:
-            known[w] = known[w[:-1]] + mark[w[-1:]]
+                front, back = word.split(core, 1)
+                if b"'" in front or not (core.isalpha() or core.decode().isalpha()):
+                    other.append(word)  # 's and the like are runs of their own
+                else:
+                    known[core] = ids
+                    known[word] = self._around(front) + ids + self._around(back)
+        known.update(zip(other, self._whole(other)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [
-            ((t.encode().lower() if t.isascii() else t.encode()).split() if t else [])
-            for t in texts
-        ]
-        self.learn(set().union(*split))
-        get = self.words.__getitem__
+        split = []
+        for t in texts:
+            raw = t.encode() if t else b""
+            split.append((raw if t and COMBINING.search(t) else raw.lower()).split())
+        distinct = set().union(*split)
+        self.learn(distinct)
+        known = self.words
+        get = {word: known[word] for word in distinct}.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 

@@ -1,0 +1,68 @@
+import re
+
+import pytest
+
+from pavelore.llm import language
+from pavelore.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def content(spark):
+    return language.dictionaries(spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id % 4 = 1"))
+
+
+def test_held_out_accuracy(spark):
+    truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text")
+    rows = QUERIES["op7_language"](spark, SF).join(truth, "doc_id").filter("held_out").collect()
+    assert len(rows) > 2000
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.98
+    clear = [r for r in rows if not r.rejected]
+    assert len(clear) / len(rows) > 0.98
+    assert sum(r.lang == r.lang_pred for r in clear) / len(clear) > 0.99
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_odd_rows(spark, content):
+    rows = [(None, None, "x", "a"), (1, "", "x", "a"), (2, " 12 -- \n", None, None), (3, "the of and that to the in was for with", "x", "a"),
+            (3, "the of and that to the in was for with", "x", "a"), (4, "ung heit der die schen " * 20000, "x", "a"), (5, "漢字", "x", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string, source string")
+    got = language.identify(docs, content)
+    assert got.columns == ["doc_id", "text", "source", "lang_pred", "score", "rejected"]
+    by = {str(r.doc_id): r for r in got.collect()}
+    assert [by[k].lang_pred for k in ("None", "1", "2")] == ["und"] * 3
+    assert by["1"].score == 0 and by["1"].rejected
+    assert by["3"].lang_pred == "en" and by["4"].lang_pred == "de" and not by["4"].rejected
+    assert by["5"].lang_pred in content
+    assert got.count() == len(rows)
+
+
+def test_whole_text_counts(content):
+    """A long text in two languages is the one of which it has more."""
+    both = language.Compressors(content, language.LEVEL, language.CHUNK)
+    en, de = "the of and that in tion ing " * 100, "der die und ung heit schen " * 400
+    assert both.choose(en + de)[0] == "de" and both.choose(de[:3000] + en * 8)[0] == "en"
+
+
+def test_no_dictionary_and_no_rows(spark):
+    docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
+    assert language.dictionaries(docs) == {}
+    assert language.identify(docs, {}).first().lang_pred == "und"
+    assert language.identify(docs.limit(0), {}).collect() == []
+    one = language.dictionaries(spark.createDataFrame([(1, "only one language", "xx")], docs.schema))
+    assert language.identify(docs, one).first().lang_pred == "xx"
+
+
+def test_sizes_equal_compressing_by_hand(content):
+    import zstandard
+
+    text = "Ein Satz, zwei Sätze. " * 300
+    made = language.Compressors(content, 6, 2048)
+    for lang, size in zip(made.langs, made.sizes(text)):
+        known = zstandard.ZstdCompressionDict(content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(level=6)
+        whole = zstandard.ZstdCompressor(level=6, dict_data=known, write_content_size=False, write_dict_id=False)
+        data = language.FILLER + text.lower().encode()
+        assert size == sum(len(whole.compress(data[i : i + 2048])) for i in range(0, len(data), 2048))
+        assert not re.search("[A-Z]", text.lower())
