@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language, toxicity
 from .common import documents, fold
 from .mixing import mix
+from .neardup import near_duplicates
 from .packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +107,8 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = language.dictionaries(docs.filter(~held_out))
     found = language.identify(docs.select("doc_id", "text"), content)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op8_near_duplicates")
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), width=2, percent=80)
