@@ -140,4 +140,5 @@ def link(
     named = classes.select("high", "low", "node").join(joined, "node", "left")
     named = named.select("high", "low", F.coalesce("component", "node").alias("component"))
     found = sketch.select("doc_id", "n_shingles", "high", "low").join(named, ["high", "low"], "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return found.select("doc_id", "n_shingles", component.alias("component_id"))
