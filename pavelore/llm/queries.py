@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import language, toxicity
 from .common import documents, fold
+from .fingerprint import edited_pairs
 from .mixing import mix
 from .neardup import near_duplicates
 from .packing import pack
@@ -112,3 +113,8 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_near_duplicates")
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=2, percent=80)
+
+
+@query("op6_fingerprint")
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_pairs(documents(spark, sf_dir))
