@@ -11,9 +11,9 @@ from ..session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits in memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Bound the bytes of an Arrow batch, so that a batch of long texts fits in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def fold(key: str, folds: int) -> Column:

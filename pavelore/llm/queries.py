@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language, toxicity
 from .common import documents, fold
 from .fingerprint import edited_pairs
+from .lines import deduplicate_lines
 from .mixing import mix
 from .neardup import near_duplicates
 from .packing import pack
@@ -118,3 +119,9 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_fingerprint")
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(documents(spark, sf_dir))
+
+
+@query("op3_lines")
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicate_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed", "text")
