@@ -1,28 +1,71 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that its predecessor kept.
+All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pavelore.llm.common import documents
+from pavelore.llm.language import dictionaries, identify
+from pavelore.llm.lines import deduplicate_lines
+from pavelore.llm.mixing import mixed_documents
+from pavelore.llm.neardup import near_duplicates
 from pavelore.llm.packing import pack
 from pavelore.llm.queries import tokenizer_file
+from pavelore.session import scratch_path
+
+
+def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear; those without a letter or a clear language go."""
+    content = dictionaries(docs)
+    found = identify(docs, content).filter("NOT rejected")
+    return found.select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the lines that come first in them; one that keeps no line goes."""
+    found = deduplicate_lines(docs)
+    left = found.filter((F.col("n_lines") == 0) | (F.size("removed") < F.col("n_lines")))
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; rows of one id stay or go together."""
+    found = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return docs.join(found.filter("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix of sources takes it."""
+    return mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token windows of all documents that are left."""
+    """Pieces of token sequences that hold every document that is left."""
     return pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("language", in_a_known_language),
+    ("lines", without_repeated_lines),
+    ("near_duplicates", one_of_each_group),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
-#: Language identification, packing and the tokenizer are outside of SQL.
+#: Compression, edit distances and the tokenizer are outside of SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``, each written to the shared folder and read again."""
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -136,6 +136,27 @@ def _boundary(sums: DataFrame, state: DataFrame, width: int) -> DataFrame:
     )
 
 
+def mix_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE) -> DataFrame:
+    """``source, source_size, target, limit`` of ``source, size, hash`` rows, one per source."""
+    sized = materialize(sized.select("source", "size", "hash"))
+    sources = materialize(
+        source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share)
+    )
+    few = sources.count() <= BROADCAST_SOURCES
+    size = F.col("source_size")
+    budget = F.when(F.col("target") >= size, F.col("target") - size).otherwise(F.col("target"))
+    limits = hash_thresholds(sized, sources.select("source", budget.alias("budget")), few)
+    return materialize(_join_sources(sources, limits, few))
+
+
+def apply_plan(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """Add ``source_size``, ``target`` and ``times`` to rows with ``source`` and ``hash``."""
+    joined = _join_sources(docs, plan, plan.count() <= BROADCAST_SOURCES)
+    chosen = F.col("limit").isNull() | (F.col("hash") < F.col("limit"))
+    whole = F.col("target") >= F.col("source_size")
+    return joined.withColumn("times", whole.cast("long") + chosen.cast("long")).drop("limit")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -164,17 +185,26 @@ def mix(
             document_hash(F.col(id_col)).alias("hash"),
         )
     )
-    sources = materialize(
-        source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share)
-    )
-    few = sources.count() <= BROADCAST_SOURCES
-    size = F.col("source_size")
-    whole = F.col("target") >= size
-    budget = F.when(whole, F.col("target") - size).otherwise(F.col("target"))
-    limits = hash_thresholds(sized, sources.select("source", budget.alias("budget")), few)
-    joined = _join_sources(_join_sources(sized, sources, few), limits, few)
-    chosen = F.col("limit").isNull() | (F.col("hash") < F.col("limit"))
-    times = whole.cast("long") + chosen.cast("long")
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken")
-    )
+    mixed = apply_plan(sized, mix_plan(sized, weights, share))
+    taken = (F.col("size") * F.col("times")).alias("taken")
+    return mixed.select("doc_id", "source", "size", "source_size", "target", taken)
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The rows of the mix itself: each document once, twice or not at all, as in ``mix``.
+
+    Columns stay as they are. The texts are not shuffled: the plan has a row per source.
+    """
+    key = {"source": F.col(source_col), "hash": document_hash(F.col(id_col))}
+    sized = docs.select(word_count(F.col(text_col)).alias("size"), *[c.alias(n) for n, c in key.items()])
+    row = docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(n) for n, c in key.items()])
+    mixed = apply_plan(row, mix_plan(sized, weights, share)).filter("times > 0")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))
+    return mixed.select("row", copies.alias("copy")).select("row.*")

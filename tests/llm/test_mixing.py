@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from pavelore.llm.mixing import mix
+from pavelore.llm.mixing import mix, mixed_documents
 from pavelore.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, source string, size string, target int"
@@ -72,8 +72,26 @@ def test_mix_equals_brute_force(spark, name):
     assert sorted((str(r.doc_id), str(r.source), r.taken) for r in got) == texts
 
 
+def test_mixed_documents_are_the_rows_of_the_mix(spark):
+    rows = cases()["both"]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    _, taken = brute(rows)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    words: dict = {}
+    got = mixed_documents(docs)
+    assert got.columns == docs.columns
+    for r in got.collect():
+        words[(r.doc_id, r.source, r.text)] = words.get((r.doc_id, r.source, r.text), 0) + size(r.text)
+    want: dict = {}
+    for r in rows:
+        key = (r[0], r[2], r[1])
+        want[key] = want.get(key, 0) + taken[key]
+    assert {k: v for k, v in words.items() if v} == {k: v for k, v in want.items() if v}
+
+
 def test_no_rows(spark):
-    assert mix(spark.createDataFrame([], SCHEMA)).collect() == []
+    empty = spark.createDataFrame([], SCHEMA)
+    assert mix(empty).collect() == [] and mixed_documents(empty).collect() == []
 
 
 def test_query_comes_near_its_targets(spark):
