@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, toxicity
+from . import language, lm, toxicity
 from .common import documents, fold
 from .fingerprint import edited_pairs
 from .lines import deduplicate_lines
@@ -125,3 +125,13 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deduplicate_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed", "text")
+
+
+@query("op10_lm_scores")
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 1
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = lm.score(docs, ~held_out, tokenizer_file("word_bpe_49k.json"))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )

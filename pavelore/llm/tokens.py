@@ -95,16 +95,27 @@ class WordIds:
                     known[word] = self._around(front) + ids + self._around(back)
         known.update(zip(other, self._whole(other)))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
+    def words_and_ids(self, texts: list[str | None]) -> tuple[list[list[bytes]], list[bytes]]:
+        """The words of each text between ASCII white space, A-Z lowered, and its ids."""
+        split, marked = [], []
         for t in texts:
             raw = t.encode() if t else b""
-            split.append((raw if t and COMBINING.search(t) else raw.lower()).split())
+            if t and COMBINING.search(t):
+                marked.append(len(split))
+                split.append(raw.split())
+            else:
+                split.append(raw.lower().split())
         distinct = set().union(*split)
         self.learn(distinct)
         known = self.words
         get = {word: known[word] for word in distinct}.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        ids = [b"".join(map(get, words)) for words in split]
+        for at in marked:
+            split[at] = [word.lower() for word in split[at]]
+        return split, ids
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return self.words_and_ids(texts)[1]
 
 
 _LOADED: dict[str, WordIds] = {}
