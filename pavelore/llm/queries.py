@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import language, lm, toxicity
 from .common import documents, fold
+from .embeddings import near_vectors
 from .fingerprint import edited_pairs
 from .lines import deduplicate_lines
 from .mixing import mix
@@ -135,3 +136,8 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query("op2_near_vectors")
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
