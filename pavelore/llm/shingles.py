@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 U64 = np.uint64
 _STEP, _FIRST, _SECOND = U64(0x9E3779B97F4A7C15), U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
 _HALF = U64(33)

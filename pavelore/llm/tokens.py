@@ -6,7 +6,7 @@ import re
 import string
 import struct
 
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 600_000  # and those of one batch
 MARKS = string.punctuation.encode()
 COMBINING = re.compile("[\u0300-\u036f]")  # marks that make one letter with an ASCII one
 LATIN_END = "ɐ"  # letters before it are composed and lower-cased one by one
@@ -72,7 +72,7 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         known = self.words
-        if len(known) + 2 * len(words) > CACHED_WORDS:
+        if len(known) >= CACHED_WORDS:
             known.clear()
         other = []
         for word in words:

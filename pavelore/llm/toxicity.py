@@ -23,7 +23,7 @@ EPOCHS = 10
 BATCH = 256
 RATE = 0.2
 DECAY = 1e-4
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 EDGES = b".,!?;:()[]{}\"'*_-"
 
 
