@@ -11,6 +11,7 @@ from . import language, lm, toxicity
 from .common import documents, fold
 from .embeddings import near_vectors
 from .fingerprint import edited_pairs
+from .licenses import NOTICES, scan
 from .lines import deduplicate_lines
 from .mixing import mix
 from .neardup import near_duplicates
@@ -141,3 +142,27 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_near_vectors")
 def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+LICENSE_SQL = """
+WITH t(template_id, text) AS (VALUES {notices}),
+plain AS (
+  SELECT NULL::BIGINT AS doc_id, template_id, trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS text FROM t
+  UNION ALL
+  SELECT doc_id, NULL, trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) FROM documents),
+words AS (SELECT doc_id, template_id, string_split(text, ' ') AS w FROM plain WHERE text <> ''),
+starts AS (SELECT doc_id, template_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words),
+shingles AS (SELECT DISTINCT doc_id, template_id, array_to_string(w[i:i + 4], ' ') AS s FROM starts),
+sizes AS (SELECT template_id, count(*) AS n_template FROM shingles WHERE template_id IS NOT NULL GROUP BY 1),
+shared AS (
+  SELECT d.doc_id, t.template_id, count(*) AS n_shared
+  FROM shingles d JOIN shingles t ON d.s = t.s
+  WHERE d.template_id IS NULL AND t.template_id IS NOT NULL GROUP BY 1, 2)
+SELECT doc_id, template_id, n_shared, n_template, n_shared::DOUBLE / n_template::DOUBLE AS containment
+FROM shared JOIN sizes USING (template_id) WHERE n_shared * 100 >= n_template * 80
+""".format(notices=", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES))
+
+
+@query("op9_licenses", LICENSE_SQL)
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
