@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from pavelore.llm import linking
 from pavelore.llm.neardup import band_hashes, near_duplicates, sketch
 from pavelore.llm.queries import QUERIES
 from pavelore.llm.shingles import shingle_set
@@ -111,3 +112,20 @@ def test_query_equals_brute_force(spark):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = QUERIES["op8_near_duplicates"](spark, sf).collect()
     assert {r.doc_id: r.component_id for r in got} == brute(texts, 2)
+
+
+@pytest.mark.parametrize("together", [3, 1500])
+def test_many_copies_that_just_miss_each_other(spark, monkeypatch, together):
+    """A family around the threshold, whose hubs do not join all that is linked."""
+    monkeypatch.setattr(linking, "TOGETHER", together)
+    calls, blocks = [], linking.remaining_links
+    monkeypatch.setattr(linking, "remaining_links", lambda *a: calls.append(a) or blocks(*a))
+    rng = random.Random(11)
+    base = " ".join(f"v{i}" for i in range(60))
+    rows = list(enumerate(family(rng, base, 80, 9) + family(rng, base, 40, 4)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 2)
+    assert 1 < len(set(want.values())) < 100
+    got = near_duplicates(docs, 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert calls
