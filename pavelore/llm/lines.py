@@ -20,7 +20,7 @@ LEAST_CHARS = 24  # shorter lines are equal or not alike
 BROADCAST_LINES = 2_000_000  # up to so many counted line numbers of 8 bytes are broadcast
 BLOCK = 1024  # bucket rows compared with as many at a time
 MOST_TOGETHER = 20_000  # larger buckets are cut by letter counts and dealt out again
-CACHED_LINES = 1_000_000
+CACHED_LINES = 500_000
 INDEXED = 1 << 32  # mark of a row that stands for a segment, not for a looked-up substring
 _SHIFTS = np.arange(0, 32, 2, dtype=np.uint64)
 
@@ -221,20 +221,23 @@ def bucket_pairs(rows: DataFrame, edits: int, most: int | None) -> DataFrame:
         for batch, more in _then(batches, last):
             fresh = [c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns]
             key, line, marks = (np.concatenate(p) for p in zip(held, fresh))
-            ends = np.flatnonzero(np.append(key[1:] != key[:-1], not more)) + 1 if len(key) else []
-            starts = [0, *ends[:-1]] if len(ends) else []
+            ends = np.flatnonzero(np.append(key[1:] != key[:-1], not more)) + 1 if len(key) else key
+            starts = np.append(0, ends[:-1])[: len(ends)].astype(np.int64)
             found = []
-            for start, end in zip(starts, ends):
-                if key[start] == crowded:
-                    yield given_back(key[start:end], line[start:end], marks[start:end])
-                elif end - start > 1:
-                    if most and end - start > most:
+            if len(starts):
+                done = slice(0, ends[-1])
+                several = np.minimum.reduceat(line[done], starts) != np.maximum.reduceat(line[done], starts)
+                several &= np.maximum.reduceat(marks[done], starts) >= INDEXED
+                several |= key[starts] == crowded if crowded is not None else False
+                starts, ends_ = starts[several], ends[several]
+                for start, end in zip(starts.tolist(), ends_.tolist()):
+                    if key[start] == crowded or most and end - start > most:
                         yield given_back(key[start:end], line[start:end], marks[start:end])
                     else:
                         found += _alike(line[start:end], marks[start:end], edits)
-                if len(found) >= 256:
-                    yield pairs(found)
-                    found = []
+                    if len(found) >= 256:
+                        yield pairs(found)
+                        found = []
             if found:
                 yield pairs(found)
             rest = ends[-1] if len(ends) else 0
