@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strings
 from ..operators import relational, roads, scenario
-from .base import cte, icon_text, load, query, standin
+from .base import cte, distance_sql, icon_text, load, query, standin
 
 _joined = 'a."Street", a."City", a."County", a."State", "Temperature(F)", "Humidity(%)"'
 
@@ -165,6 +165,28 @@ def weather_enrich(spark, sf):
     )
 
 
+NEAREST_M = 2_000.0  # of the stand-in roads and observations
+
+
+@query(
+    "weather_nearest",
+    f"""WITH {cte('nodes', 'pois')},
+    near AS (SELECT n.node_id, p.poi_id, {distance_sql('n', 'p')} AS far FROM nodes n
+      JOIN pois p ON p.poi_id % 4 <> 0 AND {distance_sql('n', 'p')} <= {NEAREST_M}e0)
+    SELECT node_id AS way_id, arg_min(poi_id, (far, -poi_id)) AS dt FROM near GROUP BY node_id""",
+)
+def weather_nearest(spark, sf):
+    """Roads with the nearest observation, also across cell borders; by brute force in SQL."""
+    here = standin(spark, sf, "nodes").select(
+        F.col("node_id").alias("way_id"), F.col("lat").alias("first_lat"), F.col("lon").alias("first_lon")
+    )
+    listed = F.when(F.col("poi_id") % 4 != 0, F.array(F.struct(F.lit("01d").alias("icon"))))
+    info = F.struct(listed.alias("weather"), F.col("poi_id").alias("dt"))
+    seen = standin(spark, sf, "pois").select("lat", "lon", info.alias("weather_info"))
+    found = roads.nearest_weather(here, seen, NEAREST_M)
+    return found.select("way_id", F.col("weather_info.dt").alias("dt"))
+
+
 _grid = """(SELECT * FROM (VALUES (30), (40), (60)) h(humidity), (VALUES (-10), (20), (30)) t(temp),
     (VALUES ('01d'), ('02d'), ('03d'), ('04d'), ('09d'), ('10d'), ('11d'), ('13d'), ('50d'),
       ('01n'), ('02n'), ('03n'), ('04n'), ('09n'), ('10n'), ('11n'), ('13n'), ('50n')) i(icon),

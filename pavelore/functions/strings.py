@@ -53,6 +53,22 @@ def length_bound(a: Column, b: Column) -> Column:
     ).otherwise(F.lit(0.0))
 
 
+#: The characters that are left by :func:`token_sort`.
+_SORTED_CHARACTERS = " 0123456789_abcdefghijklmnopqrstuvwxyz"
+
+
+def letters_bound(a: Column, b: Column) -> Column:
+    """Upper bound of :func:`similarity` of two token-sorted texts from the letters they share."""
+
+    def count(text: Column, char: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, char, F.lit("")))
+
+    characters = F.array(*[F.lit(c) for c in _SORTED_CHARACTERS])
+    shared = F.aggregate(characters, F.lit(0), lambda n, c: n + F.least(count(a, c), count(b, c)))
+    total = F.length(a) + F.length(b)
+    return F.when(total > 0, F.lit(200.0) * shared / total).otherwise(F.lit(0.0))
+
+
 @F.pandas_udf(T.IntegerType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio of two texts as a whole number from 0 to 100."""

@@ -14,6 +14,7 @@ from ..functions.times import version_stamp
 VECTOR = "predictors"
 DEFAULT_BINS = 32
 ROWS_PER_TASK = 10_000
+MOST_TASKS = 256
 
 
 def feature_stages(on_invalid: str = "error") -> list:
@@ -58,9 +59,13 @@ def train(
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Enough partitions for the cores, none of them tiny: every tree level is a pass."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, min(cores, df.count() // ROWS_PER_TASK)))
+    """Partitions by a hash of the row, as many as the rows need, each sorted.
+
+    Forests are sampled per partition, so partitions follow from the rows alone: the same
+    rows and seed give the same model on any cluster. None is tiny, as every tree level is a pass.
+    """
+    parts = max(1, min(MOST_TASKS, df.count() // ROWS_PER_TASK))
+    return df.repartition(parts, *df.columns).sortWithinPartitions(*df.columns)
 
 
 def rmse(label: str = LABEL, prediction: str = "prediction") -> Column:

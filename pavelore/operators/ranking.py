@@ -38,10 +38,14 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
-    """The first ``n`` rows of a total order."""
+    """The first ``n`` rows of a total order, in this order at every ``n``.
+
+    ``HEAP_LIMIT`` only decides how they are found.
+    """
     if n <= HEAP_LIMIT:
         return df.orderBy(*order).limit(n)
-    return global_rank(df, order, "_rank").filter(F.col("_rank") <= n).drop("_rank")
+    found = global_rank(df, order, "_rank").filter(F.col("_rank") <= n)
+    return found.orderBy("_rank").drop("_rank")
 
 
 def top_per_group(

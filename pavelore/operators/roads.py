@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import ROAD_KEY
+from ..functions.geo import cell_at, cells_touched, haversine_m
 from .relational import first_per_group
 from .skew import balanced_join
 
@@ -63,10 +64,12 @@ def first_node(road_nodes: DataFrame) -> DataFrame:
 def geocode(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Add lat, lon of the best-ranked gazetteer entry; addresses without one are left out.
 
-    The gazetteer is reduced to one row per address before the join.
+    Only entries of these addresses are looked at; they are reduced to one row per address
+    before the join.
     """
+    wanted = addresses.select("address").distinct()
     best = first_per_group(
-        gazetteer.select("address", "rank", "lat", "lon"),
+        balanced_join(gazetteer, wanted, ["address"], "left_semi").select("address", "rank", "lat", "lon"),
         ["address"],
         [F.col("rank"), F.col("lat"), F.col("lon")],
     ).drop("rank")
@@ -83,6 +86,31 @@ def latest_weather(observations: DataFrame, by: list[str]) -> DataFrame:
     return usable.groupBy(*by).agg(newest.alias("weather_info"))
 
 
+def nearest_weather(roads: DataFrame, observations: DataFrame, radius_m: float) -> DataFrame:
+    """Add the weather observed nearest to a road's place; roads without one are left out.
+
+    ``roads``: any columns and ``first_lat``, ``first_lon``; ``observations``: lat, lon and
+    ``weather_info``. Observations without a weather list do not count, nor do those farther
+    than ``radius_m``. Of equally near ones the newest counts. Only the newest observation
+    of a coordinate and each place once are compared, in the cells that circles touch.
+    """
+    lat, lon = F.col("lat"), F.col("lon")
+    newest = latest_weather(observations, ["lat", "lon"])
+    marks = newest.select(
+        F.explode(cells_touched(lat, lon, F.lit(radius_m), radius_m)).alias("cell"),
+        "lat", "lon", "weather_info",
+    )
+    place = [F.col("first_lat"), F.col("first_lon")]
+    places = roads.select("first_lat", "first_lon").dropna().distinct()
+    here = places.withColumn("cell", cell_at(*place, radius_m))
+    distance = haversine_m(*place, lat, lon)
+    near = balanced_join(here, marks, ["cell"], spread_by=["first_lat", "first_lon"])
+    near = near.withColumn("_far", distance).filter(F.col("_far") <= radius_m)
+    order = F.struct("_far", -F.col("weather_info.dt"), "weather_info")
+    best = near.groupBy("first_lat", "first_lon").agg(F.min(order)["weather_info"].alias("weather_info"))
+    return balanced_join(roads, best, ["first_lat", "first_lon"])
+
+
 def attach_weather(roads: DataFrame, observations: DataFrame, by: list[str]) -> DataFrame:
     """Add the newest weather of a road's place; roads without weather are left out."""
     return balanced_join(roads, latest_weather(observations, by), by)

@@ -1,7 +1,7 @@
 """Emit: road documents with weather as point messages, live or for all weather settings.
 
     spark-submit -m pavelore.plans.emit live --roads FOLDER --weather FOLDER \\
-        --out FOLDER --checkpoint FOLDER
+        --out FOLDER --checkpoint FOLDER [--format kafka --servers HOSTS --topic NAME]
     spark-submit -m pavelore.plans.emit scenarios --documents FILE.jsonl --out FOLDER
 """
 
@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed import WEATHER_REFRESH_SECONDS
+from ..functions.geo import cell_at, cells_touched, haversine_m
 from ..operators.scenario import scenario_events
 from ..schemas import ROAD_EVENT, WEATHER_INFO
 from ..sources.files import read_jsonl
 from ..sources.streams import append_stream, as_messages, read_documents
 from ..streaming.points import flatten_documents
 from ..streaming.weather import refresh
-from .enrich import place_columns
+from .enrich import WEATHER_RADIUS_M
 
 # Weather updates as they arrive: a coordinate and its current weather.
 UPDATE = T.StructType(
@@ -33,14 +34,22 @@ UPDATE = T.StructType(
 )
 
 
-def live_messages(updates: DataFrame, documents: DataFrame) -> DataFrame:
-    """Point messages of every road in the places the updates belong to.
+def live_messages(
+    updates: DataFrame, documents: DataFrame, radius_m: float = WEATHER_RADIUS_M
+) -> DataFrame:
+    """Point messages of every road whose first node is near an update's coordinate.
 
-    ``documents``: road documents with place columns, as the enrich job writes them.
+    ``documents``: road documents with the first node's place, as the enrich job writes
+    them. An update counts within ``radius_m``, and is found from any side of a cell border.
     """
-    by = ["place_row", "place_column"]
-    placed = updates.select(*place_columns(F.col("lat"), F.col("lon")), "weather_info")
-    return as_messages(flatten_documents(refresh(placed, documents, by, ["way_id", "part"])))
+    lat, lon = F.col("lat"), F.col("lon")
+    touched = F.explode(cells_touched(lat, lon, F.lit(radius_m), radius_m)).alias("cell")
+    placed = updates.select(touched, lat.alias("seen_lat"), lon.alias("seen_lon"), "weather_info")
+    place = [F.col("first_lat"), F.col("first_lon")]
+    celled = documents.withColumn("cell", cell_at(*place, radius_m))
+    fresh = refresh(placed, celled, ["cell"], ["way_id", "part"], keep=["seen_lat", "seen_lon"])
+    near = haversine_m(*place, F.col("seen_lat"), F.col("seen_lon")) <= radius_m
+    return as_messages(flatten_documents(fresh.filter(near)))
 
 
 def scenario_messages(documents: DataFrame, now: Column | None = None) -> DataFrame:
@@ -63,12 +72,22 @@ def start_live(
     return append_stream(messages, out, checkpoint, format, None, every_seconds, **options)
 
 
+def topic_options(servers: str, topic: str) -> dict[str, str]:
+    """Writer options of a Kafka topic."""
+    if not servers or not topic:
+        raise ValueError("a topic needs --servers and --topic")
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def main() -> None:
     options = argparse.ArgumentParser(description=__doc__)
     modes = options.add_subparsers(dest="mode", required=True)
     live, scenarios = modes.add_parser("live"), modes.add_parser("scenarios")
     for name in ("roads", "weather", "out", "checkpoint"):
         live.add_argument(f"--{name}", required=True)
+    live.add_argument("--format", default="text", choices=["text", "kafka"])
+    live.add_argument("--servers", default="")
+    live.add_argument("--topic", default="")
     for name in ("documents", "out"):
         scenarios.add_argument(f"--{name}", required=True)
     args = options.parse_args()
@@ -76,7 +95,11 @@ def main() -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if args.mode == "live":
         updates = read_documents(spark, args.weather, UPDATE)
-        start_live(updates, spark.read.parquet(args.roads), args.out, args.checkpoint).awaitTermination()
+        settings = topic_options(args.servers, args.topic) if args.format == "kafka" else {}
+        documents = spark.read.parquet(args.roads)
+        start_live(
+            updates, documents, args.out, args.checkpoint, args.format, **settings
+        ).awaitTermination()
     else:
         documents = read_jsonl(spark, args.documents, ROAD_EVENT)
         scenario_messages(documents).write.mode("append").text(args.out)

@@ -1,6 +1,6 @@
 """Report: recent points inside a map rectangle and the roads of highest risk.
 
-    spark-submit -m pavelore.plans.report --scored FOLDER
+    spark-submit -m pavelore.plans.report --scored FOLDER --out FOLDER
 """
 
 from __future__ import annotations
@@ -35,17 +35,22 @@ def risk_table(scored: DataFrame, now: Column) -> DataFrame:
     return top_roads(recent_points(scored, now))
 
 
+def write_report(scored: DataFrame, now: Column, out: str) -> None:
+    """Write all map points and the table of roads; a report of the same folder is replaced."""
+    map_points(scored, now).write.mode("overwrite").parquet(f"{out}/points")
+    risk_table(scored, now).write.mode("overwrite").parquet(f"{out}/roads")
+
+
 def main() -> None:
     options = argparse.ArgumentParser(description=__doc__)
     options.add_argument("--scored", required=True)
+    options.add_argument("--out", required=True, help="points/ and roads/ are written below")
     options.add_argument("--now", help="ISO time; default: the present")
     args = options.parse_args()
     spark = SparkSession.builder.appName("pavelore-report").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     now = F.lit(args.now).cast("timestamp") if args.now else F.current_timestamp()
-    scored = read_scored(spark, args.scored)
-    risk_table(scored, now).orderBy("is_other", F.desc("avg_danger")).show(truncate=False)
-    map_points(scored, now).show()
+    write_report(read_scored(spark, args.scored), now, args.out)
 
 
 if __name__ == "__main__":

@@ -64,6 +64,15 @@ def start(
     ]
 
 
+def wait(spark: SparkSession, running: list[StreamingQuery]) -> None:
+    """Wait until one stream ends, then stop the others; its failure is raised."""
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for query in running:
+            query.stop()
+
+
 def main() -> None:
     options = argparse.ArgumentParser(description=__doc__)
     for name in ("models", "version", "place", "out", "checkpoint"):
@@ -79,8 +88,7 @@ def main() -> None:
     messages = read_messages(spark, args.source, args.place, **settings)
     model = load_model(args.models, args.version)
     running = start(messages, model, args.out, args.checkpoint, args.on_invalid, args.every_seconds)
-    for query in running:
-        query.awaitTermination()
+    wait(spark, running)
 
 
 if __name__ == "__main__":

@@ -18,6 +18,7 @@ def local_session(cores: str = "*", app: str = "pavelore", partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -26,13 +27,16 @@ def local_session(cores: str = "*", app: str = "pavelore", partitions: int = 8)
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Where the session names none (tests, one machine) a local folder is set instead.
+    Where the session names none, a local folder is set if the master is local (tests, one
+    machine); on a cluster executors would not see it, so that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     current = spark.sparkContext.getCheckpointDir()
     if not folder and not current:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="pavelore-")
     if folder and not current:
         spark.sparkContext.setCheckpointDir(folder)

@@ -168,3 +168,15 @@ def test_child_cells_nest(spark):
             | (geo.haversine_m(lat, lon, *centre) > geo.cell_reach_m(child, 100.0, level + 1))
         )
         assert bad.count() == 0
+
+
+def test_letters_bound_is_never_below_the_score(spark):
+    import random
+
+    rng = random.Random(4)
+    words = ["via roma", "corso_2", "main st", "st main", "a", "", "zz top", "3 elm", "elm 33"]
+    text = lambda: " ".join(sorted(rng.choice(words) for _ in range(rng.randint(0, 3)))).strip()
+    pairs = spark.createDataFrame([(text(), text()) for _ in range(400)], "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    got = pairs.select(strings.letters_bound(a, b).alias("bound"), strings.similarity(a, b).alias("score")).collect()
+    assert all(r.bound + 0.5 >= r.score for r in got)

@@ -119,6 +119,10 @@ def test_score_job_with_side_outputs(spark, fitted):
         scored, now)._jdf.queryExecution().toString()
     assert report.map_points(scored, now).count() == 3
     assert [r["name"] for r in report.risk_table(scored, now).collect()] == ["n"]
+    out = scratch_path(spark, "report")
+    report.write_report(scored, now, out)
+    assert spark.read.parquet(f"{out}/points").count() == 3
+    assert [r["name"] for r in spark.read.parquet(f"{out}/roads").collect()] == ["n"]
     assert report.recent_points(scored, F.lit("2024-07-25 17:00:00").cast("timestamp")).count() == 0
 
 
@@ -171,7 +175,8 @@ def test_enrich_job(spark, fitted):
         f"lat double, lon double, weather_info {info}")
     complete, missing = enrich.add_weather(documents, seen)
     assert missing.count() == 0
-    assert {r[0] for r in complete.select("weather_info.main.temp").collect()} == {6.0}
+    # the nearer observation, though the other one is newer
+    assert {r[0] for r in complete.select("weather_info.main.temp").collect()} == {5.0}
     copies = enrich.all_copies(addresses, matched, complete)
     assert copies.count() == 4
     many = addresses.crossJoin(spark.range(1250).drop("id"))
@@ -202,9 +207,9 @@ def test_live_messages_are_sent_once_per_update(spark):
     node = tuple([0] * 9) + (37.5, 15.0)
     info = ROAD_EVENT["nodes_info"].dataType.simpleString()
     roads_table = spark.createDataFrame(
-        [(i, 0, "x", f"n{i}", [[37.5, 15.0]], [node] * 3, 375 if i < 3 else 10, 150) for i in (1, 2, 3)],
+        [(i, 0, "x", f"n{i}", [[37.5, 15.0]], [node] * 3, 37.5 if i < 3 else 1.0, 15.0) for i in (1, 2, 3)],
         "way_id long, part int, highway string, name string, lista_coppie array<array<double>>,"
-        f" nodes_info {info}, place_row int, place_column int")
+        f" nodes_info {info}, first_lat double, first_lon double")
     arrived, path = scratch_path(spark, "updates"), scratch_path(spark, "live")
 
     def update(temperature):

@@ -475,3 +475,63 @@ def test_first_per_group_aggregates_without_a_window(spark):
     first = relational.first_per_group(df, ["k"], [F.col("o")])
     assert listed(first.select("k", "o")) == [("a", 1), ("b", 5)]
     assert "Window" not in first._jdf.queryExecution().toString()
+
+
+def test_nearest_weather_crosses_cell_borders(spark):
+    info = "weather_info struct<main: struct<temp: double>, weather: array<struct<icon: string>>, dt: bigint>"
+    make = lambda temp, dt, icons=("01d",): ((temp,), [(i,) for i in icons], dt)
+    road = spark.createDataFrame(
+        [(1, 37.0999, 15.0), (2, 37.0999, 15.0), (3, 60.0, 15.0), (4, None, 15.0), (5, 0.0, 179.99999)],
+        "way_id int, first_lat double, first_lon double")
+    seen = spark.createDataFrame(
+        [(37.1001, 15.0, make(1.0, 10)), (37.1001, 15.0, make(2.0, 20)), (37.05, 15.0, make(3.0, 99)),
+         (37.0999, 15.0, make(4.0, 99, ())), (60.5, 15.0, make(5.0, 1)), (0.0, -179.99999, make(6.0, 1))],
+        "lat double, lon double, " + info)
+    got = roads.nearest_weather(road, seen, 10_000.0).select("way_id", "weather_info.main.temp")
+    assert listed(got) == [(1, 2.0), (2, 2.0), (5, 6.0)]
+
+
+def test_top_n_keeps_its_order_beyond_the_heap(spark, monkeypatch):
+    from pavelore.operators import ranking
+
+    rows = spark.range(200).select(((F.col("id") * 37) % 200).alias("v"))
+    for limit in (10_000, 10):
+        monkeypatch.setattr(ranking, "HEAP_LIMIT", limit)
+        assert [r.v for r in ranking.top_n(rows, 50, [F.col("v")]).collect()] == list(range(50))
+
+
+def test_training_partitions_follow_from_the_rows(spark, monkeypatch):
+    from pavelore.operators import model
+
+    monkeypatch.setattr(model, "ROWS_PER_TASK", 100)
+    rows = spark.range(700).select("id", (F.col("id") % 7).alias("k"))
+    dealt = [
+        model._spread(df).withColumn("p", F.spark_partition_id()).collect()
+        for df in (rows.coalesce(1), rows.repartition(5), rows.repartition(3, "k"))
+    ]
+    assert dealt[0] == dealt[1] == dealt[2] and len({r.p for r in dealt[0]}) == 7
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from pavelore.session import shared_folder
+
+    def session(master):
+        conf = SimpleNamespace(get=lambda *a: None)
+        context = SimpleNamespace(master=master, getConf=lambda: conf, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert shared_folder(session("local[4]"))
+    with pytest.raises(ValueError):
+        shared_folder(session("spark://host:7077"))
+
+
+def test_a_long_way_continues_in_further_documents(spark):
+    flags = {f: 0 for f in FLAGS}
+    names = ["way_id", "pos", "node_id", "lat", "lon", *flags]
+    nodes = spark.createDataFrame([(1, i, i, 37.0, 15.0, *flags.values()) for i in range(25)], names)
+    ways = spark.createDataFrame([(1, "x", "n")], "way_id long, highway string, name string")
+    parts = nearby.road_documents(ways, nodes, limit=10).select("part", F.size("nodes_info")).collect()
+    assert sorted(map(tuple, parts)) == [(0, 10), (1, 10), (2, 5)]
+    assert nearby.road_documents(ways, nodes, limit=25).count() == 1
