@@ -60,6 +60,78 @@ def ml_features(spark, sf):
     return vectors.select(*[values[i].alias(name) for i, name in enumerate(FEATURES)])
 
 
+# A tree of one split, on a label that one flag decides up to noise: its predictions are two
+# group means, so SQL can state all that follows from them. Labels are exact binary fractions.
+STUMP_FLAG = "Crossing"
+_stump_label = f"""(0.25e0 + 0.5e0 * "{STUMP_FLAG}" + 0.125e0 * ("count" % 2))"""
+STUMP_SQL = f"""{JOINED_SQL},
+    labelled AS (SELECT *, {_stump_label} AS label FROM counts),
+    means AS (SELECT "{STUMP_FLAG}" AS flag, avg(label) AS mean FROM labelled GROUP BY 1),
+    figures AS (SELECT min(mean) AS min_pred, max(mean) AS max_pred,
+      round(sqrt(avg((label - mean) * (label - mean))), 9) AS rmse
+      FROM labelled JOIN means ON flag = "{STUMP_FLAG}")"""
+_stumps: dict = {}
+
+
+def stump(spark, sf):
+    """The labelled table and the one-split model, once per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stumps:
+        label = F.lit(0.25) + 0.5 * F.col(STUMP_FLAG) + 0.125 * (F.col("count") % 2)
+        table = materialize(condition_counts(spark, sf).withColumn(LABEL, label))
+        _stumps[key] = (table, model.train(table, trees=1, depth=1, bootstrap=False))
+    return _stumps[key]
+
+
+@query(
+    "ml_stump_score",
+    f"""WITH {cte('accidents', 'roads')}, {STUMP_SQL}
+    SELECT {', '.join(f'"{c}"' for c in CONDITIONS)}, mean AS prediction
+    FROM labelled JOIN means ON flag = "{STUMP_FLAG}\"""",
+)
+def ml_stump_score(spark, sf):
+    """Train a one-split forest and score the training table."""
+    table, fitted = stump(spark, sf)
+    return fitted.transform(table).select(*[F.col(f"`{c}`") for c in CONDITIONS], "prediction")
+
+
+@query("ml_stump_evaluate", f"WITH {cte('accidents', 'roads')}, {STUMP_SQL} SELECT * FROM figures")
+def ml_stump_evaluate(spark, sf):
+    table, fitted = stump(spark, sf)
+    return model.evaluate(fitted.transform(table)).withColumn("rmse", F.round("rmse", 9))
+
+
+_importances = ", ".join(f"({i}, '{f}', {float(f == STUMP_FLAG)}e0)" for i, f in enumerate(FEATURES))
+
+
+@query(
+    "ml_stump_importance",
+    f"""WITH {cte('accidents', 'roads')}, {JOINED_SQL}
+    SELECT position::INTEGER AS position, feature, importance
+    FROM (VALUES {_importances}) v(position, feature, importance), (SELECT count(*) AS n FROM counts) WHERE n > 0""",
+)
+def ml_stump_importance(spark, sf):
+    """All importance is the flag's."""
+    return model.importances(stump(spark, sf)[1], spark)
+
+
+@query(
+    "ml_stump_report",
+    f"""WITH {cte('accidents', 'roads')}, {STUMP_SQL}
+    SELECT 'v1' AS version, 0::INTEGER AS position, 'min_pred' AS metric, round(min_pred, 9) AS value FROM figures
+    UNION ALL SELECT 'v1', 1, 'max_pred', round(max_pred, 9) FROM figures
+    UNION ALL SELECT 'v1', 2, 'rmse', rmse FROM figures
+    UNION ALL SELECT 'v1', position + 3, 'importance ' || feature, importance
+      FROM (VALUES {_importances}) v(position, feature, importance)""",
+)
+def ml_stump_report(spark, sf):
+    """The report of the one-split model, appended to a table and read back."""
+    table, fitted = stump(spark, sf)
+    path = scratch_path(spark, "report")
+    model.append_report(model.report(fitted, fitted.transform(table), "v1"), path)
+    return spark.read.parquet(path).withColumn("value", F.round("value", 9))
+
+
 @query("ml_train")
 def ml_train(spark, sf):
     """Fit on the labelled table; predictions per condition."""

@@ -10,8 +10,8 @@ from ..session import scratch_path
 from ..sources.streams import append_stream, as_messages, read_documents, read_messages
 from ..streaming import points as point_steps
 from ..streaming import scoring, weather
-from .base import cte, icon_text, load, query, standin
-from .models import trained
+from .base import cte, icon_class_sql, icon_text, load, query, standin
+from .models import STUMP_FLAG, STUMP_SQL, stump, trained
 from .scalars import FLAT_SQL
 
 
@@ -102,10 +102,8 @@ def stream_messages(spark, sf):
     )
 
 
-@query("stream_score")
-def stream_score(spark, sf):
-    """Messages to scored points with the fitted model; unscoreable rows go aside."""
-    _, fitted = trained(spark, sf)
+def _scored_stream(spark, sf, fitted):
+    """The scored points that the streams of the score job append."""
     folder, path = scratch_path(spark, "messages"), scratch_path(spark, "score")
     as_messages(standin(spark, sf, "points")).write.text(folder)
     running = score.start(
@@ -116,3 +114,25 @@ def stream_score(spark, sf):
     scored = spark.read.parquet(f"{path}/out/scored").drop("event_date")
     return scored.select(*[F.col(f"`{f.name}`") for f in SCORED.fields if f.name != "location"],
                          F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon"))
+
+
+@query("stream_score")
+def stream_score(spark, sf):
+    """Messages to scored points with the fitted model; unscoreable rows go aside."""
+    return _scored_stream(spark, sf, trained(spark, sf)[1])
+
+
+@query(
+    "stream_stump_score",
+    f"""WITH {cte('accidents', 'roads', 'points')}, {STUMP_SQL}
+    SELECT p.way_id, p.name, p.lat, p.lon, mean AS danger_index
+    FROM points p JOIN means ON flag = p."{STUMP_FLAG}"
+    WHERE p.highway IN (SELECT highway FROM counts)
+      AND {icon_class_sql('weather_icon')} IN (SELECT "Weather_Condition" FROM counts)
+      AND CASE WHEN substr(weather_icon, 3, 1) = 'd' THEN 'Day' ELSE 'Night' END
+        IN (SELECT "Sunrise_Sunset" FROM counts)""",
+)
+def stream_stump_score(spark, sf):
+    """The score job with a one-split model, whose predictions are two group means."""
+    scored = _scored_stream(spark, sf, stump(spark, sf)[1])
+    return scored.select("way_id", "name", "lat", "lon", "danger_index")

@@ -41,8 +41,12 @@ def train(
     depth: int = FOREST_DEPTH,
     seed: int = 42,
     on_invalid: str = "error",
+    bootstrap: bool = True,
 ) -> PipelineModel:
-    """Fit codes, vector and forest as one pipeline model."""
+    """Fit codes, vector and forest as one pipeline model.
+
+    Without ``bootstrap`` every tree sees every row once.
+    """
     forest = RandomForestRegressor(
         labelCol=label,
         featuresCol=VECTOR,
@@ -52,6 +56,7 @@ def train(
         maxBins=bins_needed(df),
         featureSubsetStrategy="all",
         seed=seed,
+        bootstrap=bootstrap,
         maxMemoryInMB=1024,
         cacheNodeIds=True,
     )
