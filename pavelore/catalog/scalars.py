@@ -8,6 +8,7 @@ from ..fixed import FLAGS, MAP_BOUNDS
 from ..functions import conditions, strings, times, units
 from ..functions.nested import location
 from ..operators import cleaning, relational, report
+from ..operators.roads import name_road_key
 from ..sources.streams import as_messages
 from ..streaming import points as point_steps
 from ..streaming import scoring
@@ -278,18 +279,13 @@ def proj_select(spark, sf):
 
 @query(
     "proj_rename",
-    """SELECT l_orderkey AS way_id, l_quantity AS "Temperature(C)", l_discount AS danger_index
-    FROM lineitem""",
+    f"""WITH {cte('roads')}
+    SELECT input_street AS "Street", input_city AS "City", input_county AS "County",
+      input_state AS "State" FROM roads""",
 )
 def proj_rename(spark, sf):
-    return (
-        load(spark, sf, "lineitem")
-        .select("l_orderkey", "l_quantity", "l_discount", "l_tax")
-        .withColumnsRenamed(
-            {"l_orderkey": "way_id", "l_quantity": "Temperature(C)", "l_discount": "danger_index"}
-        )
-        .drop("l_tax")
-    )
+    """The road table's key columns under the accident table's names, without the road type."""
+    return name_road_key(standin(spark, sf, "roads")).drop("highway")
 
 
 @query(

@@ -11,6 +11,7 @@ from ..functions.units import f_to_c, round_int
 from .relational import require_not_null
 from .skew import balanced_join
 
+# Columns without which an accident is left out.
 REQUIRED = [
     "Temperature(F)", "Humidity(%)", "Pressure(in)", "Wind_Speed(mph)", "Weather_Condition",
     *FLAGS, "Sunrise_Sunset",

@@ -27,13 +27,17 @@ def training_table(
 def train_and_save(
     table: DataFrame, folder: str, version: str | None = None, **settings
 ) -> tuple[PipelineModel, str]:
-    """Fit on the labelled table, save model and report; returns model and version."""
+    """Fit on the labelled table, save model, report and table; returns model and version.
+
+    The table is saved beside the model, so that a refit needs no accidents.
+    """
     table = table.persist()
     try:
         fitted = model.train(table, **settings)
         version = model.save_model(fitted, folder, version)
         rows = model.report(fitted, fitted.transform(table), version)
         model.append_report(rows, f"{folder}/{version}/report")
+        table.write.mode("overwrite").parquet(f"{folder}/{version}/training")
     finally:
         table.unpersist()
     return fitted, version

@@ -11,6 +11,7 @@ def _struct(**fields):
 
 _text, _int, _long, _double = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
+# Columns of the accident and road tables.
 ACCIDENTS = _struct(
     **dict.fromkeys(["Street", "City", "County", "State"], _text),
     **dict.fromkeys(
@@ -30,6 +31,7 @@ NODES = _struct(node_id=_long, lat=_double, lon=_double)
 POIS = _struct(poi_id=_long, lat=_double, lon=_double, tags=T.MapType(_text, _text))
 GAZETTEER = _struct(address=_text, rank=_int, lat=_double, lon=_double)
 
+# Flag order of a nested node.
 NODE_FLAG_ORDER = [
     "Crossing", "Give_Way", "Railway", "Stop", "Traffic_Calming", "Traffic_Signal",
     "Amenity", "No_Exit", "Junction",
@@ -55,6 +57,7 @@ ROAD_EVENT = _struct(
 
 # Flat point event on the stream. Whole-number fields arrive as JSON numbers that may
 # carry a fraction, so they are declared double here and truncated by the decoder.
+# Flag order of a point event.
 POINT_FLAG_ORDER = [
     "Give_Way", "Crossing", "Traffic_Calming", "Traffic_Signal", "Railway", "Stop",
     "Amenity", "No_Exit", "Junction",
@@ -74,6 +77,7 @@ POINT_EVENT = _struct(
     weather_timestamp_iso8601=_text,
 )
 
+# Columns of a scored point, in order.
 SCORED_COLUMNS = [
     "way_id", "highway", "name", "Temperature(C)", "Humidity(%)", "Pressure(in)",
     "Wind_Speed(mph)", "Sunrise_Sunset", "Weather_Condition", "Amenity", "Give_Way",
