@@ -308,7 +308,7 @@ def exploded(docs: DataFrame, text_col: str) -> DataFrame:
     others = [c for c in docs.columns if c != text_col]
     parts = F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "text")
     rows = docs.select(*others, parts)
-    return rows.filter(F.length(F.trim(F.lit(BLANK), F.col("text"))) > 0)
+    return rows.filter(F.length(F.trim(F.col("text"), F.lit(BLANK))) > 0)
 
 
 def name(line) -> F.Column:
