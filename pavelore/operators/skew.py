@@ -19,11 +19,27 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimate is below the session's broadcast threshold."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+def broadcast_limit(spark: SparkSession) -> int:
+    return as_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+
+
+def looks_small(df: DataFrame) -> bool:
+    """Whether Catalyst's estimate is below the session's broadcast threshold."""
     size = estimated_bytes(df)
-    return size is not None and 0 <= size <= as_bytes(limit)
+    return size is not None and 0 <= size <= broadcast_limit(df.sparkSession)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the rows are below the session's broadcast threshold.
+
+    The estimate does not see how many rows ``explode`` makes; where there is one, the rows
+    are counted.
+    """
+    if not looks_small(df):
+        return False
+    if "Generate" not in df._jdf.queryExecution().optimizedPlan().toString():
+        return True
+    return df.count() * df._jdf.schema().defaultSize() <= broadcast_limit(df.sparkSession)
 
 
 def as_bytes(setting: str) -> int:
@@ -72,6 +88,8 @@ def balanced_join(
     if salt is None:
         if fits_broadcast(right):
             return left.join(F.broadcast(right), on=on, how=how)
+        if looks_small(right):  # Catalyst would broadcast it by its estimate
+            right = right.hint("merge")
         salt = not splits_hot_partitions(left.sparkSession)
     if not salt:
         return left.join(right, on=on, how=how)

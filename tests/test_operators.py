@@ -535,3 +535,15 @@ def test_a_long_way_continues_in_further_documents(spark):
     parts = nearby.road_documents(ways, nodes, limit=10).select("part", F.size("nodes_info")).collect()
     assert sorted(map(tuple, parts)) == [(0, 10), (1, 10), (2, 5)]
     assert nearby.road_documents(ways, nodes, limit=25).count() == 1
+
+
+def test_an_exploded_side_is_counted_before_it_is_broadcast(spark):
+    from pavelore.operators.skew import balanced_join
+
+    keys = spark.range(300).select("id")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for copies, broadcast in ((2, True), (20_000, False)):
+        many = keys.select("id", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
+        joined = balanced_join(spark.range(300).select("id"), many, ["id"])
+        assert ("BroadcastHashJoin" in plan(joined)) == broadcast
+        assert joined.count() == 300 * copies
