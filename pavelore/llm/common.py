@@ -11,6 +11,9 @@ from ..session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+EDGES_TOGETHER = 100_000  # edges of a component search that one task keeps, about
+
+
 def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
     """Bound the bytes of an Arrow batch, so that a batch of long texts fits in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
@@ -35,7 +38,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     kept = F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))
     edges = materialize(edges.select("a", "b").filter(kept).distinct())
-    before = None
+    # Rounds are many and edges only get fewer: few edges are kept in few files.
+    parts = 1 + edges.count() // EDGES_TOGETHER
+    edges, before = edges.coalesce(parts), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -46,7 +51,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(
-            small.unionByName(least.select("a", F.col("m").alias("b"))).filter("a != b").distinct()
+            small.unionByName(least.select("a", F.col("m").alias("b")))
+            .filter("a != b")
+            .distinct()
+            .coalesce(parts)
         )
         state = edges.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("h")
