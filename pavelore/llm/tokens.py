@@ -6,7 +6,7 @@ import re
 import string
 import struct
 
-CACHED_WORDS = 600_000  # and those of one batch
+CACHED_WORDS = 250_000  # words of a generation, and those of one batch
 MARKS = string.punctuation.encode()
 COMBINING = re.compile("[\u0300-\u036f]")  # marks that make one letter with an ASCII one
 LATIN_END = "ɐ"  # letters before it are composed and lower-cased one by one
@@ -42,6 +42,7 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {b"": b""}
 
     def _whole(self, words: list[bytes]) -> list[bytes]:
@@ -71,15 +72,19 @@ class WordIds:
         return ids
 
     def learn(self, words: set[bytes]) -> None:
-        known = self.words
-        if len(known) >= CACHED_WORDS:
-            known.clear()
-        other = []
+        if len(self.words) >= CACHED_WORDS:  # words not met since the last time are forgotten
+            self.words, self.older = {}, self.words
+        known, older, other = self.words, self.older, []
         for word in words:
             if word in known:
                 continue
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
             core = word.strip(MARKS)
-            ids = known.get(core) if len(core) < len(word) else None
+            if len(core) < len(word):
+                ids = known.get(core) or older.get(core)
             if ids is None and core:
                 ids = self._letters(core)
             if ids is None:
@@ -95,27 +100,24 @@ class WordIds:
                     known[word] = self._around(front) + ids + self._around(back)
         known.update(zip(other, self._whole(other)))
 
-    def words_and_ids(self, texts: list[str | None]) -> tuple[list[list[bytes]], list[bytes]]:
-        """The words of each text between ASCII white space, A-Z lowered, and its ids."""
-        split, marked = [], []
+    def split(self, texts: list[str | None]) -> list[list[bytes]]:
+        """The words of each text between ASCII white space, lowered where that is safe."""
+        found = []
         for t in texts:
             raw = t.encode() if t else b""
-            if t and COMBINING.search(t):
-                marked.append(len(split))
-                split.append(raw.split())
-            else:
-                split.append(raw.lower().split())
-        distinct = set().union(*split)
-        self.learn(distinct)
-        known = self.words
-        get = {word: known[word] for word in distinct}.__getitem__
-        ids = [b"".join(map(get, words)) for words in split]
-        for at in marked:
-            split[at] = [word.lower() for word in split[at]]
-        return split, ids
+            found.append((raw if t and COMBINING.search(t) else raw.lower()).split())
+        return found
+
+    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of some words."""
+        self.learn(words)
+        learned = self.words
+        return {word: learned[word] for word in words}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        return self.words_and_ids(texts)[1]
+        split = self.split(texts)
+        get = self.known(set().union(*split)).__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 _LOADED: dict[str, WordIds] = {}
