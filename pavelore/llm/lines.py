@@ -16,12 +16,14 @@ from ..session import materialize
 from .common import small_batches
 
 MAX_EDITS = 2
+WORDS_PER_EDIT = 20  # words of the shorter line for each word that may be changed, added or dropped
 LEAST_CHARS = 24  # shorter lines are equal or not alike
 BROADCAST_LINES = 2_000_000  # up to so many counted line numbers of 8 bytes are broadcast
 BLOCK = 1024  # bucket rows compared with as many at a time
 MOST_TOGETHER = 20_000  # larger buckets are cut by letter counts and dealt out again
 CACHED_LINES = 500_000
-INDEXED = 1 << 32  # mark of a row that stands for a segment, not for a looked-up substring
+INDEXED = 1 << 63  # mark of a row that stands for a segment, not for a looked-up substring
+COUNTS = (1 << 32) - 1  # bits of a mark that hold counts; those between hold the word edits
 _SHIFTS = np.arange(0, 32, 2, dtype=np.uint64)
 
 
@@ -51,6 +53,48 @@ def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     return found
 
 
+def word_edits(words: int) -> int:
+    """Words that may differ from a line of so many words, or from a longer one."""
+    return words // WORDS_PER_EDIT
+
+
+def word_plan(words: int) -> list[tuple[int, int, int, int, bool]]:
+    """``edits, segment, start, end, indexed`` of the runs of words that stand for a line.
+
+    Lines of as many word edits ``k`` have ``k + 1`` segments of the same places and size. Of
+    the first segments that hold in all no more edits than their last one's number, the last
+    is unchanged and moved by no more than its number; a longer line looks it up there.
+    """
+    found, own = [], word_edits(words)
+    for k in range(own, 0, -1):
+        if words - k > (k + 1) * WORDS_PER_EDIT - 1:
+            break
+        size = k * WORDS_PER_EDIT // (k + 1)
+        for i in range(k + 1):
+            if k == own:
+                found.append((k, i, i * size, (i + 1) * size, True))
+            for start in range(max(0, i * size - i), min(i * size + i, words - size) + 1):
+                if k < own or start != i * size:
+                    found.append((k, i, start, start + size, False))
+    return found
+
+
+def word_counts(words: list[str]) -> int:
+    """Counts of the words in 16 buckets by hash, modulo 4, packed into 32 bits."""
+    codes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) & 15 for w in words])
+    counts = np.bincount(codes, minlength=16).astype(np.uint64) & np.uint64(3)
+    return int((counts << _SHIFTS).sum())
+
+
+def near(x: str, y: str, edits: int) -> bool:
+    """Whether two lines are within ``edits`` character edits or the word edits of the shorter one."""
+    if within(x, y, edits):
+        return True
+    x, y = x.split(), y.split()
+    most = word_edits(min(len(x), len(y)))
+    return most > 0 and within(x, y, most)
+
+
 def letter_counts(line: str) -> int:
     """Counts of the characters in 16 buckets, modulo 4, packed into 32 bits."""
     codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -136,11 +180,21 @@ def _keys(line: str, edits: int, plans: dict) -> Iterator[tuple[int, int]]:
         yield xxhash.xxh3_64_intdigest(line[start:end].encode("utf-8", "surrogatepass"), seed), mark
 
 
+def _word_keys(line: str) -> Iterator[tuple[int, int]]:
+    """Keys of a line's runs of words and their marks."""
+    words = line.split()
+    if word_edits(len(words)):
+        counts = word_counts(words)
+        for k, i, start, end, indexed in word_plan(len(words)):
+            text = " ".join(words[start:end]).encode("utf-8", "surrogatepass")
+            yield xxhash.xxh3_64_intdigest(text, (1 << 48) + (k << 20) + i), counts | k << 32 | indexed * INDEXED
+
+
 def segment_rows(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
     """``key, line, marks``: the segment index and its probes, for lines long enough.
 
     ``line`` is the line's hash, ``marks`` its letter counts and whether the key is a segment
-    of its own. A task gives a line's rows once, however often the line comes.
+    of its own; keys of runs of words have word counts and the word edits. A task gives a line's rows once, however often the line comes.
     """
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "line", "marks")])
 
@@ -164,6 +218,10 @@ def segment_rows(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
                         keys.append(key)
                         lines.append(name)
                         marks.append(counts | mark)
+                    for key, mark in _word_keys(line):
+                        keys.append(key)
+                        lines.append(name)
+                        marks.append(mark)
                 if len(keys) > 100_000:
                     yield _longs(schema, keys, lines, marks)
                     keys, lines, marks = [], [], []
@@ -179,16 +237,17 @@ def _longs(schema: T.StructType, *columns: list[int]) -> pa.RecordBatch:
 
 
 def _alike(lines: np.ndarray, marks: np.ndarray, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different lines of one bucket, one of them indexed, with near letter counts."""
-    counts, indexed = marks & np.uint64(INDEXED - 1), (marks & np.uint64(INDEXED)) > 0
+    """Pairs of different lines of one bucket, one of them indexed, with near counts."""
+    counts, indexed = marks & np.uint64(COUNTS), (marks & np.uint64(INDEXED)) > 0
+    edits = int(marks[0] & np.uint64(INDEXED - 1)) >> 32 or edits  # the same in all of a bucket
     for i in range(0, len(lines), BLOCK):
         for j in range(i, len(lines), BLOCK):
             x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
-            near = counts_apart(counts[x, None], counts[None, y]) <= 2 * edits
-            near &= (indexed[x, None] | indexed[None, y]) & (lines[x, None] != lines[None, y])
+            alike = counts_apart(counts[x, None], counts[None, y]) <= 2 * edits
+            alike &= (indexed[x, None] | indexed[None, y]) & (lines[x, None] != lines[None, y])
             if i == j:
-                near = np.triu(near, 1)
-            a, b = np.nonzero(near)
+                alike = np.triu(alike, 1)
+            a, b = np.nonzero(alike)
             if len(a):
                 yield lines[x][a], lines[y][b]
 
@@ -259,23 +318,26 @@ def _then(batches, last):
 
 
 def candidates(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
-    """Distinct pairs ``a, b`` of line hashes that may be within ``edits`` of each other."""
+    """Distinct pairs ``a, b`` of line hashes that may be near each other."""
     found = materialize(bucket_pairs(segment_rows(docs, edits, text_col), edits, MOST_TOGETHER))
     pairs = found.filter("b IS NOT NULL").select("a", "b")
     crowded = found.filter("b IS NULL").select("key", F.col("a").alias("line"), "marks")
     if not crowded.isEmpty():
+        of_words = F.shiftright("marks", 32).bitwiseAND(F.lit((1 << 31) - 1)) > 0
+        runs, crowded = crowded.filter(of_words), crowded.filter(~of_words)
         # An edit changes two letter counts at most: of 2 e + 2 groups of counts two are equal.
         groups = np.array_split(np.arange(16), 2 * edits + 2)
         bits = [sum(3 << (2 * int(i)) for i in g) for g in groups]
         cuts = [a | b for a, b in combinations(bits, 2)]
         finer = F.array(*[F.xxhash64("key", F.lit(c), F.col("marks").bitwiseAND(F.lit(c))) for c in cuts])
         cut = crowded.select(F.explode(finer).alias("key"), "line", "marks")
-        pairs = pairs.unionByName(bucket_pairs(cut, edits, None).select("a", "b"))
+        for rows in (cut, runs):
+            pairs = pairs.unionByName(bucket_pairs(rows, edits, None).select("a", "b"))
     return materialize(pairs.distinct())
 
 
 def near_lines(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
-    """``one, other``: names of different lines within ``edits`` of each other.
+    """``one, other``: names of different lines that are ``near`` each other.
 
     A line's name is a struct of two hashes. The texts of candidates are fetched by a second
     look at the documents, and every pair is verified.
@@ -293,8 +355,8 @@ def near_lines(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            near = pa.array([within(x, y, edits) for x, y in texts], pa.bool_())
-            yield batch.select([0, 1]).filter(near)
+            verified = pa.array([near(x, y, edits) for x, y in texts], pa.bool_())
+            yield batch.select([0, 1]).filter(verified)
 
     both = pairs.join(left, "a").join(right, "b").select("one", "other", "x", "y")
     return both.mapInArrow(run, both.select("one", "other").schema)
@@ -322,8 +384,9 @@ def deduplicate_lines(
     """Keep each line where it comes first; drop its copies and later near copies.
 
     Lines are ordered by document id (null last) and place. A line goes if an equal line
-    comes earlier, or one within ``edits`` character edits, both of 24 characters or more,
-    whose first place is earlier. Blank lines stay. Returns all rows and columns with the
+    comes earlier, or a near one, both of 24 characters or more, whose first place is
+    earlier. Near are lines within ``edits`` character edits, or that differ by at most one
+    word (changed, added or dropped) in ``WORDS_PER_EDIT`` of the shorter line. Blank lines stay. Returns all rows and columns with the
     text that is left, ``n_lines`` (not blank) and ``removed`` (numbers of the lines that
     went, from 0); columns of these two names are replaced.
 

@@ -119,3 +119,48 @@ def test_query_returns_every_document(spark):
     got = QUERIES["op3_lines"](spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and sum(r.n_removed for r in got) > 0
     assert all(len(r.removed) == r.n_removed <= r.n_lines for r in got)
+
+
+def altered(rng, line, edits):
+    words = line.split()
+    for _ in range(edits):
+        i, how = rng.randrange(len(words)), rng.random()
+        words[i : i + 1] = [] if how < 0.25 else [words[i], "added"] if how < 0.5 else [str(rng.randint(1000, 99999))]
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("most", [20_000, 4])
+def test_changed_words_of_long_lines_equal_brute_force(spark, monkeypatch, most):
+    """Lines of 200 to 1,000 characters with whole words changed, added or dropped."""
+    monkeypatch.setattr(lines, "MOST_TOGETHER", most)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghik") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    bases = [" ".join(rng.choice(words) for _ in range(rng.randint(36, 160))) for _ in range(14)]
+    texts = []
+    for i in range(90):
+        base = rng.choice(bases)
+        texts.append(altered(rng, base, rng.randint(0, lines.word_edits(len(base.split())) + 3)))
+    gone = set()
+    for k, b in enumerate(texts):
+        for a in texts[:k]:
+            x, y = a.split(), b.split()
+            if a == b or distance(x, y) <= min(len(x), len(y)) // 20:
+                gone.add(k)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in lines.deduplicate_lines(docs).collect() if r.removed}
+    assert got == gone and 20 < len(gone) < 85
+
+
+def test_near_word_runs_share_a_key():
+    rng = random.Random(6)
+    for _ in range(1500):
+        a = " ".join(rng.choice("abcdefghik") for _ in range(rng.randint(20, 210)))
+        b = altered(rng, a, rng.randint(0, lines.word_edits(len(a.split()))))
+        if not lines.near(a, b, 0):
+            continue
+        x, y = (list(lines._word_keys(t)) for t in (a, b))
+        own = [{k for k, mark in keys if mark >= lines.INDEXED} for keys in (x, y)]
+        assert own[0] & {k for k, _ in y} or own[1] & {k for k, _ in x}
+        most = lines.word_edits(min(len(a.split()), len(b.split())))
+        counts = [np.uint64(lines.word_counts(t.split())) for t in (a, b)]
+        assert lines.counts_apart(*counts) <= 2 * most
