@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language, lm, toxicity
+from .aligning import align_tokenizers
 from .common import documents, fold
 from .embeddings import near_vectors
 from .fingerprint import edited_pairs
@@ -166,3 +167,9 @@ FROM shared JOIN sizes USING (template_id) WHERE n_shared * 100 >= n_template *
 @query("op9_licenses", LICENSE_SQL)
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
+
+
+@query("op12_align")
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    return align_tokenizers(documents(spark, sf_dir), *map(tokenizer_file, names))
