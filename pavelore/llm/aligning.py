@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,9 +18,9 @@ from ..session import scratch_path
 from .common import small_batches
 from .tokens import _HIDDEN
 
-CACHED_UNITS = 150_000  # units of a generation; two generations are held
-CACHED_CHARS = 64  # longer units are encoded each time
 MARK = "▁"  # how the second tokenizer writes a space
+#: How byte-level tokenizers of this kind cut a text before they merge (fixed value).
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 BYTES = {chr(b): bytes([b]) for b in range(256) if b not in _HIDDEN} | {c: bytes([b]) for b, c in _HIDDEN.items()}
 
 
@@ -56,12 +57,10 @@ class Vocabularies:
 
 
 class Encoders:
-    """Both tokenizers with one bounded cache of the units that spaces part.
+    """Both tokenizers, each applied to whole texts.
 
-    The text is preceded by one space. A space between two characters that are no white
-    space begins a new token in both tokenizers, whatever stands before it: the first cuts
-    there by its pattern, the second has no piece with a space inside. So text is cut at
-    such spaces and a unit's ids depend on it alone.
+    The first is a byte-level one. Where its merges make ids in their order, as published
+    ones do, a merge by least id is the same, and the faster library is used.
     """
 
     def __init__(self, first_path: str, second_path: str):
@@ -73,67 +72,57 @@ class Encoders:
         self.tokenizer.encode_special_tokens = True
         self.pieces = SentencePieceProcessor(model_file=second_path)
         names = self.tokenizer.get_vocab()
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         first = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
-            first[i] = b"".join(BYTES.get(c, c.encode()) for c in name)
+            first[i] = name.encode() if name in special else b"".join(BYTES.get(c, c.encode()) for c in name)
         second = []
         for i in range(self.pieces.get_piece_size()):
             name = self.pieces.id_to_piece(i)
             second.append(bytes([int(name[3:-1], 16)]) if self.pieces.is_byte(i) else name.replace(MARK, " ").encode())
         self.vocabularies = Vocabularies(first, second)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[bytes, bytes] | None] = {}
-
-    @staticmethod
-    def units(text: str) -> list[str]:
-        """The text cut at single spaces between characters that are no white space."""
-        parts = text.split(" ")
-        found, open_ = [parts[0]], not parts[0] or parts[0][-1].isspace()
-        for part in parts[1:]:
-            if open_ or not part or part[0].isspace():
-                found[-1] += " " + part
-            else:
-                found.append(part)
-            open_ = not part or part[-1].isspace()
-        return found
-
-    def _learn(self, units: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of each unit as bytes; None where the tokens' bytes are not the unit's."""
-        if not units:
-            return {}
-        firsts = self.tokenizer.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
-        seconds = self.pieces.encode(units, num_threads=1)
-        a_bytes, b_bytes = self.vocabularies.first, self.vocabularies.second
-        found: dict[str, tuple[bytes, bytes] | None] = {}
-        for unit, x, y in zip(units, firsts, seconds):
-            want = (" " + unit).encode()
-            same = b"".join([a_bytes[i] for i in x.ids]) == want == b"".join([b_bytes[i] for i in y])
-            found[unit] = (np.array(x.ids, "<i4").tobytes(), np.array(y, "<i4").tobytes()) if same else None
-        return found
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
+        self.ranks = self._ranked(first_path, names, special)
+
+    def _ranked(self, path: str, names: dict[str, int], special: set[str]):
+        """The first tokenizer by ranks; None if its file is not of that kind."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        model, cut = told["model"], told.get("pre_tokenizer") or {}
+        plain = told.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+        if model.get("type") != "BPE" or not plain or cut.get("add_prefix_space") or model.get("ignore_merges"):
+            return None
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [names.get("".join(pair), -1) for pair in pairs]
+        if made != sorted(set(made)) or any(max(names[x], names[y]) >= i for (x, y), i in zip(pairs, made)):
+            return None
+        tokens = {self.vocabularies.first[i]: i for name, i in names.items() if name not in special}
+        if len(made) + 256 != len(tokens):
+            return None
+        return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=tokens, special_tokens={})
+
+    def _first(self, text: str) -> list[int]:
+        if self.ranks is not None:
+            try:
+                return self.ranks.encode_ordinary(text)
+            except BaseException as error:  # its pattern search gives up on very long runs of white space
+                if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
+                    raise
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids by both tokenizers; None for texts that have no tokens."""
-        split = [self.units(t) if t and MARK not in t else None for t in texts]
-        if len(self.known) > CACHED_UNITS:
-            self.known, self.older = {}, self.known
-        fresh, here = [], {}
-        for unit in set().union(*(u for u in split if u)):
-            if unit in self.known:
-                continue
-            if unit in self.older:
-                self.known[unit] = self.older[unit]
-            else:
-                fresh.append(unit)
-        for at in range(0, len(fresh), 4096):
-            for unit, ids in self._learn(fresh[at : at + 4096]).items():
-                (self.known if len(unit) <= CACHED_CHARS else here)[unit] = ids
-        found: list[tuple[bytes, bytes] | None] = []
-        for units in split:
-            if not units:
+        a_bytes, b_bytes = (v.__getitem__ for v in (self.vocabularies.first, self.vocabularies.second))
+        found: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for text in texts:
+            if not text:
                 found.append(None)
                 continue
-            pairs = [here[u] if u in here else self.known[u] for u in units] if here else list(map(self.known.__getitem__, units))
-            found.append(None if None in pairs else tuple(map(b"".join, zip(*pairs))))
+            x, y = self._first(" " + text), self.pieces.encode(text)
+            want = (" " + text).encode()
+            same = b"".join(map(a_bytes, x)) == want == b"".join(map(b_bytes, y))
+            found.append((np.array(x, dtype=np.int64), np.array(y, dtype=np.int64)) if same else None)
         return found
 
 
@@ -263,9 +252,9 @@ def aligned_documents(
         names = decimals(v)
         for batch in batches:
             found = both.encode(batch.column(1).to_pylist())
-            sizes = np.array([(len(x[0]) // 4, len(x[1]) // 4) if x else (0, 0) for x in found]).reshape(-1, 2)
-            first = np.frombuffer(b"".join([x[0] for x in found if x]), "<i4").astype(np.int64)
-            second = np.frombuffer(b"".join([x[1] for x in found if x]), "<i4").astype(np.int64)
+            sizes = np.array([(len(x[0]), len(x[1])) if x else (0, 0) for x in found], dtype=np.int64).reshape(-1, 2)
+            none = np.zeros(0, dtype=np.int64)
+            first, second = (np.concatenate([none, *(x[k] for x in found if x)]) for k in (0, 1))
             x = align(first, second, v)
             tokens = written(x, names, v)
             links = v.pair(first[x.last_first], second[x.last_second]).astype("<u4")

@@ -96,15 +96,16 @@ def test_query_equals_brute_force(spark):
         assert got[key][:4] == (len(a), len(b), len(ends), len(ends))
 
 
-def test_long_texts_and_cache_generations(spark, monkeypatch):
-    monkeypatch.setattr(aligning, "CACHED_UNITS", 5)
-    monkeypatch.setattr(aligning, "_LOADED", {})
+def test_both_libraries_give_the_ids_of_the_first_tokenizer(spark, monkeypatch):
     both = aligning.encoders(A, B)
-    for text in [t for t in ODD if t] * 2:
-        found = both.encode([text, "between"])[0]
-        a, b = plain(text)
-        want = ([i for i, _ in a], [i for i, _ in b])
-        assert (tuple(np.frombuffer(x, "<i4").tolist() for x in found) if found else ([], [])) == want
+    assert both.ranks is not None
+    texts = [t for t in ODD if t] + [" " * 3000 + "x", "\n" * 2000, "a1b22'llz'S ''tis", "x  y   \n\n z \t"]
+    texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect() if r.text]
+    want = [TOKENIZER.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert [both._first(" " + t) for t in texts] == want
+    assert len(both._first(" " * 2_000_000)) > 1000
+    monkeypatch.setattr(both, "ranks", None)
+    assert [both._first(" " + t) for t in texts] == want
 
 
 def test_null_ids_repeated_rows_and_no_rows(spark):
