@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from . import language, lm, toxicity
 from .aligning import align_tokenizers
+from ..session import scratch_path
 from .common import documents, fold
 from .embeddings import near_vectors
 from .fingerprint import edited_pairs
+from .infilling import fill_in_middle
 from .licenses import NOTICES, scan
 from .lines import deduplicate_lines
 from .mixing import mix
 from .neardup import near_duplicates
 from .packing import pack
+from .warc import read_archives, records, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,3 +176,55 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("byte_bpe_50k.json", "piece_bpe_32k.model")
     return align_tokenizers(documents(spark, sf_dir), *map(tokenizer_file, names))
+
+
+FIM_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digits FROM documents),
+h AS (
+  SELECT *, len(units)::BIGINT AS n, ('0x' || substr(digits, 1, 8))::BIGINT AS h1, ('0x' || substr(digits, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(digits, 17, 8))::BIGINT AS h3, ('0x' || substr(digits, 25, 8))::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+    array_to_string(units[high + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(prefix || middle || suffix) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_fill_in_middle", FIM_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(documents(spark, sf_dir), texts=False)
+
+
+#: Base32 of a digest: five hexadecimal digits are four letters.
+WARC_SQL = """
+WITH d AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS digits FROM pages),
+g AS (
+  SELECT *, count(*) OVER (PARTITION BY digits) AS n, max(page_id) OVER (PARTITION BY digits) AS response,
+    list_transform(range(8), lambda i: ('0x' || substr(digits, (5 * i + 1)::INT, 5))::BIGINT) AS parts FROM d)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((parts[(i // 4 + 1)::INT] >> (15 - 5 * (i % 4))::INT) % 32 + 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN n > 1 AND page_id IS DISTINCT FROM response THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n > 1 AND page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM g
+"""
+
+
+@query("op13_warc", WARC_SQL)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    found = records(read_archives(spark, path, payloads=False))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
