@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..fixed import MAX_TRAINING_CONDITIONS
 from ..operators import cleaning, labels, model
 from ..schemas import ACCIDENTS, ROADS
-from ..sources.files import read_csv
+from ..sources.files import read_csv, read_csv_checked
 
 
 def training_table(
@@ -43,6 +43,20 @@ def train_and_save(
     return fitted, version
 
 
+def train_from_files(
+    spark: SparkSession, accidents: str, roads: str, folder: str, n: int = MAX_TRAINING_CONDITIONS, **settings
+) -> tuple[PipelineModel, str, float]:
+    """Train on CSV files with any further columns in any order.
+
+    Broken lines of the accidents are written beside the model, with the reason.
+    """
+    good, broken = read_csv_checked(spark, accidents, ACCIDENTS)
+    table, lam = training_table(good, read_csv(spark, roads, ROADS), n)
+    fitted, version = train_and_save(table, folder, **settings)
+    broken.write.mode("overwrite").json(f"{folder}/{version}/rejects")
+    return fitted, version, lam
+
+
 def main() -> None:
     options = argparse.ArgumentParser(description=__doc__)
     for name in ("accidents", "roads", "out"):
@@ -50,10 +64,7 @@ def main() -> None:
     options.add_argument("--rows", type=int, default=MAX_TRAINING_CONDITIONS)
     args = options.parse_args()
     spark = SparkSession.builder.appName("pavelore-train").getOrCreate()
-    table, lam = training_table(
-        read_csv(spark, args.accidents, ACCIDENTS), read_csv(spark, args.roads, ROADS), args.rows
-    )
-    _, version = train_and_save(table, args.out)
+    _, version, lam = train_from_files(spark, args.accidents, args.roads, args.out, args.rows)
     print(f"exponent {lam}, model version {version}")
 
 

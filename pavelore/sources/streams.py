@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,3 +64,61 @@ def append_stream(
     if format == "kafka":
         return writer.option("topic", target).start()
     return writer.start(target)
+
+
+BATCH = "batch"  # partition column that names the micro-batch a row came with
+
+
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name that stays with a checkpoint folder, so that another one never replaces its batches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/run")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(path):
+        file = system.open(path)
+        try:
+            return file.readUTF()
+        finally:
+            file.close()
+    name = uuid.uuid4().hex[:12]
+    file = system.create(path, False)
+    file.writeUTF(name)
+    file.close()
+    return name
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that a job made for itself, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_batch(
+    df: DataFrame, target: str, batch: str, format: str = "parquet", partition_by: Sequence[str] = ()
+) -> None:
+    """Write the rows of a micro-batch to files; written again, it replaces itself alone."""
+    rows = df.withColumn(BATCH, F.lit(batch))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by, BATCH).format(format).save(target)
+
+
+def each_batch(
+    df: DataFrame,
+    checkpoint: str,
+    handle: Callable[[DataFrame, int, str], None],
+    every_seconds: int | None = None,
+) -> StreamingQuery:
+    """Start handling a stream batch by batch: ``handle(rows, number, name)``.
+
+    Numbers count from 0 and go on after a restart; a batch that was not finished comes again
+    with its number, rows and name. So what is written under its name is written once.
+    Without ``every_seconds`` the stream takes what is there and stops.
+    """
+    run = run_name(df.sparkSession, checkpoint)
+
+    def one(rows: DataFrame, number: int) -> None:
+        handle(rows, number, f"{run}-{number:09d}")
+
+    writer = df.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    if every_seconds is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{every_seconds} seconds").start()

@@ -49,6 +49,63 @@ def test_csv_folder_round_trip(spark):
     assert back.exceptAll(df).count() == 0 and back.count() == 3
 
 
+def write_text(folder, *files):
+    folder.mkdir()
+    for i, lines in enumerate(files):
+        (folder / f"part-{i}.csv").write_text("\n".join(lines) + "\n")
+    return str(folder)
+
+
+KEYED = T.StructType([T.StructField("n", T.LongType()), T.StructField("ok", T.BooleanType()), T.StructField("a.b (c)", T.StringType())])
+
+
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    path = write_text(tmp_path / "x", ["id,a.b (c),more,n,ok", "1,x,,7,true", "2,,z,8,False"], ["id,a.b (c),more,n,ok", '3,"q, r",z,,'])
+    got = files.read_csv(spark, path, KEYED)
+    assert got.schema.simpleString() == KEYED.simpleString()
+    assert sorted(got.collect(), key=str) == sorted([(7, True, "x"), (8, False, None), (None, None, "q, r")], key=str)
+    assert got.count() == 3 and got.select("ok").count() == 3
+    plan = got.select("n")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<n:bigint>" in plan
+
+
+@pytest.mark.parametrize("header,problem", [
+    ("id,n,ok", "missing column 'a.b \\(c\\)'"), ("n,n,ok,a.b (c)", "repeated column 'n'"), ("N,ok,a.b (c)", "missing column 'n'")])
+def test_csv_header_that_does_not_fit(spark, tmp_path, header, problem):
+    path = write_text(tmp_path / "x", [header, "1,2,3"])
+    with pytest.raises(ValueError, match=problem):
+        files.read_csv(spark, path, KEYED)
+
+
+def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
+    path = write_text(tmp_path / "x", ["n,ok,a.b (c)", "1,true,x"], ["ok,n,a.b (c)", "true,1,x"])
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, path, KEYED).collect()
+
+
+def test_csv_with_nameless_and_repeated_other_columns(spark, tmp_path):
+    path = write_text(tmp_path / "x", [",n,x,x,ok,a.b (c)", "0,1,2,3,true,y"])
+    assert files.read_csv(spark, path, KEYED).collect() == [(1, True, "y")]
+    assert files.read_csv_checked(spark, path, KEYED)[0].collect() == [(1, True, "y")]
+
+
+def test_csv_broken_lines_go_aside(spark, tmp_path):
+    lines = ["1,2,true,x,u", "1,2,true,x", "1,2,true,x,u,v", "1,two,true,x,u", "1,2,perhaps,x,u", "1,2.5,perhaps,x,u", "1,,,,", "any,5,false,,"]
+    path = write_text(tmp_path / "x", ["id,n,ok,a.b (c),z", *lines])
+    good, broken = files.read_csv_checked(spark, path, KEYED)
+    assert sorted(good.collect(), key=str) == sorted([(2, True, "x"), (None, None, None), (5, False, None)], key=str)
+    assert listed(broken) == sorted([
+        ("1,2,true,x", "number of fields"), ("1,2,true,x,u,v", "number of fields"), ("1,two,true,x,u", "value of n"),
+        ("1,2,perhaps,x,u", "value of ok"), ("1,2.5,perhaps,x,u", "value of n, ok")])
+    assert good.count() == 3 and broken.count() == 5
+
+
+def test_csv_of_a_header_alone_and_of_nothing(spark, tmp_path):
+    path = write_text(tmp_path / "x", ["n,ok,a.b (c)"])
+    assert files.read_csv(spark, path, KEYED).collect() == []
+    assert [d.collect() for d in files.read_csv_checked(spark, path, KEYED)] == [[], []]
+
+
 def test_address_lines(spark):
     path = scratch_path(spark, "lines")
     lines = [("W Iowa Ave # Sunnyvale California",), ("  Via Roma  #  Catania ",), ("no mark",)]
