@@ -314,3 +314,32 @@ def distance_sql(a: str, b: str) -> str:
         f" + cos(radians({a}.lat)) * cos(radians({b}.lat))"
         f" * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
     )
+
+
+def segment_distance_sql(p: str, s: str) -> str:
+    """Distance of a place from a segment (lat1, lon1, lat2, lon2), in two lateral steps.
+
+    To be used as ``{p} JOIN {s} ON ({segment_distance_sql(p, s)}) <= radius``.
+    """
+
+    def vector(lat: str, lon: str) -> list[str]:
+        return [f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))"]
+
+    a, b, c = vector(f"{s}.lat1", f"{s}.lon1"), vector(f"{s}.lat2", f"{s}.lon2"), vector(f"{p}.lat", f"{p}.lon")
+    minus = lambda u, v: [f"({x} - {y})" for x, y in zip(u, v)]
+    dot = lambda u, v: "(" + " + ".join(f"({x}) * ({y})" for x, y in zip(u, v)) + ")"
+
+    def cross(u: list[str], v: list[str]) -> list[str]:
+        turns = [(1, 2), (2, 0), (0, 1)]
+        return [f"(({u[i]}) * ({v[j]}) - ({u[j]}) * ({v[i]}))" for i, j in turns]
+
+    normal = cross(a, minus(b, a))
+    size = f"sqrt({dot(normal, normal)})"
+    beside = f"{dot(cross(normal, a), minus(c, a))} > 0 AND {dot(cross(b, normal), minus(c, b))} > 0"
+    arc = f"{EARTH_RADIUS_M} * asin(least(1e0, abs({dot(normal, minus(c, a))}) / {size}))"
+    ends = [
+        f"2 * {EARTH_RADIUS_M} * asin(sqrt(least(1e0, pow(sin(radians({s}.lat{i} - {p}.lat) / 2), 2)"
+        f" + cos(radians({p}.lat)) * cos(radians({s}.lat{i})) * pow(sin(radians({s}.lon{i} - {p}.lon) / 2), 2))))"
+        for i in (1, 2)
+    ]
+    return f"CASE WHEN {size} > 1e-15 AND {beside} THEN {arc} ELSE least({ends[0]}, {ends[1]}) END"

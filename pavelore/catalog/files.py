@@ -22,6 +22,71 @@ def src_csv(spark, sf):
     return files.read_csv(spark, path, ACCIDENTS)
 
 
+# The columns of the public accident file, in its order.
+ACCIDENT_FILE = [
+    "ID", "Source", "Severity", "Start_Time", "End_Time", "Start_Lat", "Start_Lng", "End_Lat", "End_Lng",
+    "Distance(mi)", "Description", "Street", "City", "County", "State", "Zipcode", "Country", "Timezone",
+    "Airport_Code", "Weather_Timestamp", "Temperature(F)", "Wind_Chill(F)", "Humidity(%)", "Pressure(in)",
+    "Visibility(mi)", "Wind_Direction", "Wind_Speed(mph)", "Precipitation(in)", "Weather_Condition", "Amenity",
+    "Bump", "Crossing", "Give_Way", "Junction", "No_Exit", "Railway", "Roundabout", "Station", "Stop",
+    "Traffic_Calming", "Traffic_Signal", "Turning_Loop", "Sunrise_Sunset", "Civil_Twilight",
+    "Nautical_Twilight", "Astronomical_Twilight",
+]
+
+
+def wide(accidents):
+    """Accidents in the layout of the public file; columns that no job uses hold some text."""
+    have = set(accidents.columns)
+    filler = F.concat(F.lit('say "'), F.coalesce("City", F.lit("")), F.lit('", then'))
+    return accidents.select(*[F.col(f"`{c}`") if c in have else filler.alias(c) for c in ACCIDENT_FILE])
+
+
+@query("src_csv_wide", f"WITH {cte('accidents')} SELECT * FROM accidents")
+def src_csv_wide(spark, sf):
+    """The declared columns of the public file's 46, picked by the names of the header."""
+    path = scratch_path(spark, "wide")
+    files.write_csv(wide(standin(spark, sf, "accidents")), path)
+    return files.read_csv(spark, path, ACCIDENTS)
+
+
+#: Order lines as CSV text with columns in another order; some lines lack a field or have a text for a number.
+_LINES = [
+    ("o_orderkey % 10 = 0", "o_orderpriority || ',' || o_orderkey"),
+    ("o_orderkey % 10 = 1", "o_orderpriority || ',x' || o_orderkey || ',' || o_custkey"),
+    ("o_orderkey % 10 = 2", "o_orderpriority || ',' || o_orderkey || ',many,more'"),
+    ("o_orderkey % 10 = 3", "o_orderpriority || ',' || o_orderkey || ',one'"),
+]
+_WHOLE = "o_orderpriority || ',' || o_orderkey || ',' || o_custkey"
+_LINE = "CASE " + " ".join(f"WHEN {test} THEN {text}" for test, text in _LINES) + f" ELSE {_WHOLE} END"
+_KEYS = T.StructType([T.StructField("o_custkey", T.LongType()), T.StructField("o_orderkey", T.LongType())])
+
+
+def _order_lines(spark, sf):
+    """Two files, each with its header: a line is a row of ``orders``."""
+    path = scratch_path(spark, "order-lines")
+    lines = load(spark, sf, "orders").select(F.expr(_LINE).alias("line"))
+    # a header per part file, by the writer: the lines as one unquoted column of that name
+    lines = lines.withColumnRenamed("line", "o_orderpriority,o_orderkey,o_custkey").coalesce(2)
+    lines.write.options(header=True, sep="\u0001", quote="\u0002", escape="\u0003").csv(path)
+    return files.read_csv_checked(spark, path, _KEYS)
+
+
+@query("src_csv_checked", "SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 10 > 3")
+def src_csv_checked(spark, sf):
+    """Whole lines of a CSV, by header name."""
+    return _order_lines(spark, sf)[0]
+
+
+@query(
+    "src_csv_rejects",
+    f"""SELECT {_LINE} AS line, CASE o_orderkey % 10 WHEN 1 THEN 'value of o_orderkey' WHEN 3 THEN 'value of o_custkey'
+      ELSE 'number of fields' END AS reason FROM orders WHERE o_orderkey % 10 < 4""",
+)
+def src_csv_rejects(spark, sf):
+    """Broken lines of a CSV, with the reason."""
+    return _order_lines(spark, sf)[1]
+
+
 @query("src_csv_dir", "SELECT * FROM orders")
 def src_csv_dir(spark, sf):
     """A folder of part files read as one table."""

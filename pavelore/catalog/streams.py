@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans import score
+from ..plans import emit, score
 from ..schemas import ROAD_EVENT, SCORED
 from ..session import scratch_path
 from ..sources.streams import append_stream, as_messages, read_documents, read_messages
 from ..streaming import points as point_steps
 from ..streaming import scoring, weather
-from .base import cte, icon_class_sql, icon_text, load, query, standin
+from .base import NODE_LAT, NODE_LON, POI_LAT, POI_LON, cte, distance_sql, icon_class_sql, icon_text, load, query, standin
 from .models import STUMP_FLAG, STUMP_SQL, stump, trained
 from .scalars import FLAT_SQL
 
@@ -136,3 +136,86 @@ def stream_stump_score(spark, sf):
     """The score job with a one-split model, whose predictions are two group means."""
     scored = _scored_stream(spark, sf, stump(spark, sf)[1])
     return scored.select("way_id", "name", "lat", "lon", "danger_index")
+
+
+_UNUSABLE = "p.event_id % 50 = 0"  # messages that are cut off
+
+
+@query(
+    "stream_score_outputs",
+    f"""WITH {cte('accidents', 'roads', 'points')}, {STUMP_SQL},
+    kinds AS (SELECT way_id, lat, CASE WHEN {_UNUSABLE} THEN 'broken'
+        WHEN p.highway IN (SELECT highway FROM counts)
+          AND {icon_class_sql('weather_icon')} IN (SELECT "Weather_Condition" FROM counts)
+          AND CASE WHEN substr(weather_icon, 3, 1) = 'd' THEN 'Day' ELSE 'Night' END
+            IN (SELECT "Sunrise_Sunset" FROM counts) THEN 'scored' ELSE 'rejected' END AS kind FROM points p)
+    SELECT kind, CASE WHEN kind <> 'broken' THEN way_id END AS way_id, count(*) AS n,
+      sum(CASE WHEN kind <> 'broken' THEN CAST(floor(lat * 1000) AS BIGINT) ELSE 0 END)::BIGINT AS lats
+    FROM kinds GROUP BY ALL""",
+)
+def stream_score_outputs(spark, sf):
+    """The three outputs of the one scoring stream, run in several batches, and run again."""
+    folder, path = scratch_path(spark, "messages"), scratch_path(spark, "score")
+    points = standin(spark, sf, "points")
+    value = F.to_json(F.struct(*points.columns))
+    text = F.when(F.col("event_id") % 50 == 0, F.substring(value, 1, 25)).otherwise(value)
+    points.repartition(3, "event_id").select(text.alias("value")).write.text(folder)
+    fitted = stump(spark, sf)[1]
+    for _ in range(2):
+        messages = read_messages(spark, "text", folder, maxFilesPerTrigger=1)
+        for stream in score.start(messages, fitted, f"{path}/out", f"{path}/checkpoint", "reject"):
+            stream.awaitTermination()
+    kinds = None
+    for kind, lat in (("scored", F.col("location.lat")), ("rejected", F.col("lat")), ("broken", None)):
+        rows = spark.read.parquet(f"{path}/out/{kind}")
+        way = F.lit(None).cast("long") if lat is None else F.col("way_id")
+        lats = F.lit(0).cast("long") if lat is None else F.floor(lat * 1000)
+        part = rows.groupBy(F.lit(kind).alias("kind"), way.alias("way_id")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(lats).alias("lats")
+        )
+        kinds = part if kinds is None else kinds.unionByName(part)
+    return kinds
+
+
+_HEARD_M = 1_500.0
+_STATION = "(p_partkey - p_partkey % 2)"  # a station is heard of twice, in two batches
+_station_lat, _station_lon = (e.replace("p_partkey", _STATION) for e in (POI_LAT, POI_LON))
+
+
+@query(
+    "stream_nearest_weather",
+    f"""WITH nodes AS (SELECT c_custkey AS way_id, {NODE_LAT} AS lat, {NODE_LON} AS lon FROM customer),
+    updates AS (SELECT {_station_lat} AS lat, {_station_lon} AS lon, p_partkey AS dt, p_partkey % 3 AS b FROM part),
+    stations AS (SELECT k.b AS batch, lat, lon, max(dt) AS dt, arg_max(u.b, dt) AS heard
+      FROM updates u JOIN (VALUES (0), (1), (2)) k(b) ON u.b <= k.b GROUP BY k.b, lat, lon),
+    pairs AS (SELECT n.way_id, s.batch, s.dt, s.heard, {distance_sql('n', 's')} AS far
+      FROM nodes n JOIN stations s ON {distance_sql('n', 's')} <= {_HEARD_M}e0),
+    nearest AS (SELECT way_id, batch, arg_min(dt, (far, -dt)) AS dt, arg_min(heard, (far, -dt)) AS heard
+      FROM pairs GROUP BY way_id, batch)
+    SELECT way_id, CAST(dt AS INTEGER) AS temp FROM nearest WHERE heard = batch""",
+)
+def stream_nearest_weather(spark, sf):
+    """Roads hear from their nearest station in each batch that it reports in; run again in between."""
+    arrived, path = scratch_path(spark, "updates"), scratch_path(spark, "live")
+    part = load(spark, sf, "part")
+    info = F.struct(
+        F.struct(F.col("p_partkey").cast("double").alias("temp")).alias("main"),
+        F.array(F.struct(F.lit("01d").alias("icon"))).alias("weather"),
+        F.col("p_partkey").alias("dt"),
+    )
+    updates = part.select(F.expr(_station_lat).alias("lat"), F.expr(_station_lon).alias("lon"), info.alias("weather_info"))
+    place = [F.expr(NODE_LAT).alias("first_lat"), F.expr(NODE_LON).alias("first_lon")]
+    node = "transform(array(0), i -> named_struct({flags}, 'lat', 37e0, 'lon', 15e0))"
+    flags = ", ".join(f"'{f.name}', 0" for f in ROAD_EVENT["nodes_info"].dataType.elementType.fields if f.name not in ("lat", "lon"))
+    documents = load(spark, sf, "customer").select(
+        F.col("c_custkey").alias("way_id"), F.lit(0).alias("part"), F.lit("x").alias("highway"), F.lit("n").alias("name"),
+        F.expr(node.format(flags=flags)).alias("nodes_info"), *place,
+    )
+    for batch in range(3):
+        updates.filter(F.col("weather_info.dt") % 3 == batch).coalesce(1).write.mode("append").json(arrived)
+        emit.start_live(
+            read_documents(spark, arrived, emit.UPDATE), documents, f"{path}/out", f"{path}/checkpoint",
+            every_seconds=None, radius_m=_HEARD_M,
+        ).awaitTermination()
+    sent = scoring.decode_readable(spark.read.text(f"{path}/out"))
+    return sent.select("way_id", F.col("Temperature_C").alias("temp"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import EARTH_RADIUS_M
@@ -32,6 +32,55 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), half)))
 
 
+def _vector(lat: Column, lon: Column) -> list[Column]:
+    """A place as a vector of length one."""
+    up, along = F.radians(lat), F.radians(lon)
+    return [F.cos(up) * F.cos(along), F.cos(up) * F.sin(along), F.sin(up)]
+
+
+def _cross(u: list[Column], v: list[Column]) -> list[Column]:
+    return [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
+
+
+def _dot(u: list[Column], v: list[Column]) -> Column:
+    return u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+
+
+def segment_line(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """What :func:`line_distance_m` needs of a segment, computed once: its ends ``a`` and ``b``,
+    the normal ``n`` of its plane and ``n``'s length, and the directions along it at both ends."""
+    a, b = _vector(lat1, lon1), _vector(lat2, lon2)
+    normal = _cross(a, [y - x for x, y in zip(a, b)])
+    parts = {"a": a, "b": b, "n": normal, "on": _cross(normal, a), "back": _cross(b, normal)}
+    fields = [column.alias(f"{name}{i}") for name, vector in parts.items() for i, column in enumerate(vector)]
+    size = F.sqrt(_dot(normal, normal)).alias("size")
+    ends = [c.alias(name) for c, name in zip((lat1, lon1, lat2, lon2), ("lat1", "lon1", "lat2", "lon2"))]
+    return F.struct(*fields, size, *ends)
+
+
+def line_distance_m(lat: Column, lon: Column, line: Column) -> Column:
+    """Great-circle distance in metres of a place from a :func:`segment_line`.
+
+    Beside the arc it is the distance from its great circle, else that from the nearer end.
+    Differences from the first end keep it exact for very short segments. Two ends on
+    opposite sides of the sphere have no shorter arc; they count as two places.
+    """
+    a, b, normal, on, back = ([line[f"{name}{i}"] for i in range(3)] for name in ("a", "b", "n", "on", "back"))
+    p = _vector(lat, lon)
+    away = [z - x for x, z in zip(a, p)]
+    beside = (line["size"] > 1e-15) & (_dot(on, away) > 0) & (_dot(back, [z - y for y, z in zip(b, p)]) > 0)
+    arc = F.lit(EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.abs(_dot(normal, away)) / line["size"]))
+    ends = F.least(*[haversine_m(lat, lon, line[f"lat{i}"], line[f"lon{i}"]) for i in (1, 2)])
+    return F.when(beside, arc).otherwise(ends)
+
+
+def segment_distance_m(
+    lat: Column, lon: Column, lat1: Column, lon1: Column, lat2: Column, lon2: Column
+) -> Column:
+    """Great-circle distance in metres of a place from the shorter arc between two places."""
+    return line_distance_m(lat, lon, segment_line(lat1, lon1, lat2, lon2))
+
+
 def row_height(cell_m: float) -> float:
     """Height of a level-0 row in degrees."""
     return math.degrees(cell_m / EARTH_RADIUS_M) * _MARGIN
@@ -58,28 +107,67 @@ def cell_at(lat: Column, lon: Column, cell_m: float, level: int = 0) -> Column:
     return F.struct(_row(lat, cell_m, level).alias("row"), column.alias("column"))
 
 
-def cells_touched(lat: Column, lon: Column, radius_m: Column, cell_m: float) -> Column:
-    """Array of the level-0 cells a circle may touch, each once."""
-    angle = radius_m * F.lit(_MARGIN / EARTH_RADIUS_M)
-    reach = F.degrees(angle)
-    rows = F.sequence(_row(lat - reach, cell_m, 0), _row(lat + reach, cell_m, 0))
-    # Largest longitude offset on the circle; the whole row where the circle holds a pole.
+def _rows_touched(lat: Column, reach: Column, cell_m: float) -> Column:
+    """Array of the level-0 rows that a circle may touch; ``reach`` is its radius in degrees."""
+    return F.sequence(_row(lat - reach, cell_m, 0), _row(lat + reach, cell_m, 0))
+
+
+def _span(lat: Column, angle: Column) -> Column:
+    """Largest longitude offset on a circle; the whole row where the circle holds a pole."""
     tangent = F.sin(angle) / F.cos(F.radians(lat))
-    polar = (F.abs(lat) + reach >= 90) | (tangent >= 1)
-    span = F.when(polar, F.lit(180.0)).otherwise(
+    polar = (F.abs(lat) + F.degrees(angle) >= 90) | (tangent >= 1)
+    return F.when(polar, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), tangent))) * _MARGIN
     )
 
+
+def _columns_touched(lon: Column, span: Column, n: Column) -> Column:
+    """Array of the columns that a circle may touch in a row of ``n`` columns, not wrapped."""
+    first = F.floor((lon - span + 180) * n / 360).cast("long")
+    last = F.least(F.floor((lon + span + 180) * n / 360).cast("long"), first + n - 1)
+    return F.sequence(first, last)
+
+
+def cells_touched(lat: Column, lon: Column, radius_m: Column, cell_m: float) -> Column:
+    """Array of the level-0 cells a circle may touch, each once."""
+    angle = radius_m * F.lit(_MARGIN / EARTH_RADIUS_M)
+    span = _span(lat, angle)
+
     def in_row(row: Column) -> Column:
         n = columns_in_row(row, cell_m)
-        first = F.floor((lon - span + 180) * n / 360).cast("long")
-        last = F.least(F.floor((lon + span + 180) * n / 360).cast("long"), first + n - 1)
         return F.transform(
-            F.sequence(first, last),
+            _columns_touched(lon, span, n),
             lambda c: F.struct(row.alias("row"), F.pmod(c, n).alias("column")),
         )
 
-    return F.flatten(F.transform(rows, in_row))
+    return F.flatten(F.transform(_rows_touched(lat, F.degrees(angle), cell_m), in_row))
+
+
+def explode_touched(df: DataFrame, lat: str, lon: str, radius_m: str, cell_m: float) -> DataFrame:
+    """Each row once per ``cell`` that its circle may touch: the cells of :func:`cells_touched`.
+
+    Rows and columns are exploded one after the other, so all that depends on the circle or
+    its row of cells is computed once, in compiled code.
+    """
+    angle = F.col(radius_m) * F.lit(_MARGIN / EARTH_RADIUS_M)
+    rows = _rows_touched(F.col(lat), F.degrees(angle), cell_m)
+    df = df.select("*", _span(F.col(lat), angle).alias("_span"), F.explode(rows).alias("_row"))
+    df = df.withColumn("_n", columns_in_row(F.col("_row"), cell_m))
+    df = df.select("*", F.explode(_columns_touched(F.col(lon), F.col("_span"), F.col("_n"))).alias("_column"))
+    cell = F.struct(F.col("_row").alias("row"), F.pmod("_column", "_n").alias("column"))
+    return df.withColumn("cell", cell).drop("_span", "_row", "_n", "_column")
+
+
+def place_along(
+    share: Column, lat1: Column, lon1: Column, lat2: Column, lon2: Column, angle: Column
+) -> tuple[Column, Column]:
+    """The place at a share of the way along a segment of a known angle."""
+    whole = F.sin(angle)
+    tiny = whole < 1e-12
+    first = F.when(tiny, 1 - share).otherwise(F.sin((1 - share) * angle) / whole)
+    second = F.when(tiny, share).otherwise(F.sin(share * angle) / whole)
+    x, y, z = (first * u + second * v for u, v in zip(_vector(lat1, lon1), _vector(lat2, lon2)))
+    return F.degrees(F.atan2(z, F.sqrt(x * x + y * y))), F.degrees(F.atan2(y, x))
 
 
 def cell_children(cell: Column) -> Column:

@@ -71,14 +71,10 @@ def letters_bound(a: Column, b: Column) -> Column:
 
 @F.pandas_udf(T.IntegerType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-block ratio of two texts as a whole number from 0 to 100."""
-    from difflib import SequenceMatcher
+    """Matching-block ratio of two texts as a whole number from 0 to 100; a batch at a time."""
+    from .blocks import ratios
 
-    def ratio(x, y):
-        if x is None or y is None:
-            return None
-        if not x or not y:
-            return 0
-        return round(100 * SequenceMatcher(None, x, y).ratio())
-
-    return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="Int32")
+    known = a.notna() & b.notna()
+    found = pd.Series(pd.NA, index=a.index, dtype="Int32")
+    found[known] = ratios(a[known].tolist(), b[known].tolist()).astype("int32")
+    return found

@@ -103,6 +103,16 @@ def known_categories(model: PipelineModel) -> Column:
     return known
 
 
+def keep_invalid(model: PipelineModel) -> PipelineModel:
+    """The model with unseen categories as one further code and missing numbers as not a number.
+
+    At every split on such a value a row takes the branch of the categories or numbers that
+    are not listed there.
+    """
+    kept = [stage.copy().setHandleInvalid("keep") for stage in model.stages[:2]]
+    return PipelineModel([*kept, *model.stages[2:]])
+
+
 def report(model: PipelineModel, predictions: DataFrame, version: str) -> DataFrame:
     """Model report as (version, metric, value) rows: range, error and importances."""
     spark = predictions.sparkSession

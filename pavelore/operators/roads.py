@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import ROAD_KEY
-from ..functions.geo import cell_at, cells_touched, haversine_m
+from .nearest import nearest_marks
 from .relational import first_per_group
 from .skew import balanced_join
 
@@ -56,6 +56,27 @@ def way_nodes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     ).select("way_id", "pos", "node_id", "lat", "lon")
 
 
+def way_segments(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The lines of ways: way_id, lat1, lon1, lat2, lon2, each segment of a way once.
+
+    A segment goes from a node to the next one in the way's list, also from the last to the
+    first of a closed way. A node whose next one is not located, or is itself, is a segment
+    of one place; so every located node is on its way's line.
+    """
+    steps = F.transform(
+        F.col("nodes"),
+        lambda node, i: F.struct(node.alias("node_id"), F.get(F.col("nodes"), i + 1).alias("next_id")),
+    )
+    listed = ways.select("way_id", F.explode(F.array_distinct(steps)).alias("step")).select("way_id", "step.*").distinct()
+    places = nodes.select("node_id", F.col("lat").alias("lat1"), F.col("lon").alias("lon1"))
+    ends = nodes.select(F.col("node_id").alias("next_id"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    located = balanced_join(listed, places, ["node_id"], spread_by=["way_id", "next_id"])
+    joined = balanced_join(located, ends, ["next_id"], "left", spread_by=["way_id", "node_id"])
+    alone = F.col("lat2").isNull() | F.col("lon2").isNull()
+    to = [F.when(alone, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(f"{c}2") for c in ("lat", "lon")]
+    return joined.select("way_id", "lat1", "lon1", *to).distinct()
+
+
 def first_node(road_nodes: DataFrame) -> DataFrame:
     """The first located node of every way."""
     return first_per_group(road_nodes, ["way_id"], [F.col("pos"), F.col("node_id")])
@@ -92,22 +113,13 @@ def nearest_weather(roads: DataFrame, observations: DataFrame, radius_m: float)
     ``roads``: any columns and ``first_lat``, ``first_lon``; ``observations``: lat, lon and
     ``weather_info``. Observations without a weather list do not count, nor do those farther
     than ``radius_m``. Of equally near ones the newest counts. Only the newest observation
-    of a coordinate and each place once are compared, in the cells that circles touch.
+    of a coordinate and each place once are compared, by :func:`nearest.nearest_marks`.
     """
-    lat, lon = F.col("lat"), F.col("lon")
     newest = latest_weather(observations, ["lat", "lon"])
-    marks = newest.select(
-        F.explode(cells_touched(lat, lon, F.lit(radius_m), radius_m)).alias("cell"),
-        "lat", "lon", "weather_info",
-    )
-    place = [F.col("first_lat"), F.col("first_lon")]
-    places = roads.select("first_lat", "first_lon").dropna().distinct()
-    here = places.withColumn("cell", cell_at(*place, radius_m))
-    distance = haversine_m(*place, lat, lon)
-    near = balanced_join(here, marks, ["cell"], spread_by=["first_lat", "first_lon"])
-    near = near.withColumn("_far", distance).filter(F.col("_far") <= radius_m)
-    order = F.struct("_far", -F.col("weather_info.dt"), "weather_info")
-    best = near.groupBy("first_lat", "first_lon").agg(F.min(order)["weather_info"].alias("weather_info"))
+    places = roads.select(F.col("first_lat").alias("lat"), F.col("first_lon").alias("lon"))
+    order = F.struct(-F.col("weather_info.dt"), F.col("weather_info"))
+    best = nearest_marks(places, newest, radius_m, order, "weather_info")
+    best = best.withColumnsRenamed({"lat": "first_lat", "lon": "first_lon"})
     return balanced_join(roads, best, ["first_lat", "first_lon"])
 
 

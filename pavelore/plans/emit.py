@@ -15,13 +15,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed import WEATHER_REFRESH_SECONDS
-from ..functions.geo import cell_at, cells_touched, haversine_m
 from ..operators.scenario import scenario_events
 from ..schemas import ROAD_EVENT, WEATHER_INFO
 from ..sources.files import read_jsonl
-from ..sources.streams import append_stream, as_messages, read_documents
+from ..sources.streams import as_messages, each_batch, read_documents, remove, write_batch
+from ..streaming.live import newest_observations, refreshed_roads
 from ..streaming.points import flatten_documents
-from ..streaming.weather import refresh
 from .enrich import WEATHER_RADIUS_M
 
 # Weather updates as they arrive: a coordinate and its current weather.
@@ -35,21 +34,14 @@ UPDATE = T.StructType(
 
 
 def live_messages(
-    updates: DataFrame, documents: DataFrame, radius_m: float = WEATHER_RADIUS_M
+    stations: DataFrame, documents: DataFrame, radius_m: float = WEATHER_RADIUS_M
 ) -> DataFrame:
-    """Point messages of every road whose first node is near an update's coordinate.
+    """Point messages of every road whose nearest station has a fresh observation.
 
-    ``documents``: road documents with the first node's place, as the enrich job writes
-    them. An update counts within ``radius_m``, and is found from any side of a cell border.
+    ``stations`` as from :func:`newest_observations`; ``documents``: road documents with the
+    first node's place, as the enrich job writes them.
     """
-    lat, lon = F.col("lat"), F.col("lon")
-    touched = F.explode(cells_touched(lat, lon, F.lit(radius_m), radius_m)).alias("cell")
-    placed = updates.select(touched, lat.alias("seen_lat"), lon.alias("seen_lon"), "weather_info")
-    place = [F.col("first_lat"), F.col("first_lon")]
-    celled = documents.withColumn("cell", cell_at(*place, radius_m))
-    fresh = refresh(placed, celled, ["cell"], ["way_id", "part"], keep=["seen_lat", "seen_lon"])
-    near = haversine_m(*place, F.col("seen_lat"), F.col("seen_lon")) <= radius_m
-    return as_messages(flatten_documents(fresh.filter(near)))
+    return as_messages(flatten_documents(refreshed_roads(documents, stations, radius_m)))
 
 
 def scenario_messages(documents: DataFrame, now: Column | None = None) -> DataFrame:
@@ -65,11 +57,30 @@ def start_live(
     checkpoint: str,
     format: str = "text",
     every_seconds: int | None = WEATHER_REFRESH_SECONDS,
+    radius_m: float = WEATHER_RADIUS_M,
     **options,
 ) -> StreamingQuery:
-    """Start sending; every update is sent once, also across restarts."""
-    messages = live_messages(updates, documents)
-    return append_stream(messages, out, checkpoint, format, None, every_seconds, **options)
+    """Start sending; a road gets one message per batch in which its nearest station reports.
+
+    The newest observation per station is kept beside the checkpoint, a version for each batch,
+    made from the version before. So a batch that comes again after a crash finds the same
+    stations and replaces its own messages; a topic may get them twice. Versions older than
+    the last two are removed.
+    """
+    spark = updates.sparkSession
+
+    def handle(rows: DataFrame, number: int, batch: str) -> None:
+        folder = f"{checkpoint}/stations"
+        known = spark.read.parquet(f"{folder}/{number - 1}") if number else None
+        newest_observations(known, rows).write.mode("overwrite").parquet(f"{folder}/{number}")
+        messages = live_messages(spark.read.parquet(f"{folder}/{number}"), documents, radius_m)
+        if format == "kafka":
+            messages.write.format(format).options(topic=out, **options).save()
+        else:
+            write_batch(messages, out, batch, format)
+        remove(spark, f"{folder}/{number - 2}")
+
+    return each_batch(updates, checkpoint, handle, every_seconds)
 
 
 def topic_options(servers: str, topic: str) -> dict[str, str]:

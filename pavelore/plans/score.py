@@ -10,37 +10,52 @@ import argparse
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.model import load_model
-from ..sources.files import check_contract
-from ..sources.streams import append_stream, read_messages
+from ..operators.model import keep_invalid, load_model
 from ..schemas import SCORED
+from ..sources.files import check_contract, ensure_table, replace_partitions
+from ..sources.streams import BATCH, each_batch, read_messages, write_batch
 from ..streaming import scoring
 
-ON_INVALID = ("error", "reject")
+ON_INVALID = ("error", "keep", "reject")
+EVENT_DATE = T.StructField("event_date", T.DateType())
+#: The scored table: the contract's columns, and the partitions that the job writes.
+SCORED_TABLE = T.StructType([*SCORED.fields, EVENT_DATE, T.StructField(BATCH, T.StringType())])
+PARTITIONS = ["event_date", BATCH]
 
 
-def scored_messages(
-    messages: DataFrame, model: PipelineModel, on_invalid: str = "error", mode: str = "truncate"
+def scored_points(
+    points: DataFrame, model: PipelineModel, on_invalid: str = "error", mode: str = "truncate"
 ) -> DataFrame:
-    """Scored rows of the readable messages.
+    """Scored rows of decoded points.
 
     A category the model has not seen, or a missing number, stops the query with
-    ``on_invalid="error"``; with ``"reject"`` such rows are left to :func:`rejected_points`.
+    ``on_invalid="error"``. With ``"keep"`` the row is scored as far as its other values go;
+    with ``"reject"`` such rows are left to :func:`rejected_points`.
     """
     if on_invalid not in ON_INVALID:
         raise ValueError(f"on_invalid must be one of {ON_INVALID}")
-    points = scoring.derive_conditions(scoring.decode_readable(messages), mode)
+    points = scoring.derive_conditions(points, mode)
     if on_invalid == "reject":
         points = scoring.scoreable(points, model)
+    if on_invalid == "keep":
+        model = keep_invalid(model)
     return check_contract(scoring.shape_scored(model.transform(points)), SCORED)
 
 
-def rejected_points(messages: DataFrame, model: PipelineModel, mode: str = "truncate") -> DataFrame:
-    """Readable rows the model cannot score."""
-    points = scoring.derive_conditions(scoring.decode_readable(messages), mode)
-    return scoring.unscoreable(points, model)
+def scored_messages(
+    messages: DataFrame, model: PipelineModel, on_invalid: str = "error", mode: str = "truncate"
+) -> DataFrame:
+    """Scored rows of the readable messages; see :func:`scored_points`."""
+    return scored_points(scoring.decode_readable(messages), model, on_invalid, mode)
+
+
+def rejected_points(points: DataFrame, model: PipelineModel, mode: str = "truncate") -> DataFrame:
+    """Decoded points the model cannot score."""
+    return scoring.unscoreable(scoring.derive_conditions(points, mode), model)
 
 
 def start(
@@ -50,18 +65,38 @@ def start(
     checkpoint: str,
     on_invalid: str = "error",
     every_seconds: int | None = None,
+    table: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start the scored stream and its side outputs, each with its own checkpoint."""
-    scored = scoring.with_event_date(scored_messages(messages, model, on_invalid))
-    streams = [("scored", scored, ["event_date"]), ("broken", scoring.broken(messages), None)]
-    if on_invalid == "reject":
-        streams.append(("rejected", rejected_points(messages, model), None))
-    return [
-        append_stream(
-            df, f"{out}/{name}", f"{checkpoint}/{name}", partition_by=parts, every_seconds=every_seconds
-        )
-        for name, df, parts in streams
-    ]
+    """Start the one stream that scores messages; in a list, to be waited for.
+
+    Each micro-batch is parsed once and kept while its outputs are written: ``scored`` by
+    event date, ``broken`` and, with ``"reject"``, ``rejected``. Every output is a folder of
+    batches; one that is written again, after a crash between two outputs, replaces itself.
+
+    ``table`` names a catalog table over the scored folder. It is created if need be; one that
+    is there must have the contract's columns, types and partitions, and may have more
+    columns. This is checked before the stream starts.
+    """
+    spark = messages.sparkSession
+    if table is not None:
+        ensure_table(spark, table, SCORED_TABLE, f"{out}/scored", PARTITIONS)
+
+    def handle(rows: DataFrame, number: int, batch: str) -> None:
+        parsed = scoring.parse(rows).persist()
+        try:
+            points = scoring.readable(parsed)
+            scored = scoring.with_event_date(scored_points(points, model, on_invalid))
+            if table is None:
+                write_batch(scored, f"{out}/scored", batch, partition_by=["event_date"])
+            else:
+                replace_partitions(scored.withColumn(BATCH, F.lit(batch)), table)
+            write_batch(scoring.unreadable(parsed), f"{out}/broken", batch)
+            if on_invalid == "reject":
+                write_batch(rejected_points(points, model), f"{out}/rejected", batch)
+        finally:
+            parsed.unpersist()
+
+    return [each_batch(messages, f"{checkpoint}/score", handle, every_seconds)]
 
 
 def wait(spark: SparkSession, running: list[StreamingQuery]) -> None:
@@ -81,13 +116,16 @@ def main() -> None:
     options.add_argument("--servers", default="")
     options.add_argument("--on-invalid", default="error", choices=ON_INVALID)
     options.add_argument("--every-seconds", type=int)
+    options.add_argument("--table", help="catalog table over the scored points")
     args = options.parse_args()
     spark = SparkSession.builder.appName("pavelore-score").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     settings = {"kafka.bootstrap.servers": args.servers} if args.source == "kafka" else {}
     messages = read_messages(spark, args.source, args.place, **settings)
     model = load_model(args.models, args.version)
-    running = start(messages, model, args.out, args.checkpoint, args.on_invalid, args.every_seconds)
+    running = start(
+        messages, model, args.out, args.checkpoint, args.on_invalid, args.every_seconds, args.table
+    )
     wait(spark, running)
 
 

@@ -39,6 +39,21 @@ def _unreadable() -> Column:
     return no_document | F.col(_BROKEN).isNotNull()
 
 
+def parse(messages: DataFrame) -> DataFrame:
+    """Messages with their fields, for :func:`readable` and :func:`unreadable`."""
+    return _parsed(messages)
+
+
+def readable(parsed: DataFrame) -> DataFrame:
+    """Typed point rows of parsed messages, without the broken ones."""
+    return _points(parsed.filter(~_unreadable()))
+
+
+def unreadable(parsed: DataFrame) -> DataFrame:
+    """The parsed messages that are null or not a readable document."""
+    return parsed.filter(_unreadable()).select("value")
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Messages as typed point rows; an unreadable message gives a row of nulls."""
     return _points(_parsed(messages))
@@ -46,12 +61,12 @@ def decode(messages: DataFrame) -> DataFrame:
 
 def decode_readable(messages: DataFrame) -> DataFrame:
     """Messages as typed point rows, without the broken ones."""
-    return _points(_parsed(messages).filter(~_unreadable()))
+    return readable(_parsed(messages))
 
 
 def broken(messages: DataFrame) -> DataFrame:
     """Messages that are null or not a readable document."""
-    return _parsed(messages).filter(_unreadable()).select("value")
+    return unreadable(_parsed(messages))
 
 
 def derive_conditions(points: DataFrame, mode: str = "truncate") -> DataFrame:

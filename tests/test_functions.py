@@ -1,6 +1,7 @@
 """Column functions on hand-made values."""
 
 import math
+import random
 from datetime import datetime, timezone
 from difflib import SequenceMatcher
 
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pavelore.fixed import ICON_CLASSES, SCENARIO_ICONS, WEATHER_CLASSES
-from pavelore.functions import conditions, geo, strings, times, units
+from pavelore.functions import blocks, conditions, geo, strings, times, units
 from pavelore.functions.nested import whole_number
 
 
@@ -102,6 +103,39 @@ def test_length_bound_is_an_upper_bound(a, b):
         assert bound + 1e-9 >= 100 * SequenceMatcher(None, a, b).ratio()
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text("abc é", max_size=14), st.text("abc é", max_size=14)), max_size=8))
+def test_batched_ratios_equal_the_block_ratio(pairs):
+    got = blocks.ratios([a for a, _ in pairs], [b for _, b in pairs])
+    want = [round(100 * SequenceMatcher(None, a, b).ratio()) if a and b else 0 for a, b in pairs]
+    assert got.tolist() == want
+
+
+def test_batched_ratios_of_many_and_of_long_texts():
+    rng = random.Random(1)
+    words = ["avenue", "iowa", "west", "street", "st", "oak", "a", "of", "saint", "sant"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([1, 3, 6, 40, 60]))) for _ in range(600)]
+    a, b = texts[:300], texts[300:]
+    want = [round(100 * SequenceMatcher(None, x, y).ratio()) for x, y in zip(a, b)]
+    assert blocks.ratios(a, b).tolist() == want
+    for least in (1, 50, 70, 71, 95):
+        i, j = blocks.possible(blocks.Texts(a), blocks.Texts(b), least)
+        open_ = set(zip(i.tolist(), j.tolist()))
+        assert all((k, k) in open_ for k, score in enumerate(want) if score >= least)
+        assert len(open_) < 90_000 or least == 1
+
+
+def test_segment_distance(spark):
+    data = [(0.001, 0.5, 0.0, 0.0, 0.0, 1.0), (0.0, 1.5, 0.0, 0.0, 0.0, 1.0), (0.0, -179.5, 0.0, 179.0, 0.0, -179.0),
+            (10.0, 10.0, 10.0, 10.0, 10.0, 10.0), (10.0, 10.01, 10.0, 10.0, 10.0, 10.0), (89.99, 90.0, 89.99, 0.0, 89.99, 180.0),
+            (37.00001, 15.0, 37.0, 15.0 - 1e-9, 37.0, 15.0 + 1e-9)]
+    columns = ["lat", "lon", "lat1", "lon1", "lat2", "lon2"]
+    got = values(spark, data, ", ".join(f"{c} double" for c in columns), geo.segment_distance_m(*(F.col(c) for c in columns)))
+    degree = geo.EARTH_RADIUS_M * math.pi / 180
+    want = [0.001 * degree, 0.5 * degree, 0.0, 0.0, 0.01 * math.cos(math.radians(10)) * degree, 0.01 * degree, 1e-5 * degree]
+    assert [g[0] for g in got] == pytest.approx(want, abs=2e-3)
+
+
 def test_epoch_and_iso(spark):
     data = [("1721922246",), ("1721922246.5",), ("x",), (None,)]
     ts = times.epoch_to_timestamp(F.col("s"))

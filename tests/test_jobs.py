@@ -1,17 +1,19 @@
 """The four jobs end to end on hand-written rows."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from pavelore.catalog.files import wide
 from pavelore.fixed import FEATURES, FLAGS, LABEL
 from pavelore.operators import model
 from pavelore.plans import emit, enrich, report, score, train
-from pavelore.schemas import ROAD_EVENT
+from pavelore.schemas import ROAD_EVENT, ROADS
 from pavelore.session import scratch_path
 from pavelore.sources import streams
-from pavelore.sources.files import read_scored
+from pavelore.sources.files import read_scored, write_csv
 from pavelore.streaming import scoring
 from pavelore.streaming.points import flatten_documents
 from rows import MAIN, accidents, road_tables, roads
@@ -227,3 +229,162 @@ def test_live_messages_are_sent_once_per_update(spark):
     update(20)
     got = run().groupBy("way_id", "Temperature_C").count().collect()
     assert sorted(map(tuple, got)) == [(1, 12, 3), (1, 20, 3), (2, 12, 3), (2, 20, 3)]
+
+
+def road_documents(spark, places):
+    node = tuple([0] * 9) + (37.5, 15.0)
+    info = ROAD_EVENT["nodes_info"].dataType.simpleString()
+    return spark.createDataFrame(
+        [(i, 0, "x", f"n{i}", [[37.5, 15.0]], [node], *place) for i, place in places.items()],
+        "way_id long, part int, highway string, name string, lista_coppie array<array<double>>,"
+        f" nodes_info {info}, first_lat double, first_lon double")
+
+
+class Live:
+    """A live job over updates that arrive in files."""
+
+    def __init__(self, spark, places):
+        self.spark, self.documents = spark, road_documents(spark, places)
+        self.arrived, self.path = scratch_path(spark, "updates"), scratch_path(spark, "live")
+
+    def update(self, *seen):
+        send(self.spark, self.arrived, *[
+            {"lat": lat, "lon": lon, "weather_info": {"main": {"temp": temp}, "weather": [{"icon": "01d"}], "dt": dt}}
+            for lat, lon, temp, dt in seen])
+
+    def run(self):
+        updates = streams.read_documents(self.spark, self.arrived, emit.UPDATE)
+        emit.start_live(updates, self.documents, f"{self.path}/out", f"{self.path}/checkpoint",
+                        every_seconds=None).awaitTermination()
+        sent = scoring.decode_readable(self.spark.read.text(f"{self.path}/out"))
+        return sorted((r["way_id"], r["Temperature_C"]) for r in sent.collect())
+
+
+def test_a_road_hears_from_its_nearest_station_only(spark):
+    live = Live(spark, {1: (37.5, 15.0), 2: (37.56, 15.0), 3: (1.0, 1.0)})
+    live.update((37.51, 15.0, 10, 100), (37.55, 15.0, 20, 100))
+    assert live.run() == [(1, 10), (2, 20)]
+    live.update((37.55, 15.0, 21, 200))  # station of road 2, in reach of road 1
+    assert live.run() == [(1, 10), (2, 20), (2, 21)]
+    live.update((37.51, 15.0, 9, 50))  # an older observation that arrives late
+    assert live.run() == [(1, 10), (2, 20), (2, 21)]
+    live.update((37.501, 15.0, 11, 10))  # a nearer station
+    assert live.run() == [(1, 10), (1, 11), (2, 20), (2, 21)]
+    assert live.run() == [(1, 10), (1, 11), (2, 20), (2, 21)]
+    live.update((37.51, 15.0, 12, 300), (37.56, 15.0, 22, 1))
+    assert live.run() == [(1, 10), (1, 11), (2, 20), (2, 21), (2, 22)]
+
+
+def test_a_live_batch_that_failed_is_sent_once(spark, monkeypatch):
+    live = Live(spark, {1: (37.5, 15.0), 2: (37.56, 15.0)})
+    live.update((37.51, 15.0, 10, 100))
+    assert live.run() == [(1, 10), (2, 10)]
+    write = emit.write_batch
+
+    def failing(rows, out, batch, format):
+        write(rows, out, batch, format)
+        raise RuntimeError("lost after writing")
+
+    monkeypatch.setattr(emit, "write_batch", failing)
+    live.update((37.51, 15.0, 11, 200))
+    with pytest.raises(Exception, match="lost after writing"):
+        live.run()
+    monkeypatch.setattr(emit, "write_batch", write)
+    assert live.run() == [(1, 10), (1, 11), (2, 10), (2, 11)]
+
+
+def test_score_job_repeats_nothing_after_a_crash_between_outputs(spark, fitted, monkeypatch):
+    folder, path = scratch_path(spark, "topic"), scratch_path(spark, "scored")
+    write = score.write_batch
+
+    def run():
+        for stream in score.start(streams.read_messages(spark, "text", folder), fitted,
+                                  f"{path}/out", f"{path}/checkpoint", "reject"):
+            stream.awaitTermination()
+
+    def counts():
+        return [spark.read.parquet(f"{path}/out/{n}").count() for n in ("scored", "broken", "rejected")]
+
+    send(spark, folder, POINT, "{", {**POINT, "highway": "moonway"})
+    run()
+    assert counts() == [1, 1, 1]
+
+    def failing(rows, target, batch, **settings):
+        if target.endswith("broken"):
+            raise RuntimeError("lost between outputs")
+        write(rows, target, batch, **settings)
+
+    monkeypatch.setattr(score, "write_batch", failing)
+    send(spark, folder, {**POINT, "way_id": 2}, "[", {**POINT, "highway": None})
+    with pytest.raises(Exception, match="lost between outputs"):
+        run()
+    assert spark.read.parquet(f"{path}/out/scored").count() == 2
+    monkeypatch.setattr(score, "write_batch", write)
+    run()
+    assert counts() == [2, 2, 2]
+    assert spark.read.parquet(f"{path}/out/scored").select("batch").distinct().count() == 2
+
+
+def test_score_job_keeps_invalid_rows(spark, fitted):
+    rows = [POINT, {**POINT, "highway": "moonway"}, {**POINT, "weather_icon": None}, {**POINT, "Humidity_%": None}]
+    messages = spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")
+    scored = score.scored_messages(messages, fitted, "keep")
+    assert scored.count() == 4 and scored.filter("danger_index IS NULL").count() == 0
+    known = score.scored_messages(messages.limit(1), fitted).first()["danger_index"]
+    assert scored.filter("highway <> 'moonway' AND `Humidity(%)` IS NOT NULL AND Weather_Condition <> 'unknown'").first()["danger_index"] == known
+
+
+def test_score_job_through_a_typed_table(spark, fitted):
+    folder, path = scratch_path(spark, "topic"), scratch_path(spark, "scored")
+    name = "scored_" + path.rsplit("-", 1)[1]
+
+    def run(table):
+        for stream in score.start(streams.read_messages(spark, "text", folder), fitted,
+                                  f"{path}/out", f"{path}/checkpoint", "reject", table=table):
+            stream.awaitTermination()
+
+    send(spark, folder, POINT)
+    run(name)
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["event_date", "batch"]
+    assert spark.table(name).count() == 1
+    spark.sql(f"ALTER TABLE {name} ADD COLUMNS (checked boolean)")
+    send(spark, folder, {**POINT, "way_id": 2})
+    run(name)
+    rows = {r["way_id"]: r["checked"] for r in spark.table(name).collect()}
+    assert rows == {POINT["way_id"]: None, 2: None}
+    assert spark.table(name).filter("event_date = date'2024-07-25'").count() == 2
+    run(name)
+    assert spark.table(name).count() == 2
+
+    def refused(columns, message):
+        other = f"{name}_{len(columns)}"
+        spark.sql(f"CREATE TABLE {other} ({columns}) USING parquet PARTITIONED BY (event_date, batch)"
+                  f" LOCATION '{scratch_path(spark, 'other')}'")
+        with pytest.raises(ValueError, match=message):
+            run(other)
+
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in score.SCORED_TABLE.fields]
+    refused(", ".join(columns).replace("danger_index` double", "danger_index` float"), "danger_index.* is float, not double")
+    refused(", ".join(c for c in columns if "Stop" not in c), "Stop.* is missing")
+    with pytest.raises(ValueError, match="partitioned by"):
+        spark.sql(f"CREATE TABLE {name}_flat ({', '.join(columns)}) USING parquet LOCATION '{scratch_path(spark, 'flat')}'")
+        run(f"{name}_flat")
+
+
+def test_train_job_on_a_wide_file(spark):
+    """46 columns in the public file's order, read by name; broken lines go aside with the reason."""
+    rows = [{"Street": f"S{i % 7}", "Temperature(F)": 30.0 + i % 5, "Stop": i % 3 == 0} for i in range(60)]
+    path, out = scratch_path(spark, "wide"), scratch_path(spark, "models")
+    write_csv(wide(accidents(spark, *rows)).coalesce(2), f"{path}/accidents")
+    part = sorted(Path(f"{path}/accidents").glob("part-*.csv"))[0]
+    lines = part.read_text().splitlines()
+    part.write_text("\n".join([*lines, lines[1] + ",x", lines[1].replace("30.0", "warm"), ""]))
+    for crc in Path(f"{path}/accidents").glob(".part-*.crc"):
+        crc.unlink()
+    road = spark.createDataFrame([(f"S{i}", "Springfield", "Sangamon", "IL", f"h{i % 2}") for i in range(7)], ROADS)
+    write_csv(road.select("highway", *[c for c in reversed(road.columns) if c != "highway"]), f"{path}/roads")
+    fitted, version, _ = train.train_from_files(spark, f"{path}/accidents", f"{path}/roads", out, trees=2, depth=2)
+    rejects = spark.read.json(f"{out}/{version}/rejects").collect()
+    assert sorted(r["reason"] for r in rejects) == ["number of fields", "value of Temperature(F)"]
+    assert set(fitted.stages[0].labelsArray[0]) == {"h0", "h1"}
+    assert spark.read.parquet(f"{out}/{version}/training").agg(F.sum("count")).first()[0] == 60

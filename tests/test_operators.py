@@ -8,12 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pavelore.fixed import CONDITIONS, FLAGS, MAP_BOUNDS
+from pavelore.fixed import CONDITIONS, EARTH_RADIUS_M, FLAGS, MAP_BOUNDS
 from pavelore.operators import (
-    cleaning, labels, matching, nearby, ranking, relational, report, roads, scenario, skew,
+    cleaning, labels, matching, nearby, nearest, ranking, relational, report, roads, scenario, skew,
 )
 from pavelore.schemas import NODES, POIS, ROAD_EVENT, WAYS
-from pavelore.session import scratch_path
+from pavelore.session import materialize, scratch_path
 from rows import GOOD, MAIN, accidents, north, road_tables
 from rows import roads as road_rows
 
@@ -295,9 +295,9 @@ def test_crowded_cell_is_cut(spark, monkeypatch):
     tested = []
     original = nearby._tested
 
-    def spy(here, todo, on):
+    def spy(here, todo, on, distance):
         tested.append(here.join(todo, on).count())
-        return original(here, todo, on)
+        return original(here, todo, on, distance)
 
     monkeypatch.setattr(nearby, "_tested", spy)
     rng = random.Random(6)
@@ -547,3 +547,129 @@ def test_an_exploded_side_is_counted_before_it_is_broadcast(spark):
         joined = balanced_join(spark.range(300).select("id"), many, ["id"])
         assert ("BroadcastHashJoin" in plan(joined)) == broadcast
         assert joined.count() == 300 * copies
+
+
+def test_nearest_marks_equal_brute_force(spark):
+    """Places and marks around the antimeridian, a pole and a cell border; ties go by order."""
+    rng = random.Random(4)
+    spots = [(0.0, 179.99), (89.95, 20.0), (10.0, 10.0), (-45.0, -179.995)]
+    near = lambda lat, lon, w: (max(-90.0, min(90.0, lat + rng.uniform(-w, w))), (lon + rng.uniform(-w, w) + 180) % 360 - 180)
+    places = [near(*spots[i % 4], 0.1) for i in range(300)]
+    marks = {near(*spots[i % 4], 0.12): i for i in range(400)}
+    marks |= {near(10.0, 10.0, 1e-5): 1000 + i for i in range(200)}
+    marks[(11.0, 10.0)] = marks[(11.0, 10.02)] = 5
+    places += [(11.0, 10.01), (50.0, 50.0)]
+    got = nearest.nearest_marks(
+        spark.createDataFrame([*places, (None, 1.0)], "lat double, lon double"),
+        spark.createDataFrame([(*k, v) for k, v in marks.items()], "lat double, lon double, v int"),
+        5000.0, F.col("v"), "v")
+
+    def metres(a, b):
+        p, q, x, y = map(math.radians, (a[0], b[0], a[1], b[1]))
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin((y - x) / 2) ** 2
+        return 2 * EARTH_RADIUS_M * math.asin(math.sqrt(min(1, h)))
+
+    want = {}
+    for p in places:
+        far, v = min((metres(p, m), v) for m, v in marks.items())
+        if far <= 5000:
+            want[p] = v
+    assert {(r.lat, r.lon): r.v for r in got.collect()} == want
+    assert len(want) > 250 and (50.0, 50.0) not in want
+
+
+def test_nearest_marks_in_a_dense_cell_make_few_pairs(spark, monkeypatch):
+    """100,000 places and 30,000 marks in one cell of 10 km, a third of the marks in one spot."""
+    made = []
+    met = nearest._met
+
+    def counted(pairs, *rest):
+        found = met(pairs, *rest)
+        made.append(pairs.count())
+        return found
+
+    monkeypatch.setattr(nearest, "_met", counted)
+    draw = lambda n, seed, size: spark.range(n).select(
+        (10 + F.rand(seed) * size).alias("lat"), (10 + F.rand(seed + 1) * size).alias("lon"), F.col("id").alias("v"))
+    marks = materialize(draw(20_000, 1, 0.08).unionByName(draw(10_000, 3, 1e-4)))
+    places = materialize(draw(100_000, 5, 0.08).drop("v"))
+    found = nearest.nearest_marks(places, marks, 10_000.0, F.col("v"), "v")
+    assert found.count() == 100_000
+    assert sum(made) < 4_000_000  # all pairs are three thousand million
+    some = found.join(places.orderBy("lat", "lon").limit(20), ["lat", "lon"]).collect()
+    points = [(r.lat, r.lon, r.v) for r in marks.collect()]
+    for r in some:
+        flat = lambda m: (m[0] - r.lat) ** 2 + ((m[1] - r.lon) * math.cos(math.radians(r.lat))) ** 2
+        best = min(points, key=flat)
+        chosen = next(m for m in points if m[2] == r.v and flat(m) <= flat(best) * 1.001)
+        assert flat(chosen) <= flat(best) * 1.001
+
+
+def test_ways_by_line_distance(spark):
+    """A long straight way whose nodes are far off, across 180 degrees, short ones and a lone node."""
+    nodes = spark.createDataFrame(
+        [(1, 37.0, 15.0), (2, 37.0, 15.5), (3, -10.0, 179.9), (4, -10.0, -179.9), (5, 50.0, 0.0), (6, 50.0, 0.0)],
+        "node_id long, lat double, lon double")
+    ways = spark.createDataFrame(
+        [(1, [1, 2]), (2, [3, 4, 3]), (3, [5, 6]), (4, [5, 99, 5]), (1, [1, 2]), (5, None)], "way_id long, nodes array<long>")
+    segments = roads.way_segments(ways, nodes)
+    assert segments.count() == 7  # (1,2) 2 alone; (3,4) (4,3) 3 alone; ways 3 and 4 one place each
+    points = [(37.0004, 15.25, {1}), (37.009, 15.25, set()), (-10.001, 180.0, {2}), (-10.0, -179.99, {2}),
+              (50.003, 0.0, {3, 4}), (37.0, 14.9999, {1}), (37.0, 14.9, set()), (0.0, 0.0, set())]
+    got = nearby.way_lines_near(spark.createDataFrame([p[:2] for p in points], "lat double, lon double"), segments)
+    found = {}
+    for r in got.collect():
+        found.setdefault((r.lat, r.lon), set()).add(r.way_id)
+    assert found == {p[:2]: p[2] for p in points if p[2]}
+
+
+@pytest.mark.parametrize("limit", [4_000_000, 50])
+def test_segments_near_equal_brute_force(spark, limit):
+    rng = random.Random(7)
+    spots = [(0.0, 179.99), (89.97, 20.0), (10.0, 10.0)]
+    near = lambda i, w: (min(90.0, spots[i % 3][0] + rng.uniform(-w, w)), (spots[i % 3][1] + rng.uniform(-w, w) + 180) % 360 - 180)
+    points = [near(i, 0.05) for i in range(250)]
+    lines = []
+    for i in range(120):
+        a = near(i, 0.05)
+        b = a if i % 10 == 0 else near(i, 0.05 if i % 4 else 0.001)
+        lines.append((*a, *b, i))
+    got = nearby.segments_near(
+        spark.createDataFrame(points, "lat double, lon double"),
+        spark.createDataFrame(lines, "lat1 double, lon1 double, lat2 double, lon2 double, tag int"), 700.0, pair_limit=limit)
+
+    def vector(lat, lon):
+        p, q = math.radians(lat), math.radians(lon)
+        return np.array([math.cos(p) * math.cos(q), math.cos(p) * math.sin(q), math.sin(p)])
+
+    def metres(p, line):
+        """Least distance from many places along the arc."""
+        a, b = vector(*line[:2]), vector(*line[2:4])
+        t = np.linspace(0, 1, 4001)[:, None]
+        arc = a + t * (b - a)
+        arc /= np.linalg.norm(arc, axis=1, keepdims=True)
+        return float((2 * EARTH_RADIUS_M * np.arcsin(np.minimum(1, np.linalg.norm(arc - vector(*p), axis=1) / 2))).min())
+
+    found = {(r.lat, r.lon, r.tag) for r in got.collect()}
+    for p in points:
+        for line in lines:
+            far = metres(p, line)
+            if abs(far - 700) > 1:
+                assert ((*p, line[4]) in found) == (far < 700), (p, line, far)
+    assert len(found) > 300
+
+
+@pytest.mark.parametrize("together", [2000, 3])
+def test_names_by_cell_equal_all_pairs(spark, together):
+    rng = random.Random(2)
+    words = ["via", "roma", "street", "st", "oak", "elm", "grand", "avenue", "ave", "north", "piazza", "x", "été"]
+    text = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+    long = " ".join(words) * 6
+    streets = [((i % 3, 0), text()) for i in range(60)] + [((0, 0), ""), ((0, 0), None), ((1, 0), long), ((9, 9), "via roma")]
+    names = [((i % 3, 0), text()) for i in range(60)] + [((0, 0), "é"), ((1, 0), long + " z")]
+    cell = "struct<row:long,column:long>"
+    a, b = (spark.createDataFrame(rows, f"cell {cell}, {c} string") for rows, c in ((streets, "street"), (names, "name")))
+    got = {(r.street, r.name): r.score for r in matching.score_names_by_cell(a, b, 70, together).collect()}
+    pairs = a.join(b, "cell").select("street", "name")
+    want = {(r.street, r.name): r.score for r in matching.score_names(pairs).collect()}
+    assert got == want and len(want) > 40
