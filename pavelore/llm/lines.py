@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -12,45 +11,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import balanced_join
 from ..session import materialize
 from .common import small_batches
 
 MAX_EDITS = 2
 WORDS_PER_EDIT = 20  # words of the shorter line for each word that may be changed, added or dropped
 LEAST_CHARS = 24  # shorter lines are equal or not alike
+RUN = 6  # words of the run that stands for a segment of words
 BROADCAST_LINES = 2_000_000  # up to so many counted line numbers of 8 bytes are broadcast
 BLOCK = 1024  # bucket rows compared with as many at a time
-MOST_TOGETHER = 20_000  # larger buckets are cut by letter counts and dealt out again
+MOST_TOGETHER = 20_000  # larger buckets are dealt out in blocks
+PARTNERS = 16  # candidate pairs for each line of a bucket, beyond which lines are compared in rounds
+ROUNDS = (8, 128, None)  # earlier lines that a line is compared with in each round; the last round has the rest
 CACHED_LINES = 500_000
+CHARS_TOGETHER = 400_000  # characters of lines whose keys are made at a time
 INDEXED = 1 << 63  # mark of a row that stands for a segment, not for a looked-up substring
-COUNTS = (1 << 32) - 1  # bits of a mark that hold counts; those between hold the word edits
-_SHIFTS = np.arange(0, 32, 2, dtype=np.uint64)
-
-
-def segments(length: int, edits: int) -> list[tuple[int, int]]:
-    """Start and length of the ``edits + 1`` segments of a line; the last ones are longer."""
-    parts = edits + 1
-    short, longer = divmod(length, parts)
-    sizes = [short + (i >= parts - longer) for i in range(parts)]
-    return [(sum(sizes[:i]), size) for i, size in enumerate(sizes)]
-
-
-def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
-    """``length, segment, start, size`` of the substrings to look up for a line.
-
-    A line at most ``edits`` shorter or as long has a segment in common with one of these.
-    The start of a segment's match is bounded by the edits left and right of it.
-    """
-    found = []
-    for other in range(max(LEAST_CHARS, length - edits), length + 1):
-        apart = length - other
-        for i, (start, size) in enumerate(segments(other, edits)):
-            lowest = max(-i, apart - (edits - i))
-            highest = min(i, apart + (edits - i))
-            for shift in range(lowest, highest + 1):
-                if 0 <= start + shift <= length - size and (shift or apart):
-                    found.append((other, i, start + shift, size))
-    return found
+COUNTS = (1 << 32) - 1  # bits of a mark that hold counts; those between hold the number of words
+_BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses
+_OF_WORDS = np.uint64(0xD6E8FEB86659FD93)
+_SPACE = np.array([chr(i).isspace() for i in range(0x3001)])
+_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
 def word_edits(words: int) -> int:
@@ -58,34 +39,6 @@ def word_edits(words: int) -> int:
     return words // WORDS_PER_EDIT
 
 
-def word_plan(words: int) -> list[tuple[int, int, int, int, bool]]:
-    """``edits, segment, start, end, indexed`` of the runs of words that stand for a line.
-
-    Lines of as many word edits ``k`` have ``k + 1`` segments of the same places and size. Of
-    the first segments that hold in all no more edits than their last one's number, the last
-    is unchanged and moved by no more than its number; a longer line looks it up there.
-    """
-    found, own = [], word_edits(words)
-    for k in range(own, 0, -1):
-        if words - k > (k + 1) * WORDS_PER_EDIT - 1:
-            break
-        size = k * WORDS_PER_EDIT // (k + 1)
-        for i in range(k + 1):
-            if k == own:
-                found.append((k, i, i * size, (i + 1) * size, True))
-            for start in range(max(0, i * size - i), min(i * size + i, words - size) + 1):
-                if k < own or start != i * size:
-                    found.append((k, i, start, start + size, False))
-    return found
-
-
-def word_counts(words: list[str]) -> int:
-    """Counts of the words in 16 buckets by hash, modulo 4, packed into 32 bits."""
-    codes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) & 15 for w in words])
-    counts = np.bincount(codes, minlength=16).astype(np.uint64) & np.uint64(3)
-    return int((counts << _SHIFTS).sum())
-
-
 def near(x: str, y: str, edits: int) -> bool:
     """Whether two lines are within ``edits`` character edits or the word edits of the shorter one."""
     if within(x, y, edits):
@@ -95,21 +48,162 @@ def near(x: str, y: str, edits: int) -> bool:
     return most > 0 and within(x, y, most)
 
 
-def letter_counts(line: str) -> int:
-    """Counts of the characters in 16 buckets, modulo 4, packed into 32 bits."""
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    counts = np.bincount(codes & 15, minlength=16).astype(np.uint64) & np.uint64(3)
-    return int((counts << _SHIFTS).sum())
-
-
 def counts_apart(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """At most twice the edit distance of each pair, from packed letter counts."""
-    # modulo 4 a difference is 0, 1, 2 or 3; the last is 1 the other way round
-    total = np.zeros(np.broadcast(one, other).shape, dtype=np.uint8)
-    for shift in _SHIFTS:
-        apart = ((one >> shift) - (other >> shift)) & np.uint64(3)
-        total += np.minimum(apart, np.uint64(4) - apart).astype(np.uint8)
-    return total
+    """At most twice the edit distance of each pair, from packed counts.
+
+    Counts are modulo 4 and in Gray code, so differing bits are steps around the circle.
+    """
+    return np.bitwise_count(one ^ other)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of the result depends on every bit of the number."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    if len(_POWERS[0]) <= size:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(size, CHARS_TOGETHER) + 1, base, dtype=np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps)
+    return _POWERS
+
+
+def _packed_counts(owner: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
+    """Counts of codes in 16 buckets, modulo 4, in Gray code, packed into 32 bits, per owner."""
+    places = owner * 16 + (codes & codes.dtype.type(15)).astype(np.int64)
+    counts = np.bincount(places, minlength=16 * n).reshape(n, 16) & 3
+    gray = (counts ^ (counts >> 1)).astype(np.uint64)
+    return (gray << np.arange(0, 32, 2, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
+class Block:
+    """Some lines as one array of characters, with hashes of any substring and the words."""
+
+    def __init__(self, lines: list[str]):
+        self.codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        self.size = np.array([len(x) for x in lines], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        powers, self.inverse = _powers(len(self.codes))
+        rising = (self.codes.astype(np.uint64) + np.uint64(1)) * powers[: len(self.codes)]
+        self.upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(rising, dtype=np.uint64)])
+        self.line = np.repeat(np.arange(len(lines)), self.size)
+        # a word begins where no white space follows white space or the start of a line
+        wide = self.codes < len(_SPACE)
+        solid = ~(wide & _SPACE[np.where(wide, self.codes, 0)])
+        first = np.zeros(len(self.codes), dtype=bool)
+        first[self.start[self.size > 0]] = True
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1] | first[1:]
+        ends = solid.copy()
+        ends[:-1] &= ~solid[1:] | first[1:]
+        begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        self.word = _mixed(self.hashed(begin, end))
+        self.word_line = self.line[begin]
+        self.words = np.bincount(self.word_line, minlength=len(lines))
+        self.word_start = np.cumsum(self.words) - self.words
+
+    def hashed(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of substrings; equal ones have equal hashes wherever they stand."""
+        return (self.upto[end] - self.upto[start]) * self.inverse[start]
+
+
+def _char_keys(b: Block, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Lines, keys and whether indexed, of segments and of the substrings to look up.
+
+    A line has ``edits + 1`` segments, the last ones longer by one. A line at most ``edits``
+    shorter or as long has a segment in common with one of a line's substrings: of the first
+    segments that hold in all no more edits than their last one's number, the last is
+    unchanged and moved by no more than the edits left and right of it. Lines of so many
+    words that the word edits of both exceed what character edits can do are left out: an
+    edit of a character changes two words at most.
+    """
+    parts = edits + 1
+    wanted = (b.size >= LEAST_CHARS) & (b.words < WORDS_PER_EDIT * 2 * edits + 2 * edits)
+    lines = np.flatnonzero(wanted)
+    for apart in range(edits + 1):
+        other = b.size[lines] - apart
+        short, longer = np.divmod(other, parts)
+        for i in range(parts):
+            size = short + (i >= parts - longer)
+            start = i * short + np.maximum(0, i - (parts - longer))
+            seed = _mixed((other * 64 + i).astype(np.uint64))
+            for shift in range(max(-i, apart - (edits - i)), min(i, apart + (edits - i)) + 1):
+                at = start + shift
+                ok = (other >= LEAST_CHARS) & (at >= 0) & (at <= b.size[lines] - size)
+                chosen = lines[ok]
+                low = b.start[chosen] + at[ok]
+                yield chosen, _mixed(b.hashed(low, low + size[ok]) ^ seed[ok]), not (shift or apart)
+
+
+def segment_words(edits: int) -> int:
+    """Words of each of the ``edits + 1`` segments of lines with so many word edits."""
+    return edits * WORDS_PER_EDIT // (edits + 1)
+
+
+def _word_keys(b: Block) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Lines, keys and whether indexed, of the segments of words and of the substrings to look up.
+
+    Lines of as many word edits ``k`` have ``k + 1`` segments of the same places and size, the
+    last of which are looked up in longer lines as character segments are. A run of ``RUN``
+    words, the one of least hash, stands for a segment or a looked-up substring; neighbouring
+    substrings mostly have the same, so a line has far fewer keys than words. Only few sizes
+    of segments occur, so the keys grow in proportion to the words.
+    """
+    own = b.words // WORDS_PER_EDIT
+    if not own.any():
+        return
+    at = np.arange(len(b.word)) - b.word_start[b.word_line]  # place within the line
+    runs = np.zeros(len(b.word), dtype=np.uint64)
+    for k in range(RUN):
+        runs[: len(runs) - k] += b.word[k:] * np.uint64(pow(_BASE, k, 1 << 64))
+    runs = _mixed(runs ^ _OF_WORDS)
+    # the fewest edits that a line may have which is as long or shorter by no more than them
+    least = np.maximum(1, -((WORDS_PER_EDIT - 1 - b.words) // (WORDS_PER_EDIT + 1)))
+    most_edits = int(own.max())
+    edits = np.arange(1, min(most_edits, WORDS_PER_EDIT) + 1)
+    size_of = segment_words(edits)
+    for size in np.unique(size_of).tolist():
+        some = edits[size_of == size]
+        low, high = int(some[0]), int(some[-1]) if some[-1] < WORDS_PER_EDIT else most_edits
+        top = np.minimum(own, high)  # the most edits of this size that a line meets
+        meets = (own > 0) & (top >= np.maximum(low, least))
+        inside = meets[b.word_line] & (at + size <= b.words[b.word_line])
+        place = np.flatnonzero(inside)
+        if not len(place):
+            continue
+        # segment i may stand from i * size - i to i * size + i
+        where, line = at[place], b.word_line[place]
+        nearest = -(-where // (size + 1))
+        place = place[nearest <= np.minimum(where // (size - 1), top[line])]
+        best = runs[place].copy()
+        for k in range(1, size - RUN + 1):
+            np.minimum(best, runs[place + k], out=best)
+        where, line = at[place], b.word_line[place]
+        segment = (where % size == 0) & (where // size <= own[line]) & (own[line] >= low) & (own[line] <= high)
+        yield line[segment], best[segment], True
+        fresh = np.ones(len(place), dtype=bool)
+        fresh[1:] = (best[1:] != best[:-1]) | (line[1:] != line[:-1])
+        yield line[fresh], best[fresh], False
+
+
+def line_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line, key, mark`` of all keys of some lines; ``line`` is a place in the list."""
+    b = Block(lines)
+    indexed = np.uint64(INDEXED)
+    letters = _packed_counts(b.line, b.codes, len(lines))
+    words = _packed_counts(b.word_line, b.word >> np.uint64(8), len(lines)) | b.words.astype(np.uint64) << np.uint64(32)
+    found = []
+    for marks, keys in ((letters, _char_keys(b, edits)), (words, _word_keys(b))):
+        for line, key, own in keys:
+            found.append((line, key, marks[line] | indexed if own else marks[line]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return tuple(map(np.concatenate, zip(*found)))
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -166,43 +260,23 @@ def banded(a: str, b: str, edits: int) -> int:
     return score
 
 
-def _keys(line: str, edits: int, plans: dict) -> Iterator[tuple[int, int]]:
-    """Keys of a line's segments, marked as such, and of the substrings to look up."""
-    length = len(line)
-    plan = plans.get(length)
-    if plan is None:
-        own = [(length, i, start, size) for i, (start, size) in enumerate(segments(length, edits))]
-        plan = [(other * 64 + i, start, start + size, INDEXED) for other, i, start, size in own]
-        plan += [(other * 64 + i, start, start + size, 0) for other, i, start, size in probes(length, edits)]
-        if len(plans) < 20_000:
-            plans[length] = plan
-    for seed, start, end, mark in plan:
-        yield xxhash.xxh3_64_intdigest(line[start:end].encode("utf-8", "surrogatepass"), seed), mark
-
-
-def _word_keys(line: str) -> Iterator[tuple[int, int]]:
-    """Keys of a line's runs of words and their marks."""
-    words = line.split()
-    if word_edits(len(words)):
-        counts = word_counts(words)
-        for k, i, start, end, indexed in word_plan(len(words)):
-            text = " ".join(words[start:end]).encode("utf-8", "surrogatepass")
-            yield xxhash.xxh3_64_intdigest(text, (1 << 48) + (k << 20) + i), counts | k << 32 | indexed * INDEXED
-
-
 def segment_rows(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
     """``key, line, marks``: the segment index and its probes, for lines long enough.
 
     ``line`` is the line's hash, ``marks`` its letter counts and whether the key is a segment
-    of its own; keys of runs of words have word counts and the word edits. A task gives a line's rows once, however often the line comes.
+    of its own; keys of runs of words have counts of words and their number. A task gives a
+    line's rows once, however often the line comes.
     """
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "line", "marks")])
 
+    def made(names: list[int], lines: list[str]) -> pa.RecordBatch:
+        line, key, marks = line_keys(lines, edits)
+        return _longs(schema, key, np.array(names, dtype=np.uint64)[line], marks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        plans: dict = {}
+        names, lines, size = [], [], 0
         for batch in batches:
-            keys, lines, marks = [], [], []
             for text in batch.column(0).to_pylist():
                 for line in (text or "").split("\n"):
                     if len(line) < LEAST_CHARS or not line.strip(BLANK):
@@ -213,50 +287,63 @@ def segment_rows(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
                     if len(seen) >= CACHED_LINES:
                         seen.clear()
                     seen.add(name)
-                    counts = letter_counts(line)
-                    for key, mark in _keys(line, edits, plans):
-                        keys.append(key)
-                        lines.append(name)
-                        marks.append(counts | mark)
-                    for key, mark in _word_keys(line):
-                        keys.append(key)
-                        lines.append(name)
-                        marks.append(mark)
-                if len(keys) > 100_000:
-                    yield _longs(schema, keys, lines, marks)
-                    keys, lines, marks = [], [], []
-            if keys:
-                yield _longs(schema, keys, lines, marks)
+                    names.append(name)
+                    lines.append(line)
+                    size += len(line)
+                    if size >= CHARS_TOGETHER:
+                        yield made(names, lines)
+                        names, lines, size = [], [], 0
+        if names:
+            yield made(names, lines)
 
     return docs.select(text_col).mapInArrow(run, schema)
 
 
-def _longs(schema: T.StructType, *columns: list[int]) -> pa.RecordBatch:
-    signed = [pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in columns]
-    return pa.RecordBatch.from_arrays(signed, names=schema.names)
+def _longs(schema: T.StructType, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=schema.names)
+
 
+def _may_be_near(x: np.ndarray, y: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether marks of one bucket leave it open that their lines are near, and how far counts are apart."""
+    low = np.uint64(COUNTS)
+    apart = counts_apart(x & low, y & low)
+    words = int(x.flat[0] & np.uint64(INDEXED - 1)) >> 32  # none in all of a bucket, or some in all
+    open_ = ((x | y) & np.uint64(INDEXED)) > 0
+    if not words:
+        return open_ & (apart <= 2 * edits), apart
+    m, n = ((z & np.uint64(INDEXED - 1)) >> np.uint64(32) for z in (x, y))
+    most = np.minimum(m, n) // np.uint64(WORDS_PER_EDIT)
+    return open_ & (apart <= 2 * most) & (np.maximum(m, n) - np.minimum(m, n) <= most), apart
 
-def _alike(lines: np.ndarray, marks: np.ndarray, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different lines of one bucket, one of them indexed, with near counts."""
-    counts, indexed = marks & np.uint64(COUNTS), (marks & np.uint64(INDEXED)) > 0
-    edits = int(marks[0] & np.uint64(INDEXED - 1)) >> 32 or edits  # the same in all of a bucket
+
+def _alike(lines: np.ndarray, marks: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pairs of different lines of one bucket that may be near; None if they are too many."""
+    order = np.lexsort((~marks, lines))  # a line once, indexed if it is in one row
+    lines, marks = lines[order], marks[order]
+    once = np.append(True, lines[1:] != lines[:-1])
+    lines, marks = lines[once], marks[once]
+    found, n = [], 0
     for i in range(0, len(lines), BLOCK):
         for j in range(i, len(lines), BLOCK):
             x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
-            alike = counts_apart(counts[x, None], counts[None, y]) <= 2 * edits
-            alike &= (indexed[x, None] | indexed[None, y]) & (lines[x, None] != lines[None, y])
+            alike, _ = _may_be_near(marks[x, None], marks[None, y], edits)
             if i == j:
                 alike = np.triu(alike, 1)
             a, b = np.nonzero(alike)
+            n += len(a)
+            if n > PARTNERS * len(lines):
+                return None
             if len(a):
-                yield lines[x][a], lines[y][b]
+                found.append((lines[x][a], lines[y][b]))
+    return tuple(map(np.concatenate, zip(*found))) if found else (lines[:0], lines[:0])
 
 
-def bucket_pairs(rows: DataFrame, edits: int, most: int | None) -> DataFrame:
+def bucket_pairs(rows: DataFrame, edits: int, most: int) -> DataFrame:
     """Candidate pairs ``a < b`` of the rows that share a key.
 
     Rows come sorted by key, so a task holds one bucket at a time. A bucket of more than
-    ``most`` rows is not compared: its rows are given back, with their key, for a finer cut.
+    ``most`` rows, or of more than ``PARTNERS`` pairs for each line, gives no pairs: its
+    rows are given back, with their key.
     """
     fields = [T.StructField(c, T.LongType()) for c in ("a", "b", "key", "marks")]
 
@@ -282,7 +369,7 @@ def bucket_pairs(rows: DataFrame, edits: int, most: int | None) -> DataFrame:
             key, line, marks = (np.concatenate(p) for p in zip(held, fresh))
             ends = np.flatnonzero(np.append(key[1:] != key[:-1], not more)) + 1 if len(key) else key
             starts = np.append(0, ends[:-1])[: len(ends)].astype(np.int64)
-            found = []
+            found, size = [], 0
             if len(starts):
                 done = slice(0, ends[-1])
                 several = np.minimum.reduceat(line[done], starts) != np.maximum.reduceat(line[done], starts)
@@ -290,18 +377,23 @@ def bucket_pairs(rows: DataFrame, edits: int, most: int | None) -> DataFrame:
                 several |= key[starts] == crowded if crowded is not None else False
                 starts, ends_ = starts[several], ends[several]
                 for start, end in zip(starts.tolist(), ends_.tolist()):
-                    if key[start] == crowded or most and end - start > most:
-                        yield given_back(key[start:end], line[start:end], marks[start:end])
-                    else:
-                        found += _alike(line[start:end], marks[start:end], edits)
-                    if len(found) >= 256:
+                    own = slice(start, end)
+                    alike = None
+                    if key[start] != crowded and end - start <= most:
+                        alike = _alike(line[own], marks[own], edits)
+                    if alike is None:
+                        yield given_back(key[own], line[own], marks[own])
+                    elif len(alike[0]):
+                        found.append(alike)
+                        size += len(alike[0])
+                    if size >= 100_000:
                         yield pairs(found)
-                        found = []
+                        found, size = [], 0
             if found:
                 yield pairs(found)
             rest = ends[-1] if len(ends) else 0
             held = [key[rest:], line[rest:], marks[rest:]]
-            if most and len(held[0]) > most:  # all of one key: let go what is known to be too much
+            if len(held[0]) > most:  # all of one key: let go what is known to be too much
                 crowded = held[0][0]
                 yield given_back(*held)
                 held = [np.zeros(0, np.uint64)] * 3
@@ -317,49 +409,145 @@ def _then(batches, last):
     yield last, False
 
 
-def candidates(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
-    """Distinct pairs ``a, b`` of line hashes that may be near each other."""
-    found = materialize(bucket_pairs(segment_rows(docs, edits, text_col), edits, MOST_TOGETHER))
-    pairs = found.filter("b IS NOT NULL").select("a", "b")
-    crowded = found.filter("b IS NULL").select("key", F.col("a").alias("line"), "marks")
-    if not crowded.isEmpty():
-        of_words = F.shiftright("marks", 32).bitwiseAND(F.lit((1 << 31) - 1)) > 0
-        runs, crowded = crowded.filter(of_words), crowded.filter(~of_words)
-        # An edit changes two letter counts at most: of 2 e + 2 groups of counts two are equal.
-        groups = np.array_split(np.arange(16), 2 * edits + 2)
-        bits = [sum(3 << (2 * int(i)) for i in g) for g in groups]
-        cuts = [a | b for a, b in combinations(bits, 2)]
-        finer = F.array(*[F.xxhash64("key", F.lit(c), F.col("marks").bitwiseAND(F.lit(c))) for c in cuts])
-        cut = crowded.select(F.explode(finer).alias("key"), "line", "marks")
-        for rows in (cut, runs):
-            pairs = pairs.unionByName(bucket_pairs(rows, edits, None).select("a", "b"))
-    return materialize(pairs.distinct())
-
-
-def near_lines(docs: DataFrame, edits: int, text_col: str) -> DataFrame:
-    """``one, other``: names of different lines that are ``near`` each other.
-
-    A line's name is a struct of two hashes. The texts of candidates are fetched by a second
-    look at the documents, and every pair is verified.
+def dealt(rows: DataFrame, most: int) -> DataFrame:
+    """Rows of full buckets with ``low, high, piece``: the groups in which they are compared.
+
+    A bucket of more than ``most`` lines is cut into pieces by line; each two pieces, and
+    each with itself, are a group. So no group has more than about twice that many rows.
     """
-    pairs = candidates(docs, edits, text_col)
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct())
-    if wanted.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    lines = exploded(docs.select(text_col), text_col).filter(F.length("text") >= LEAST_CHARS)
-    lines = lines.withColumn("line", F.xxhash64("text")).join(wanted, "line", "left_semi")
-    lines = materialize(lines.select("line", name("text").alias("name"), "text").distinct())
-    left = lines.select(F.col("line").alias("a"), F.col("name").alias("one"), F.col("text").alias("x"))
-    right = lines.select(F.col("line").alias("b"), F.col("name").alias("other"), F.col("text").alias("y"))
+    once = rows.groupBy("key", "line").agg(F.min("marks").alias("marks"))  # the mark of a segment is the sign
+    sizes = once.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("pieces")).filter("pieces > 1")
+    joined = balanced_join(once, sizes, ["key"], "left", spread_by=["line"])
+    pieces = F.coalesce("pieces", F.lit(1))
+    piece = F.pmod(F.xxhash64("line", "key"), pieces).cast("int")
+    joined = joined.select("key", "line", "marks", piece.alias("piece"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("with"))
+    return joined.select("key", "line", "marks", "piece", F.least("piece", "with").alias("low"), F.greatest("piece", "with").alias("high"))
+
+
+def earlier_pairs(rows: DataFrame, edits: int, skip: int, limit: int | None) -> DataFrame:
+    """``a, b``: for each open line some earlier ones of its groups that may be near.
+
+    Rows have their line's place ``p``, and ``open`` where the line is not known to go. Of the
+    earlier lines, nearest counts first, ``skip`` are left out and ``limit`` are given; ``b``
+    is null where there are more.
+    """
+    names = ["key", "low", "high", "line", "marks", "piece", "open"]
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b")])
+
+    def group(line: np.ndarray, marks: np.ndarray, piece: np.ndarray, open_: np.ndarray, crossing: bool):
+        for j in np.flatnonzero(open_).tolist():
+            if not j:
+                continue
+            alike, apart = _may_be_near(marks[j : j + 1], marks[:j], edits)
+            alike &= line[:j] != line[j]
+            if crossing:
+                alike &= piece[:j] != piece[j]
+            at = np.flatnonzero(alike)
+            if len(at) <= skip:
+                continue
+            # ties by a mix of both lines, so that no line is every other one's first choice
+            at = at[np.lexsort((_mixed(line[at] ^ line[j]), apart[at]))]
+            chosen = at[skip:] if limit is None else at[skip : skip + limit]
+            yield line[j], line[chosen], limit is not None and len(at) > skip + limit
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        last = pa.RecordBatch.from_arrays(
+            [pa.array([], pa.int64())] * 6 + [pa.array([], pa.bool_())], names=names
+        )
+        for batch, more in _then(batches, last):
+            fresh = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            columns = fresh if held is None else [np.concatenate(p) for p in zip(held, fresh)]
+            key, low, high = columns[:3]
+            if not len(key):
+                continue
+            new = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            ends = np.flatnonzero(np.append(new, not more)) + 1
+            a, b, start, size = [], [], 0, 0
+            for end in ends.tolist():
+                line, marks, piece, open_ = (c[start:end] for c in columns[3:])
+                found = group(line.view(np.uint64), marks.view(np.uint64), piece, open_.astype(bool), low[start] != high[start])
+                for own, others, rest in found:
+                    a.append(np.full(len(others) + rest, own).view(np.int64))
+                    b.append((np.append(others, own) if rest else others).view(np.int64))
+                    size += len(a[-1])
+                    if size >= 100_000:
+                        yield _pair_batch(a, b, schema)
+                        a, b, size = [], [], 0
+                start = end
+            if a:
+                yield _pair_batch(a, b, schema)
+            held = [c[start:] for c in columns]
+
+    groups = ["key", "low", "high"]
+    ordered = rows.repartition(*groups).sortWithinPartitions(*groups, "p", "line")
+    longs = [F.col(c).cast("long").alias(c) for c in names[:-1]]
+    return ordered.select(*longs, F.coalesce("open", F.lit(False)).alias("open")).mapInArrow(run, schema)
+
+
+def _pair_batch(a: list[np.ndarray], b: list[np.ndarray], schema: T.StructType) -> pa.RecordBatch:
+    """Pairs; a line beside itself stands for more to come and becomes a null."""
+    x, y = np.concatenate(a), np.concatenate(b)
+    return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y, mask=x == y)], names=schema.names)
+
+
+def verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
+    """``line, name`` of lines of which an earlier one is ``near``; ``lines`` has their texts and places."""
+    left = lines.select(F.col("line").alias("a"), F.col("name").alias("one"), F.col("text").alias("x"), "p")
+    right = lines.select(F.col("line").alias("b"), F.col("name").alias("other"), F.col("text").alias("y"), F.col("p").alias("q"))
+    both = pairs.join(left, "a").join(right, "b")
+    first = F.col("p") < F.col("q")
+    both = both.select(
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("line"),
+        F.when(first, F.col("other")).otherwise(F.col("one")).alias("name"), "x", "y",
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            verified = pa.array([near(x, y, edits) for x, y in texts], pa.bool_())
-            yield batch.select([0, 1]).filter(verified)
+            alike = pa.array([near(x, y, edits) for x, y in texts], pa.bool_())
+            yield batch.select([0, 1]).filter(alike)
+
+    return both.mapInArrow(run, both.select("line", "name").schema).distinct()
 
-    both = pairs.join(left, "a").join(right, "b").select("one", "other", "x", "y")
-    return both.mapInArrow(run, both.select("one", "other").schema)
+
+def later_lines(docs: DataFrame, first: DataFrame, edits: int, text_col: str) -> DataFrame:
+    """``line, name`` of the lines that are ``near`` an earlier one; ``first`` has names and first places.
+
+    A line's name is a struct of two hashes. Buckets with few candidates give pairs; the lines
+    of all others are compared in rounds with few earlier lines, with more, and with all the
+    rest, as long as none is near. So many variants of a line make few pairs. The texts of
+    candidates are fetched by a second look at the documents, and every pair is verified.
+    """
+    found = materialize(bucket_pairs(segment_rows(docs, edits, text_col), edits, MOST_TOGETHER))
+    pairs = materialize(found.filter("b IS NOT NULL").select("a", "b").distinct())
+    full = found.filter("b IS NULL").select("key", F.col("a").alias("line"), "marks")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).unionByName(full.select("line"))
+    wanted = materialize(wanted.distinct())
+    if wanted.count() <= BROADCAST_LINES:
+        wanted = F.broadcast(wanted)
+    lines = exploded(docs.select(text_col), text_col).filter(F.length("text") >= LEAST_CHARS)
+    lines = lines.withColumn("line", F.xxhash64("text")).join(wanted, "line", "left_semi")
+    lines = lines.select("line", name("text").alias("name"), "text").distinct()
+    lines = materialize(lines.join(first.withColumnRenamed("key", "p"), "name"))
+    gone = materialize(verified(pairs, lines, edits))
+    if full.isEmpty():
+        return gone
+    rows = dealt(full, MOST_TOGETHER).join(lines.select("line", "p"), "line")
+    rows = materialize(rows)
+    left = rows.select("line").distinct().join(gone.select("line"), "line", "left_anti").withColumn("open", F.lit(True))
+    skip = 0
+    for limit in ROUNDS:
+        left = materialize(left)
+        if left.isEmpty():
+            break
+        asked = materialize(earlier_pairs(rows.join(left, "line", "left"), edits, skip, limit))
+        more = asked.filter("b IS NULL").select(F.col("a").alias("line")).distinct()
+        fresh = materialize(verified(asked.filter("b IS NOT NULL").distinct(), lines, edits))
+        gone = gone.unionByName(fresh)
+        left = more.join(fresh.select("line"), "line", "left_anti").withColumn("open", F.lit(True))
+        skip += limit or 0
+    return materialize(gone.distinct())
 
 
 BLANK = " \t\r\x0b\x0c"
@@ -399,12 +587,7 @@ def deduplicate_lines(
     key = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("at").alias("at"))
     lines = exploded(docs.select(F.col(id_col).alias("id"), text_col), text_col)
     first = materialize(lines.select(name("text").alias("name"), key.alias("key")).groupBy("name").agg(F.min("key").alias("key")))
-    near = near_lines(docs, edits, text_col)
-    place = first.withColumnRenamed("name", "one").withColumnRenamed("key", "p")
-    other = first.withColumnRenamed("name", "other").withColumnRenamed("key", "q")
-    placed = near.join(place, "one").join(other, "other")
-    later = placed.select(F.when(F.col("p") < F.col("q"), F.col("other")).otherwise(F.col("one")).alias("name"))
-    kept = first.join(materialize(later.distinct()), "name", "left_anti")
+    kept = first.join(later_lines(docs, first, edits, text_col).select("name"), "name", "left_anti")
     kept = kept.groupBy(F.col("key.id").alias("_id")).agg(F.collect_list("key.at").alias("_kept"))
     joined = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]), "left").drop("_id")
     names = docs.columns

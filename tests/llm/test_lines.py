@@ -31,6 +31,14 @@ def change(rng, line, edits, letters="abc é"):
 
 def brute(rows, edits):
     """Numbers of the lines that go, per document, with every pair of lines compared."""
+
+    def alike(a, b):
+        if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+            return True
+        x, y = a.split(), b.split()
+        most = min(len(x), len(y)) // 20
+        return abs(len(x) - len(y)) <= most and most > 0 and len(set(x) - set(y)) <= most and distance(x, y) <= most
+
     first = {}
     for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for at, line in enumerate((text or "").split("\n")):
@@ -39,7 +47,7 @@ def brute(rows, edits):
     order = list(first)
     gone = {
         b for k, b in enumerate(order) for a in order[:k]
-        if min(len(a), len(b)) >= lines.LEAST_CHARS and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits
+        if min(len(a), len(b)) >= lines.LEAST_CHARS and alike(a, b)
     }
     removed = {}
     for i, text in rows:
@@ -100,6 +108,16 @@ def test_banded_distance(edits):
         assert lines.within(a, b, edits) == (distance(a, b) <= edits)
 
 
+def keys_of(line, edits=2, words=False):
+    """Indexed keys, all keys and counts of a line."""
+    _, keys, marks = lines.line_keys([line, "x" * 30], edits)
+    own = lines.line_keys([line], edits)
+    assert set(own[1].tolist()) <= set(keys.tolist())
+    chosen = ((own[2] & np.uint64(lines.INDEXED - 1)) >> np.uint64(32) > 0) == words
+    keys, marks = own[1][chosen], own[2][chosen]
+    return set(keys[marks >= lines.INDEXED].tolist()), set(keys.tolist()), marks[:1] & np.uint64(lines.COUNTS)
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_near_lines_share_a_key_and_have_near_letter_counts(edits):
     rng = random.Random(edits)
@@ -108,11 +126,9 @@ def test_near_lines_share_a_key_and_have_near_letter_counts(edits):
         b = change(rng, a, rng.randint(0, edits), "abcdef")
         if len(b) < lines.LEAST_CHARS:
             continue
-        x, y = (list(lines._keys(t, edits, {})) for t in (a, b))
-        own = [{k for k, mark in keys if mark} for keys in (x, y)]
-        assert own[0] & {k for k, _ in y} or own[1] & {k for k, _ in x}
-        counts = [np.uint64(lines.letter_counts(t)) for t in (a, b)]
-        assert lines.counts_apart(*counts) <= 2 * edits
+        x, y = keys_of(a, edits), keys_of(b, edits)
+        assert x[0] & y[1] or y[0] & x[1]
+        assert lines.counts_apart(x[2], y[2])[0] <= 2 * edits
 
 
 def test_query_returns_every_document(spark):
@@ -158,9 +174,68 @@ def test_near_word_runs_share_a_key():
         b = altered(rng, a, rng.randint(0, lines.word_edits(len(a.split()))))
         if not lines.near(a, b, 0):
             continue
-        x, y = (list(lines._word_keys(t)) for t in (a, b))
-        own = [{k for k, mark in keys if mark >= lines.INDEXED} for keys in (x, y)]
-        assert own[0] & {k for k, _ in y} or own[1] & {k for k, _ in x}
+        x, y = keys_of(a, words=True), keys_of(b, words=True)
+        assert x[0] & y[1] or y[0] & x[1]
         most = lines.word_edits(min(len(a.split()), len(b.split())))
-        counts = [np.uint64(lines.word_counts(t.split())) for t in (a, b)]
-        assert lines.counts_apart(*counts) <= 2 * most
+        assert lines.counts_apart(x[2], y[2])[0] <= 2 * most
+
+
+def test_character_edits_of_many_words_are_word_edits():
+    """Lines of so many words have no character keys; each edit changes two words at most."""
+    rng = random.Random(9)
+    least = 2 * lines.MAX_EDITS * (lines.WORDS_PER_EDIT + 1)
+    for _ in range(500):
+        a = " ".join(rng.choice(["ab", "c", "def"]) for _ in range(rng.randint(least, least + 12)))
+        b = change(rng, a, lines.MAX_EDITS, "ab  ")
+        if len(b.split()) < least - 4:
+            continue
+        x, y = keys_of(a, words=True), keys_of(b, words=True)
+        assert x[0] & y[1] or y[0] & x[1]
+        assert lines.near(a, b, 0)
+    assert not keys_of(a)[1] and keys_of(" ".join(["ab"] * (least - 1)))[1]
+
+
+def test_keys_grow_with_the_words():
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghik") for _ in range(5)) for _ in range(5000)]
+    for n in (100, 1000, 20_000):
+        line = " ".join(rng.choice(words) for _ in range(n))
+        assert len(lines.line_keys([line], 2)[1]) < 0.6 * n
+
+
+def test_very_long_lines(spark):
+    """Lines of 20,000 words: near with up to 1,000 words changed."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghik") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    base = [rng.choice(words) for _ in range(20_000)]
+    changed, far = base[:], base[:]
+    for i in rng.sample(range(20_000), 900):
+        changed[i] = "other"
+    for i in rng.sample(range(20_000), 1100):
+        far[i] = "another"
+    texts = [" ".join(t) for t in (base, far, changed, base[:-940], base[500:], base[2000:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in lines.deduplicate_lines(docs).collect() if r.removed}
+    assert got == {2, 3, 4}
+
+
+def test_many_variants_of_a_line(spark, monkeypatch):
+    """5,000 numbered variants: far fewer pairs than all, and what brute force keeps."""
+    made = []
+    verify = lines.verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(lines, "verified", counted)
+    monkeypatch.setattr(lines, "MOST_TOGETHER", 1500)
+    texts = [f"This is notice number {i:04d} of our long list of notices." for i in range(5000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = [r.doc_id for r in lines.deduplicate_lines(docs).collect() if not r.removed]
+
+    def apart(i, j):
+        return lines.within(f"{i:04d}", f"{j:04d}", 2)
+
+    assert got == [i for i in range(5000) if not any(apart(i, j) for j in range(i))]
+    assert sum(made) < 5000 * 200
