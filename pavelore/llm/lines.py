@@ -19,17 +19,19 @@ MAX_EDITS = 2
 WORDS_PER_EDIT = 20  # words of the shorter line for each word that may be changed, added or dropped
 LEAST_CHARS = 24  # shorter lines are equal or not alike
 RUN = 6  # words of the run that stands for a segment of words
+RUN_CHARS = 16  # characters of the run that stands for a segment of a line
+LONG = 72  # characters from which it does
 BROADCAST_LINES = 2_000_000  # up to so many counted line numbers of 8 bytes are broadcast
 BLOCK = 1024  # bucket rows compared with as many at a time
 MOST_TOGETHER = 20_000  # larger buckets are dealt out in blocks
-PARTNERS = 16  # candidate pairs for each line of a bucket, beyond which lines are compared in rounds
-ROUNDS = (8, 128, None)  # earlier lines that a line is compared with in each round; the last round has the rest
+PARTNERS = 2  # candidate pairs for each line of a bucket, beyond which lines are compared in rounds
+ROUNDS = (1, 16, None)  # earlier lines that a line is compared with in each round; the last round has the rest
 CACHED_LINES = 500_000
 CHARS_TOGETHER = 400_000  # characters of lines whose keys are made at a time
 INDEXED = 1 << 63  # mark of a row that stands for a segment, not for a looked-up substring
 COUNTS = (1 << 32) - 1  # bits of a mark that hold counts; those between hold the number of words
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses
-_OF_WORDS = np.uint64(0xD6E8FEB86659FD93)
+_OF_WORDS, _OF_CHARS = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A5A5A5)
 _SPACE = np.array([chr(i).isspace() for i in range(0x3001)])
 _POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
@@ -118,13 +120,16 @@ def _char_keys(b: Block, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, b
     A line has ``edits + 1`` segments, the last ones longer by one. A line at most ``edits``
     shorter or as long has a segment in common with one of a line's substrings: of the first
     segments that hold in all no more edits than their last one's number, the last is
-    unchanged and moved by no more than the edits left and right of it. Lines of so many
-    words that the word edits of both exceed what character edits can do are left out: an
-    edit of a character changes two words at most.
+    unchanged and moved by no more than the edits left and right of it. For a line of
+    ``LONG`` characters or more the run of ``RUN_CHARS`` of least hash stands for a segment
+    or a looked-up substring; those that are moved by little mostly have the same. Lines of
+    so many words that the word edits of both exceed what character edits can do are left
+    out: an edit of a character changes two words at most.
     """
     parts = edits + 1
     wanted = (b.size >= LEAST_CHARS) & (b.words < WORDS_PER_EDIT * 2 * edits + 2 * edits)
     lines = np.flatnonzero(wanted)
+    long: list[list[np.ndarray]] = [[], [], [], []]
     for apart in range(edits + 1):
         other = b.size[lines] - apart
         short, longer = np.divmod(other, parts)
@@ -133,11 +138,35 @@ def _char_keys(b: Block, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, b
             start = i * short + np.maximum(0, i - (parts - longer))
             seed = _mixed((other * 64 + i).astype(np.uint64))
             for shift in range(max(-i, apart - (edits - i)), min(i, apart + (edits - i)) + 1):
-                at = start + shift
-                ok = (other >= LEAST_CHARS) & (at >= 0) & (at <= b.size[lines] - size)
+                at, own = start + shift, not (shift or apart)
+                fits = (other >= LEAST_CHARS) & (at >= 0) & (at <= b.size[lines] - size)
+                ok = fits & (other < LONG)
                 chosen = lines[ok]
                 low = b.start[chosen] + at[ok]
-                yield chosen, _mixed(b.hashed(low, low + size[ok]) ^ seed[ok]), not (shift or apart)
+                yield chosen, _mixed(b.hashed(low, low + size[ok]) ^ seed[ok]), own
+                ok = fits & (other >= LONG)
+                chosen = lines[ok]
+                low = b.start[chosen] + at[ok]
+                for held, value in zip(long, (chosen, low, size[ok], np.full(len(chosen), 2 * i + (not own)))):
+                    held.append(value)
+    line, low, size, kind = map(np.concatenate, long) if long[0] else [np.zeros(0, np.int64)] * 4
+    if not len(line):
+        return
+    first = np.arange(len(b.codes) - RUN_CHARS + 1)
+    runs = np.append(_mixed(b.hashed(first, first + RUN_CHARS)), np.uint64(2**64 - 1))
+    order = np.argsort(kind & 1, kind="stable")  # segments first
+    line, low, size, kind = line[order], low[order], size[order], kind[order]
+    ends = np.stack([low, low + size - RUN_CHARS + 1], axis=1).ravel()
+    key = _mixed(np.minimum.reduceat(runs, ends)[::2] ^ _mixed((kind >> 1).astype(np.uint64) + _OF_CHARS))
+    once = _first_of_each(line, key)
+    for own in (True, False):
+        some = once[(kind[once] & 1) != own]
+        yield line[some], key[some], own
+
+
+def _first_of_each(line: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Places of the first row of each line and key."""
+    return np.unique(_mixed(key ^ _mixed(line.astype(np.uint64))), return_index=True)[1]
 
 
 def segment_words(edits: int) -> int:
@@ -185,10 +214,12 @@ def _word_keys(b: Block) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
             np.minimum(best, runs[place + k], out=best)
         where, line = at[place], b.word_line[place]
         segment = (where % size == 0) & (where // size <= own[line]) & (own[line] >= low) & (own[line] <= high)
-        yield line[segment], best[segment], True
-        fresh = np.ones(len(place), dtype=bool)
-        fresh[1:] = (best[1:] != best[:-1]) | (line[1:] != line[:-1])
-        yield line[fresh], best[fresh], False
+        order = np.argsort(~segment, kind="stable")  # segments first
+        line, best, segment = line[order], best[order], segment[order]
+        once = _first_of_each(line, best)
+        for indexed in (True, False):
+            some = once[segment[once] == indexed]
+            yield line[some], best[some], indexed
 
 
 def line_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -217,18 +248,29 @@ def within(a: str, b: str, edits: int) -> bool:
         return False
     if len(a) < len(b):
         a, b = b, a
-    start, end = 0, len(b)
-    while start < end and a[start] == b[start]:
-        start += 1
-    tail = 0
-    while tail < end - start and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
+    start, end = _in_common(a, b), len(b)
+    tail = _in_common(a[start:][::-1], b[start:][::-1])
     a, b = a[start : len(a) - tail], b[start : end - tail]
     if not b:
         return len(a) <= edits
     return banded(a, b, edits) <= edits
 
 
+def _in_common(a: str, b: str) -> int:
+    """How many characters both texts begin with, by blocks of doubled, then halved lengths."""
+    most, done, step = min(len(a), len(b)), 0, 16
+    while done + step <= most and a[done : done + step] == b[done : done + step]:
+        done += step
+        step *= 2
+    while step > 1:
+        step //= 2
+        if done + step <= most and a[done : done + step] == b[done : done + step]:
+            done += step
+    while done < most and a[done] == b[done]:
+        done += 1
+    return done
+
+
 def banded(a: str, b: str, edits: int) -> int:
     """Edit distance of ``a`` and ``b`` if it is ``edits`` or less, else some larger number."""
     rows, width = len(a), 2 * edits + 1
