@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 from .common import small_batches
 
 DICTIONARY_BYTES = 112_640
-SAMPLE_DOCUMENTS = 200  # training texts of a language at most
-SAMPLE_CHARS = 2_000  # of each
-MOST_LANGUAGES = 200  # the most frequent labels, if there are more
+PIECE_CHARS = 512  # characters of a piece of text in a dictionary
+SURPLUS = 8  # times as many pieces as fit are compared by hash, where a language has more
 CHUNK = 2_048  # bytes that are compressed at a time
 LEVEL = 6
 FILLER = bytes(64)  # before every text: a very short input alone would be stored as it is
@@ -23,37 +22,46 @@ UNKNOWN = "und"
 
 
 def dictionaries(
-    docs: DataFrame,
-    sample_documents: int = SAMPLE_DOCUMENTS,
-    sample_chars: int = SAMPLE_CHARS,
-    dictionary_bytes: int = DICTIONARY_BYTES,
-    most_languages: int = MOST_LANGUAGES,
+    docs: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES, piece_chars: int = PIECE_CHARS
 ) -> dict[str, bytes]:
-    """Raw dictionary content per language, learned from ``doc_id, text, lang`` rows.
+    """Raw dictionary content per language, learned from ``text, lang`` rows.
 
-    A bounded sample: of the ``most_languages`` most frequent labels, the texts with the
-    smallest hash of their id; Spark keeps no more than the sample per language and task.
-    Rows without label or text are left out; equal beginnings count once.
+    A bounded sample from whole texts: every text is cut into pieces, and a language's
+    dictionary holds the pieces with the smallest hashes, as many as fit, each once. Every
+    label gets one, so the driver holds ``dictionary_bytes`` for each. Of a language with very
+    many pieces only those below a hash that leaves a few times as many as fit are sorted.
+    Rows without label or text are left out, and labels with less than 8 bytes.
     """
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    often = [F.desc("count"), F.asc("lang")]
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(*often).limit(most_languages).collect()]
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "part")
-    sample = (
-        rows.filter(F.col("lang").isin(langs))
-        .select("lang", "doc_id", F.substring("text", 1, sample_chars).alias("part"))
-        .withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= sample_documents)
-        .orderBy("lang", "place")
-        .collect()
-    )
-    parts: dict[str, dict[bytes, None]] = {}
-    for r in sample:
-        parts.setdefault(r.lang, {})[r.part.lower().encode()] = None
-    joined = {lang: b"\n".join(texts)[:dictionary_bytes] for lang, texts in sorted(parts.items())}
+    rows = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text")
+    fitting = -(-dictionary_bytes // piece_chars)
+    pieces = F.ceil(F.length("text") / piece_chars).cast("int")
+    counts = rows.groupBy("lang").agg(F.sum(pieces).alias("n"))
+    # all hashes are below 2 to the power of 63; so many times the wanted share of them
+    least = F.least(F.lit(1.0), F.lit(float(SURPLUS * fitting)) / F.col("n")) * F.lit(2.0**63)
+    counts = counts.select("lang", least.alias("most"))
+    parts = rows.select("lang", "text", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("i"))
+    part = F.lower(F.substring("text", F.col("i") * piece_chars + 1, F.lit(piece_chars)))
+    parts = parts.select("lang", part.alias("part")).withColumn("hash", F.xxhash64("part").bitwiseAND(F.lit((1 << 63) - 1)))
+    # one row per label, fewer than the driver holds dictionaries
+    parts = parts.join(F.broadcast(counts), "lang").filter(F.col("hash") <= F.col("most")).select("lang", "hash", "part").distinct()
+    place = Window.partitionBy("lang").orderBy("hash", "part")
+    sample = parts.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= fitting)
+    found: dict[str, list[bytes]] = {}
+    for r in sample.orderBy("lang", "place").collect():
+        found.setdefault(r.lang, []).append(r.part.encode())
+    joined = {lang: _fitting(texts, dictionary_bytes) for lang, texts in sorted(found.items())}
     return {lang: content for lang, content in joined.items() if len(content) >= 8}
 
 
+def _fitting(texts: list[bytes], most: int) -> bytes:
+    """As many of the texts as fit, with a line end between two; the first one if none does."""
+    content = texts[0][:most]
+    for text in texts[1:]:
+        if len(content) + 1 + len(text) <= most:
+            content += b"\n" + text
+    return content
+
+
 class Compressors:
     """Compressed size of a text under each language's dictionary."""
 

@@ -66,3 +66,18 @@ def test_sizes_equal_compressing_by_hand(content):
         data = language.FILLER + text.lower().encode()
         assert size == sum(len(whole.compress(data[i : i + 2048])) for i in range(0, len(data), 2048))
         assert not re.search("[A-Z]", text.lower())
+
+
+def test_dictionaries_hold_pieces_of_whole_texts_and_of_every_label(spark):
+    """A hash decides on pieces: late parts of long texts count, copies once, no label is left out."""
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [("aa", long)] + [("bb", "copy of one text " * 9)] * 50 + [(f"l{i:03d}", f"text number {i} of its language") for i in range(230)]
+    rows += [(None, "no label"), ("cc", None), ("dd", ""), ("ee", "tiny")]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    got = language.dictionaries(docs)
+    assert set(got) == {"aa", "bb", *(f"l{i:03d}" for i in range(230))}
+    assert got["bb"] == ("copy of one text " * 9).encode()
+    places = [long.index(piece) for piece in got["aa"].decode().split("\n")]
+    assert all(p % language.PIECE_CHARS == 0 for p in places) and max(places) > len(long) * 0.9
+    assert 0.95 * language.DICTIONARY_BYTES < len(got["aa"]) <= language.DICTIONARY_BYTES
+    assert got == language.dictionaries(docs.repartition(2))
