@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import strings
-from ..operators import relational, roads, scenario
+from ..operators import geocoding, relational, roads, scenario
 from .base import cte, distance_sql, icon_text, load, query, standin
 
 _joined = 'a."Street", a."City", a."County", a."State", "Temperature(F)", "Humidity(%)"'
@@ -82,6 +82,46 @@ def geocode_lookup(spark, sf):
     return roads.geocode(_addresses(spark, sf), standin(spark, sf, "gazetteer"))
 
 
+_asked = f"""CASE o_orderkey % 6 WHEN 0 THEN 'city ' || (k % 5) || ',  st. ' || k
+      WHEN 1 THEN 'STREET ' || k || ' - CITY ' || (k % 5) WHEN 2 THEN 'Str ' || k || ', City ' || (k % 5) || ', 2nd floor'
+      WHEN 3 THEN 'street ' || k WHEN 4 THEN 'Nowhere place ' || o_orderkey ELSE 'city ' || (k % 5) END"""
+_short = ", ".join(f"('{a}', '{b}')" for a, b in geocoding.ABBREVIATIONS.items())
+
+
+def _words_sql(text: str, kind: str) -> str:
+    """CTEs: the distinct words of each text of a kind, abbreviations written out."""
+    return f"""{kind}_parts AS (SELECT text, unnest(string_split(trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')) AS w
+      FROM (SELECT DISTINCT {text})),
+    {kind}_words AS (SELECT DISTINCT text, coalesce(long, w) AS word FROM {kind}_parts LEFT JOIN short ON w = abbr WHERE w <> '')"""
+
+
+@query(
+    "geocode_text",
+    f"""WITH {cte('gazetteer')}, short(abbr, long) AS (VALUES {_short}),
+    asked AS (SELECT o_orderkey, {_asked} AS address FROM (SELECT *, CAST(floor(o_custkey / 2) AS BIGINT) AS k FROM orders)),
+    {_words_sql('address AS text FROM asked', 'a')}, {_words_sql('address AS text FROM gazetteer', 'g')},
+    n AS (SELECT count(DISTINCT address)::DOUBLE AS n FROM gazetteer),
+    df AS (SELECT word, count(*) AS df FROM g_words GROUP BY word),
+    weighed AS (SELECT text, a.word, CAST(round(1000e0 * ln(1e0 + n / coalesce(df, 1))) AS BIGINT) AS weight
+      FROM n, a_words a LEFT JOIN df USING (word)),
+    totals AS (SELECT text, sum(weight)::BIGINT AS total FROM weighed GROUP BY text),
+    shared AS (SELECT w.text, g.text AS found, sum(weight)::BIGINT AS shared
+      FROM weighed w JOIN g_words g USING (word) GROUP BY ALL),
+    best AS (SELECT address AS found, rank, lat, lon FROM gazetteer
+      QUALIFY row_number() OVER (PARTITION BY address ORDER BY rank, lat, lon) = 1),
+    chosen AS (SELECT text, found, shared / total AS coverage, lat, lon FROM shared JOIN totals USING (text) JOIN best USING (found)
+      WHERE shared * 100 >= total * 60
+      QUALIFY row_number() OVER (PARTITION BY text ORDER BY shared DESC, rank, found) = 1)
+    SELECT o_orderkey, address, found, coverage, lat, lon FROM asked JOIN chosen ON address = text""",
+)
+def geocode_text(spark, sf):
+    """Free address texts: other order of words, abbreviations, further or missing words, ties."""
+    orders = load(spark, sf, "orders").withColumn("k", F.floor(F.col("o_custkey") / 2).cast("long"))
+    asked = orders.select("o_orderkey", F.expr(_asked).alias("address"))
+    found = geocoding.geocode_text(asked, standin(spark, sf, "gazetteer"))
+    return found.select("o_orderkey", "address", "found", "coverage", "lat", "lon")
+
+
 @query(
     "rejects",
     f"""WITH {cte('address_lines', 'gazetteer')}, {_addresses_sql}

@@ -101,6 +101,25 @@ def ml_stump_evaluate(spark, sf):
     return model.evaluate(fitted.transform(table)).withColumn("rmse", F.round("rmse", 9))
 
 
+_fold = "('0x' || substr(md5(concat_ws('|', " + ", ".join(f'"{c}"' for c in CONDITIONS) + ")), 1, 8))::BIGINT % 5"
+
+
+@query(
+    "ml_holdout",
+    f"""WITH {cte('accidents', 'roads')}, {JOINED_SQL},
+    labelled AS (SELECT *, {_stump_label} AS label, {_fold} AS fold FROM counts),
+    means AS (SELECT f.fold, "{STUMP_FLAG}" AS flag, avg(label) AS mean
+      FROM labelled l JOIN (SELECT DISTINCT fold FROM labelled) f ON l.fold <> f.fold GROUP BY ALL)
+    SELECT l.fold, count(*) AS n, round(min(mean), 9) AS min_pred, round(max(mean), 9) AS max_pred,
+      round(sqrt(avg((label - mean) * (label - mean))), 9) AS rmse
+    FROM labelled l JOIN means m ON m.fold = l.fold AND m.flag = l."{STUMP_FLAG}" GROUP BY l.fold""",
+)
+def ml_holdout(spark, sf):
+    """Errors of five one-split models, each on the fold that it has not seen."""
+    found = model.holdout(stump(spark, sf)[0], 5, trees=1, depth=1, bootstrap=False)
+    return found.select("fold", "n", *[F.round(c, 9).alias(c) for c in ("min_pred", "max_pred", "rmse")])
+
+
 _importances = ", ".join(f"({i}, '{f}', {float(f == STUMP_FLAG)}e0)" for i, f in enumerate(FEATURES))
 
 
@@ -132,6 +151,102 @@ def ml_stump_report(spark, sf):
     return spark.read.parquet(path).withColumn("value", F.round("value", 9))
 
 
+# A tree of three levels on a label that three flags decide up to noise. The twin searches the best
+# split of every node over all features and values by itself, level by level.
+_depth3_label = """(0.0625e0 + 0.5e0 * "Crossing" + 0.25e0 * "Junction" + 0.125e0 * "Stop" + 0.015625e0 * ("count" % 2))"""
+_feature_values = ", ".join(
+    f"""({i}, "{f.removesuffix('_indexed')}"::VARCHAR, NULL)""" if f.endswith("_indexed") else f"""({i}, "{f}"::VARCHAR, "{f}"::DOUBLE)"""
+    for i, f in enumerate(FEATURES)
+)
+
+
+def _level_sql(level: int) -> str:
+    """CTEs: the best split of each node of a level, and the rows' nodes on the next.
+
+    Values of a feature are in order, categories by the mean label of their rows; a split
+    sends the first ones left. Of the largest fall in squared error the first feature and
+    the first split count.
+    """
+    return f"""vals{level} AS (SELECT node, f, v, any_value(x) AS x, count(*)::DOUBLE AS n, sum(label) AS s
+      FROM nodes{level} JOIN feats USING (id) GROUP BY node, f, v),
+    runs{level} AS (SELECT *, row_number() OVER w AS r, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
+        sum(n) OVER (PARTITION BY node, f) AS alln, sum(s) OVER (PARTITION BY node, f) AS alls
+      FROM vals{level} WINDOW w AS (PARTITION BY node, f ORDER BY coalesce(x, s / n), v ROWS UNBOUNDED PRECEDING)),
+    best{level} AS (SELECT node, f, r, ls * ls / ln + (alls - ls) * (alls - ls) / (alln - ln) - alls * alls / alln AS gain
+      FROM runs{level} WHERE ln < alln
+      QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, r) = 1),
+    nodes{level + 1} AS (SELECT id, node * 2 + (runs.r > best.r)::INT AS node
+      FROM nodes{level} JOIN best{level} best USING (node) JOIN feats USING (id, f)
+      JOIN runs{level} runs USING (node, f, v))"""
+
+
+DEPTH3_SQL = f"""{JOINED_SQL},
+    labelled AS (SELECT *, {_depth3_label} AS label, row_number() OVER () AS id FROM counts),
+    feats AS (SELECT id, label, f, v, x FROM labelled, LATERAL (VALUES {_feature_values}) t(f, v, x)),
+    nodes0 AS (SELECT id, 1 AS node FROM labelled),
+    {", ".join(_level_sql(level) for level in range(3))},
+    leaves AS (SELECT node, avg(label) AS mean FROM nodes3 JOIN labelled USING (id) GROUP BY node),
+    gains AS (SELECT f, sum(gain) AS gain FROM (FROM best0 UNION ALL FROM best1 UNION ALL FROM best2) GROUP BY f)"""
+_depth3: dict = {}
+
+
+def depth3(spark, sf):
+    """The labelled table and the unsampled tree of three levels, once per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _depth3:
+        parts = ((0.5, "Crossing"), (0.25, "Junction"), (0.125, "Stop"))
+        label = F.lit(0.0625) + 0.015625 * (F.col("count") % 2)
+        for weight, flag in parts:
+            label = label + weight * F.col(flag)
+        table = materialize(condition_counts(spark, sf).withColumn(LABEL, label))
+        _depth3[key] = (table, model.train(table, trees=1, depth=3, bootstrap=False))
+    return _depth3[key]
+
+
+@query(
+    "ml_depth3_score",
+    f"""WITH {cte('accidents', 'roads')}, {DEPTH3_SQL}
+    SELECT {', '.join(f'"{c}"' for c in CONDITIONS)}, round(mean, 9) AS prediction
+    FROM labelled JOIN nodes3 USING (id) JOIN leaves USING (node)""",
+)
+def ml_depth3_score(spark, sf):
+    """Train a tree of three levels and score the training table."""
+    table, fitted = depth3(spark, sf)
+    scored = fitted.transform(table)
+    return scored.select(*[F.col(f"`{c}`") for c in CONDITIONS], F.round("prediction", 9).alias("prediction"))
+
+
+_all_features = ", ".join(f"({i}, '{f}')" for i, f in enumerate(FEATURES))
+_weights_sql = f"""weights AS (SELECT i::INTEGER AS position, feature,
+      round(coalesce(gain, 0e0) / (SELECT sum(gain) FROM gains), 9) AS importance
+    FROM (VALUES {_all_features}) v(i, feature) LEFT JOIN gains ON f = i)"""
+
+
+@query("ml_depth3_importance", f"WITH {cte('accidents', 'roads')}, {DEPTH3_SQL}, {_weights_sql} SELECT * FROM weights")
+def ml_depth3_importance(spark, sf):
+    """Shares of the fall in squared error, by feature."""
+    found = model.importances(depth3(spark, sf)[1], spark)
+    return found.withColumn("importance", F.round("importance", 9))
+
+
+@query(
+    "ml_depth3_report",
+    f"""WITH {cte('accidents', 'roads')}, {DEPTH3_SQL}, {_weights_sql},
+    figures AS (SELECT min(mean) AS low, max(mean) AS high, sqrt(avg((label - mean) * (label - mean))) AS rmse
+      FROM labelled JOIN nodes3 USING (id) JOIN leaves USING (node))
+    SELECT 'v3' AS version, 0::INTEGER AS position, 'min_pred' AS metric, round(low, 9) AS value FROM figures
+    UNION ALL SELECT 'v3', 1, 'max_pred', round(high, 9) FROM figures
+    UNION ALL SELECT 'v3', 2, 'rmse', round(rmse, 9) FROM figures
+    UNION ALL SELECT 'v3', position + 3, 'importance ' || feature, importance FROM weights""",
+)
+def ml_depth3_report(spark, sf):
+    """The report of the tree of three levels, appended to a table and read back."""
+    table, fitted = depth3(spark, sf)
+    path = scratch_path(spark, "report")
+    model.append_report(model.report(fitted, fitted.transform(table), "v3"), path)
+    return spark.read.parquet(path).withColumn("value", F.round("value", 9))
+
+
 @query("ml_train")
 def ml_train(spark, sf):
     """Fit on the labelled table; predictions per condition."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixed import FLAGS, MAP_BOUNDS
-from ..functions import conditions, strings, times, units
+from ..functions import conditions, geo, strings, times, units
 from ..functions.nested import location
 from ..operators import cleaning, relational, report
 from ..operators.roads import name_road_key
+from ..session import scratch_path
 from ..sources.streams import as_messages
 from ..streaming import points as point_steps
 from ..streaming import scoring
@@ -402,6 +403,43 @@ def dash_bbox(spark, sf):
     )
 
 
+_clustered = ("event_id", "lat", "lon", "danger_index")
+
+
+def _by_cell(spark, sf, lon=F.col("lon")):
+    """The scored points in files of neighbouring cells; ``wide`` is the longitude that counts."""
+    path = scratch_path(spark, "cells")
+    rows = standin(spark, sf, "scored").withColumn("wide", lon)
+    rows = rows.withColumn("cell", geo.z_cell(F.col("lat"), F.col("wide")))
+    rows.repartitionByRange(8, "cell").sortWithinPartitions("cell").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "dash_bbox_pruned",
+    f"""WITH {cte('scored')}
+    SELECT event_id, lat, lon, danger_index FROM scored
+    WHERE lat BETWEEN 37.45e0 AND 37.5e0 AND lon BETWEEN 15e0 AND 15.1e0""",
+)
+def dash_bbox_pruned(spark, sf):
+    """Points of a small rectangle; parts of files with other cells alone are not read."""
+    bounds = {"min_lat": 37.45, "max_lat": 37.5, "min_lon": 15.0, "max_lon": 15.1}
+    return report.in_bounds(_by_cell(spark, sf), **bounds).select(*_clustered)
+
+
+@query(
+    "dash_bbox_wrapped",
+    f"""WITH {cte('scored')}
+    SELECT event_id, lat, lon * 8 AS lon, danger_index FROM scored
+    WHERE lat BETWEEN 37.4e0 AND 37.6e0 AND (lon * 12 - 180 >= 1e0 OR lon * 12 - 180 <= 0e0)""",
+)
+def dash_bbox_wrapped(spark, sf):
+    """Points of a rectangle across 180 degrees: all but one degree of longitude."""
+    rows = _by_cell(spark, sf, F.col("lon") * 12 - 180)
+    found = report.in_bounds(rows, lon="wide", min_lat=37.4, max_lat=37.6, min_lon=1.0, max_lon=0.0)
+    return found.select("event_id", "lat", (F.col("lon") * 8).alias("lon"), "danger_index")
+
+
 # ---------------------------------------------------------------- json
 
 

@@ -81,6 +81,85 @@ def segment_distance_m(
     return line_distance_m(lat, lon, segment_line(lat1, lon1, lat2, lon2))
 
 
+ORDER_BITS = 16  # of latitude and of longitude in a Z-order cell
+
+
+def _half_of_width(lat: float) -> int:
+    return min((1 << ORDER_BITS) - 1, max(0, math.floor((lat + 90) * (1 << ORDER_BITS) / 180)))
+
+
+def _part_of_turn(lon: float) -> int:
+    return min((1 << ORDER_BITS) - 1, max(0, math.floor((lon + 180) * (1 << ORDER_BITS) / 360)))
+
+
+def _spread_bits(value: Column) -> Column:
+    """A 16-bit number with a zero after each bit."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask))
+    return value
+
+
+def z_cell(lat: Column, lon: Column) -> Column:
+    """The Z-order number of a place: the bits of its latitude and longitude one after another.
+
+    Places that are near each other mostly have near numbers, so tables sorted by it keep
+    neighbours together. Null where a coordinate is.
+    """
+    size = 1 << ORDER_BITS
+
+    def part(degrees: Column, whole: int) -> Column:
+        return F.least(F.lit(size - 1), F.greatest(F.lit(0), F.floor((degrees + whole / 2) * size / whole))).cast("long")
+
+    y, x = part(lat, 180), part(lon, 360)
+    cell = _spread_bits(x).bitwiseOR(F.shiftleft(_spread_bits(y), 1))
+    return F.when(lat.isNotNull() & lon.isNotNull(), cell)
+
+
+def z_ranges(
+    min_lat: float, min_lon: float, max_lat: float, max_lon: float, most: int = 32
+) -> list[tuple[int, int]]:
+    """At most ``most`` ranges of Z-order cells that hold all places of a rectangle.
+
+    With ``min_lon`` above ``max_lon`` the rectangle crosses 180 degrees. Squares that the
+    border crosses are cut into four, large ones first, while there are few enough.
+    """
+    if min_lat > max_lat:
+        return []
+    if min_lon > max_lon:
+        west = z_ranges(min_lat, min_lon, max_lat, 180.0, max(1, most // 2))
+        east = z_ranges(min_lat, -180.0, max_lat, max_lon, max(1, most // 2))
+        return _joined(west + east)
+    low_x, high_x = _part_of_turn(min_lon), _part_of_turn(max_lon)
+    low_y, high_y = _half_of_width(min_lat), _half_of_width(max_lat)
+    todo, done = [(0, 0, ORDER_BITS)], []  # squares: corner and size in bits
+    while todo and len(todo) + len(done) + 3 <= most:
+        x, y, bits = todo.pop(0)
+        end = (1 << bits) - 1
+        if low_x <= x and x + end <= high_x and low_y <= y and y + end <= high_y:
+            done.append((x, y, bits))
+            continue
+        half = 1 << (bits - 1)
+        for dy in (0, half):
+            for dx in (0, half):
+                u, v = x + dx, y + dy
+                if u <= high_x and u + half > low_x and v <= high_y and v + half > low_y:
+                    todo.append((u, v, bits - 1))
+    spread = lambda v: sum((v >> i & 1) << 2 * i for i in range(ORDER_BITS))
+    starts = [(spread(x) | spread(y) << 1, bits) for x, y, bits in todo + done]
+    return _joined([(start, start + (1 << 2 * bits) - 1) for start, bits in starts])
+
+
+def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted ranges, with neighbours as one."""
+    found: list[tuple[int, int]] = []
+    for low, high in sorted(ranges):
+        if found and low <= found[-1][1] + 1:
+            found[-1] = (found[-1][0], max(high, found[-1][1]))
+        else:
+            found.append((low, high))
+    return found
+
+
 def row_height(cell_m: float) -> float:
     """Height of a level-0 row in degrees."""
     return math.degrees(cell_m / EARTH_RADIUS_M) * _MARGIN

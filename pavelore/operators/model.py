@@ -8,8 +8,9 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed import CATEGORIES, FEATURES, FOREST_DEPTH, FOREST_TREES, LABEL
+from ..fixed import CATEGORIES, CONDITIONS, FEATURES, FOREST_DEPTH, FOREST_TREES, LABEL
 from ..functions.times import version_stamp
+from ..session import materialize
 
 VECTOR = "predictors"
 DEFAULT_BINS = 32
@@ -88,6 +89,36 @@ def evaluate(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     return predictions.agg(*prediction_range(), rmse(label).alias("rmse"))
 
 
+def row_fold(columns: list[str], folds: int) -> Column:
+    """Number of the fold of a row: it follows from the values alone."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % folds
+
+
+def holdout(df: DataFrame, folds: int = 5, label: str = LABEL, by: list[str] = CONDITIONS, **settings) -> DataFrame:
+    """One row per fold: fold, n, min_pred, max_pred, rmse of a model that has not seen the fold.
+
+    Each fold's model is fitted on all others; all predictions go into one aggregate. A row
+    of a category that only its own fold has is scored with ``keep_invalid``.
+    """
+    table = materialize(df.withColumn("fold", row_fold(by, folds)))
+    found = None
+    for fold in range(folds):
+        fitted = train(table.filter(F.col("fold") != fold).drop("fold"), label, **settings)
+        scored = keep_invalid(fitted).transform(table.filter(F.col("fold") == fold))
+        scored = scored.select("fold", label, "prediction")
+        found = scored if found is None else found.unionByName(scored)
+    return found.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), *prediction_range(), rmse(label).alias("rmse"))
+
+
+def holdout_report(rows: DataFrame, version: str) -> DataFrame:
+    """Hold-out errors as rows of a model report, after those of :func:`report`."""
+    return rows.select(
+        F.lit(version).alias("version"), (F.lit(100) + F.col("fold")).cast("int").alias("position"),
+        F.concat(F.lit("holdout rmse "), F.col("fold")).alias("metric"), F.col("rmse").alias("value"),
+    )
+
+
 def importances(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """One row per feature in feature order: position, feature, importance."""
     values = model.stages[-1].featureImportances.toArray()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import MAP_BOUNDS, RECENT_MINUTES, TOP_ROADS
+from ..functions.geo import z_ranges
 
 
 def recent(
@@ -31,10 +32,19 @@ def in_bounds(
     max_lat: float = MAP_BOUNDS["max_lat"],
     max_lon: float = MAP_BOUNDS["max_lon"],
 ) -> DataFrame:
-    """Rows inside a map rectangle."""
-    return df.filter(
-        F.col(lat).between(min_lat, max_lat) & F.col(lon).between(min_lon, max_lon)
-    )
+    """Rows inside a map rectangle; with ``min_lon`` above ``max_lon`` it crosses 180 degrees.
+
+    Where the rows have a ``cell`` (:func:`pavelore.functions.geo.z_cell`), its ranges reach the
+    scan, so files and parts of files that hold other cells alone are not read.
+    """
+    if "cell" in df.columns:
+        ranges = z_ranges(min_lat, min_lon, max_lat, max_lon)
+        inside = F.lit(False)
+        for low, high in ranges:
+            inside = inside | F.col("cell").between(low, high)
+        df = df.filter(inside)
+    east, west = F.col(lon) <= max_lon, F.col(lon) >= min_lon
+    return df.filter(F.col(lat).between(min_lat, max_lat) & (east & west if min_lon <= max_lon else east | west))
 
 
 def _partials(df: DataFrame, name: str, value: str) -> DataFrame:

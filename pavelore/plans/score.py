@@ -22,8 +22,8 @@ from ..streaming import scoring
 
 ON_INVALID = ("error", "keep", "reject")
 EVENT_DATE = T.StructField("event_date", T.DateType())
-#: The scored table: the contract's columns, and the partitions that the job writes.
-SCORED_TABLE = T.StructType([*SCORED.fields, EVENT_DATE, T.StructField(BATCH, T.StringType())])
+#: The scored table: the contract's columns, the map cell, and the partitions that the job writes.
+SCORED_TABLE = T.StructType([*SCORED.fields, T.StructField("cell", T.LongType()), EVENT_DATE, T.StructField(BATCH, T.StringType())])
 PARTITIONS = ["event_date", BATCH]
 
 
@@ -85,7 +85,8 @@ def start(
         parsed = scoring.parse(rows).persist()
         try:
             points = scoring.readable(parsed)
-            scored = scoring.with_event_date(scored_points(points, model, on_invalid))
+            scored = scoring.with_cell(scoring.with_event_date(scored_points(points, model, on_invalid)))
+            scored = scoring.by_cell(scored)
             if table is None:
                 write_batch(scored, f"{out}/scored", batch, partition_by=["event_date"])
             else:

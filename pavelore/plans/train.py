@@ -25,10 +25,12 @@ def training_table(
 
 
 def train_and_save(
-    table: DataFrame, folder: str, version: str | None = None, **settings
+    table: DataFrame, folder: str, version: str | None = None, folds: int = 0, **settings
 ) -> tuple[PipelineModel, str]:
     """Fit on the labelled table, save model, report and table; returns model and version.
 
+    With ``folds`` the report also has the error on each fold of a model that has not seen it.
+
     The table is saved beside the model, so that a refit needs no accidents.
     """
     table = table.persist()
@@ -36,6 +38,8 @@ def train_and_save(
         fitted = model.train(table, **settings)
         version = model.save_model(fitted, folder, version)
         rows = model.report(fitted, fitted.transform(table), version)
+        if folds:
+            rows = rows.unionByName(model.holdout_report(model.holdout(table, folds, **settings), version))
         model.append_report(rows, f"{folder}/{version}/report")
         table.write.mode("overwrite").parquet(f"{folder}/{version}/training")
     finally:
@@ -62,9 +66,10 @@ def main() -> None:
     for name in ("accidents", "roads", "out"):
         options.add_argument(f"--{name}", required=True)
     options.add_argument("--rows", type=int, default=MAX_TRAINING_CONDITIONS)
+    options.add_argument("--folds", type=int, default=0, help="also report errors on so many folds")
     args = options.parse_args()
     spark = SparkSession.builder.appName("pavelore-train").getOrCreate()
-    _, version, lam = train_from_files(spark, args.accidents, args.roads, args.out, args.rows)
+    _, version, lam = train_from_files(spark, args.accidents, args.roads, args.out, args.rows, folds=args.folds)
     print(f"exponent {lam}, model version {version}")
 
 

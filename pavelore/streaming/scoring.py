@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.conditions import day_night, icon_class
+from ..functions.geo import z_cell
 from ..functions.nested import location, relaxed, whole_number
 from ..functions.strings import decode_value
 from ..functions.times import parse_iso_or_epoch
@@ -126,3 +127,13 @@ def score_points(points: DataFrame, model: PipelineModel, mode: str = "truncate"
 def with_event_date(scored: DataFrame) -> DataFrame:
     """Add the partition column of the scored table, so time filters skip old files."""
     return scored.withColumn("event_date", F.to_date("weather_timestamp_iso8601"))
+
+
+def with_cell(scored: DataFrame) -> DataFrame:
+    """Add the Z-order cell of the location, by which map rectangles skip files."""
+    return scored.withColumn("cell", z_cell(F.col("location.lat"), F.col("location.lon")))
+
+
+def by_cell(scored: DataFrame) -> DataFrame:
+    """The same rows, with neighbouring cells of a day in one task and in order."""
+    return scored.repartitionByRange("event_date", "cell").sortWithinPartitions("event_date", "cell")

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pavelore.fixed import CONDITIONS, EARTH_RADIUS_M, FLAGS, MAP_BOUNDS
+from pavelore.functions import geo
 from pavelore.operators import (
-    cleaning, labels, matching, nearby, nearest, ranking, relational, report, roads, scenario, skew,
+    cleaning, geocoding, labels, matching, nearby, nearest, ranking, relational, report, roads, scenario, skew,
 )
 from pavelore.schemas import NODES, POIS, ROAD_EVENT, WAYS
 from pavelore.session import materialize, scratch_path
@@ -673,3 +674,57 @@ def test_names_by_cell_equal_all_pairs(spark, together):
     pairs = a.join(b, "cell").select("street", "name")
     want = {(r.street, r.name): r.score for r in matching.score_names(pairs).collect()}
     assert got == want and len(want) > 40
+
+
+def test_geocode_text_rules(spark):
+    gazetteer = spark.createDataFrame(
+        [("Main Street 5, Springfield", 2, 1.0, 1.0), ("Main Street 5, Springfield", 1, 2.0, 2.0), ("Main Street 7, Shelbyville", 1, 3.0, 3.0),
+         ("North Oak Avenue 5, Springfield", 1, 4.0, 4.0), ("Élan Straße 9", 1, 5.0, 5.0), (None, 1, 6.0, 6.0), ("", 1, 7.0, 7.0),
+         ("Twin Road 1, A", 3, 8.0, 8.0), ("Twin Road 1, B", 2, 9.0, 9.0), ("Twin Road 1, C", 2, 10.0, 10.0)],
+        "address string, rank int, lat double, lon double")
+    asked = [("springfield, MAIN st. 5", 2.0), ("5 Oak ave N, Springfield", 4.0), ("élan straße 9!", 5.0), ("Twin Rd 1", 9.0),
+             ("Shelbyville main street", 3.0), ("somewhere else entirely", None), (None, None), ("", None), ("...", None),
+             ("Main Street 5, Springfield, third floor left at the back door of it", None)]
+    rows = spark.createDataFrame([(a, "x") for a, _ in asked], "address string, more string")
+    got = {r.address: r.lat for r in geocoding.geocode_text(rows, gazetteer).collect()}
+    assert got == {a: lat for a, lat in asked if lat is not None}
+    assert geocoding.geocode_text(rows, gazetteer.limit(0)).count() == 0
+    loose = geocoding.geocode_text(rows, gazetteer, min_coverage=20).filter("address LIKE '%third floor%'").first()
+    assert loose["found"].startswith("Main Street 5") and 0.2 <= loose["coverage"] < 0.6
+
+
+def test_z_ranges_hold_the_rectangle(spark):
+    rng = random.Random(5)
+    for _ in range(40):
+        south, north = sorted(rng.uniform(-90, 90) for _ in range(2))
+        west, east = rng.uniform(-180, 180), rng.uniform(-180, 180)
+        ranges = geo.z_ranges(south, west, north, east)
+        assert 0 < len(ranges) <= 32 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+        inside = lambda lon: west <= lon <= east if west <= east else lon >= west or lon <= east
+        points = [(rng.uniform(south, north), lon) for lon in (rng.uniform(-180, 180) for _ in range(200)) if inside(lon)]
+        points += [(south, west), (north, east), (south, east)]
+        cells = spark.createDataFrame(points, "lat double, lon double").select(geo.z_cell(F.col("lat"), F.col("lon")).alias("c"))
+        assert all(any(low <= r.c <= high for low, high in ranges) for r in cells.collect())
+        if (north - south) * ((east - west) % 360) < 2000 and north - south > 1:
+            assert sum(high - low + 1 for low, high in ranges) < 2**32 / 4
+    assert geo.z_ranges(1.0, 0.0, -1.0, 1.0) == []
+
+
+def test_a_map_rectangle_reads_few_rows(spark, tmp_path):
+    """Files in Z-order: a rectangle of a hundredth of the area reads a small part of the rows."""
+    points = spark.range(40_000).select((30 + F.rand(1) * 10).alias("lat"), (10 + F.rand(2) * 10).alias("lon"), "id")
+    points = points.withColumn("cell", geo.z_cell(F.col("lat"), F.col("lon")))
+    points.repartitionByRange(50, "cell").sortWithinPartitions("cell").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    found = report.in_bounds(table, min_lat=33.0, max_lat=34.0, min_lon=14.0, max_lon=15.0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = found._jdf.queryExecution().executedPlan()
+        rows = plan.executeCollect()
+        metrics = plan.collectLeaves().head().metrics()
+        read = metrics.get("numOutputRows").get().value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    want = table.drop("cell").filter("lat BETWEEN 33 AND 34 AND lon BETWEEN 14 AND 15").count()
+    assert len(rows) == want > 300
+    assert read < 4000
