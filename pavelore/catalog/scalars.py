@@ -406,10 +406,10 @@ def dash_bbox(spark, sf):
 _clustered = ("event_id", "lat", "lon", "danger_index")
 
 
-def _by_cell(spark, sf, lon=F.col("lon")):
+def _by_cell(spark, sf, lon="lon"):
     """The scored points in files of neighbouring cells; ``wide`` is the longitude that counts."""
     path = scratch_path(spark, "cells")
-    rows = standin(spark, sf, "scored").withColumn("wide", lon)
+    rows = standin(spark, sf, "scored").withColumn("wide", F.expr(lon))
     rows = rows.withColumn("cell", geo.z_cell(F.col("lat"), F.col("wide")))
     rows.repartitionByRange(8, "cell").sortWithinPartitions("cell").write.parquet(path)
     return spark.read.parquet(path)
@@ -435,7 +435,7 @@ def dash_bbox_pruned(spark, sf):
 )
 def dash_bbox_wrapped(spark, sf):
     """Points of a rectangle across 180 degrees: all but one degree of longitude."""
-    rows = _by_cell(spark, sf, F.col("lon") * 12 - 180)
+    rows = _by_cell(spark, sf, "lon * 12 - 180")
     found = report.in_bounds(rows, lon="wide", min_lat=37.4, max_lat=37.6, min_lon=1.0, max_lon=0.0)
     return found.select("event_id", "lat", (F.col("lon") * 8).alias("lon"), "danger_index")
 
