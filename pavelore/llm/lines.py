@@ -25,9 +25,10 @@ BROADCAST_LINES = 2_000_000  # up to so many counted line numbers of 8 bytes are
 BLOCK = 1024  # bucket rows compared with as many at a time
 MOST_TOGETHER = 20_000  # larger buckets are dealt out in blocks
 PARTNERS = 2  # candidate pairs for each line of a bucket, beyond which lines are compared in rounds
-ROUNDS = (1, 16, None)  # earlier lines that a line is compared with in each round; the last round has the rest
+SHORT = 2_000  # characters of lines whose texts go to the tasks that compare full buckets
+ROUNDS = (1, 16, None)  # earlier lines that a longer line is compared with in each round; the last has the rest
 CACHED_LINES = 500_000
-CHARS_TOGETHER = 400_000  # characters of lines whose keys are made at a time
+CHARS_TOGETHER = 200_000  # characters of lines whose keys are made at a time
 INDEXED = 1 << 63  # mark of a row that stands for a segment, not for a looked-up substring
 COUNTS = (1 << 32) - 1  # bits of a mark that hold counts; those between hold the number of words
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses
@@ -152,8 +153,8 @@ def _char_keys(b: Block, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, b
     line, low, size, kind = map(np.concatenate, long) if long[0] else [np.zeros(0, np.int64)] * 4
     if not len(line):
         return
-    first = np.arange(len(b.codes) - RUN_CHARS + 1)
-    runs = np.append(_mixed(b.hashed(first, first + RUN_CHARS)), np.uint64(2**64 - 1))
+    n = len(b.codes) - RUN_CHARS + 1
+    runs = np.append((b.upto[RUN_CHARS:] - b.upto[:n]) * b.inverse[:n], np.uint64(2**64 - 1))
     order = np.argsort(kind & 1, kind="stable")  # segments first
     line, low, size, kind = line[order], low[order], size[order], kind[order]
     ends = np.stack([low, low + size - RUN_CHARS + 1], axis=1).ravel()
@@ -186,7 +187,6 @@ def _word_keys(b: Block) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     own = b.words // WORDS_PER_EDIT
     if not own.any():
         return
-    at = np.arange(len(b.word)) - b.word_start[b.word_line]  # place within the line
     runs = np.zeros(len(b.word), dtype=np.uint64)
     for k in range(RUN):
         runs[: len(runs) - k] += b.word[k:] * np.uint64(pow(_BASE, k, 1 << 64))
@@ -200,19 +200,19 @@ def _word_keys(b: Block) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         some = edits[size_of == size]
         low, high = int(some[0]), int(some[-1]) if some[-1] < WORDS_PER_EDIT else most_edits
         top = np.minimum(own, high)  # the most edits of this size that a line meets
-        meets = (own > 0) & (top >= np.maximum(low, least))
-        inside = meets[b.word_line] & (at + size <= b.words[b.word_line])
-        place = np.flatnonzero(inside)
-        if not len(place):
+        lines = np.flatnonzero((own > 0) & (top >= np.maximum(low, least)))
+        if not len(lines):
             continue
+        places = b.words[lines] - size + 1
+        line = np.repeat(lines, places)
+        where = np.arange(len(line)) - np.repeat(np.cumsum(places) - places, places)  # place within the line
         # segment i may stand from i * size - i to i * size + i
-        where, line = at[place], b.word_line[place]
-        nearest = -(-where // (size + 1))
-        place = place[nearest <= np.minimum(where // (size - 1), top[line])]
+        open_ = -(-where // (size + 1)) <= np.minimum(where // (size - 1), top[line])
+        line, where = line[open_], where[open_]
+        place = b.word_start[line] + where
         best = runs[place].copy()
         for k in range(1, size - RUN + 1):
             np.minimum(best, runs[place + k], out=best)
-        where, line = at[place], b.word_line[place]
         segment = (where % size == 0) & (where // size <= own[line]) & (own[line] >= low) & (own[line] <= high)
         order = np.argsort(~segment, kind="stable")  # segments first
         line, best, segment = line[order], best[order], segment[order]
@@ -466,65 +466,110 @@ def dealt(rows: DataFrame, most: int) -> DataFrame:
     return joined.select("key", "line", "marks", "piece", F.least("piece", "with").alias("low"), F.greatest("piece", "with").alias("high"))
 
 
+def _groups(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[list]:
+    """The columns of each group of rows with equal first three columns; texts as lists."""
+    held = None
+    last = pa.RecordBatch.from_arrays([pa.nulls(0, f.type) for f in schema], schema=schema)
+    for batch, more in _then(batches, last):
+        table = pa.Table.from_batches([batch.cast(schema)] if held is None else [held, batch.cast(schema)])
+        held = table.combine_chunks().to_batches(max_chunksize=None)
+        held = held[0] if held else last
+        if not held.num_rows:
+            continue
+        key, low, high = (held.column(i).to_numpy() for i in range(3))
+        new = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        ends, start = np.flatnonzero(np.append(new, not more)) + 1, 0
+        for end in ends.tolist():
+            yield held.slice(start, end - start).columns
+            start = end
+        held = held.slice(start)
+
+
+_ROW = ["key", "low", "high", "line", "marks", "piece", "open", "x", "y", "text"]
+_ROW_SCHEMA = pa.schema([(c, pa.bool_() if c == "open" else pa.string() if c == "text" else pa.int64()) for c in _ROW])
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    """Rows of full buckets, group by group, in the order of their lines' places."""
+    ordered = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "p", "line")
+    columns = {"open": F.coalesce("open", F.lit(False)), "x": F.col("name.x"), "y": F.col("name.y"), "text": F.col("text")}
+    return ordered.select(*[columns.get(c, F.col(c).cast("long") if c not in columns else None).alias(c) for c in _ROW])
+
+
+def _earlier(columns: list, edits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each open row of a group and the rows before it that may be near, those with near counts first."""
+    low, high, line, marks, piece, open_ = (c.to_numpy(zero_copy_only=False) for c in columns[1:7])
+    line, marks = line.view(np.uint64), marks.view(np.uint64)
+    crossing = low[0] != high[0]
+    for j in np.flatnonzero(open_).tolist():
+        if not j:
+            continue
+        alike, apart = _may_be_near(marks[j : j + 1], marks[:j], edits)
+        alike &= line[:j] != line[j]
+        if crossing:
+            alike &= piece[:j] != piece[j]
+        at = np.flatnonzero(alike)
+        if len(at):
+            # ties by a mix of both lines, so that no line is every other one's first choice
+            yield j, at[np.lexsort((_mixed(line[at] ^ line[j]), apart[at]))]
+
+
+def later_in_groups(rows: DataFrame, edits: int) -> DataFrame:
+    """``line, name`` of open lines that are near an earlier one of a group; both have their texts.
+
+    A line is compared with earlier ones until one is near, in the task that holds the
+    group, so no row is made for a pair.
+    """
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("line", "x", "y")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gone: set[int] = set()  # lines that the task has found in another group
+        for columns in _groups(batches, _ROW_SCHEMA):
+            texts, lines, found = columns[9].to_pylist(), columns[3].to_pylist(), []
+            for j, at in _earlier(columns, edits):
+                if texts[j] is None or lines[j] in gone:
+                    continue
+                for i in at.tolist():
+                    if texts[i] is not None and near(texts[i], texts[j], edits):
+                        found.append(j)
+                        break
+            if found:
+                if len(gone) > CACHED_LINES:
+                    gone.clear()
+                gone.update(lines[j] for j in found)
+                place = pa.array(found)
+                yield pa.RecordBatch.from_arrays([columns[c].take(place) for c in (3, 7, 8)], names=schema.names)
+
+    found = _ordered(rows).mapInArrow(run, schema)
+    return found.select("line", F.struct("x", "y").alias("name")).distinct()
+
+
 def earlier_pairs(rows: DataFrame, edits: int, skip: int, limit: int | None) -> DataFrame:
-    """``a, b``: for each open line some earlier ones of its groups that may be near.
+    """``a, b``: for each open line some earlier ones of its groups that may be near, one of both without text.
 
-    Rows have their line's place ``p``, and ``open`` where the line is not known to go. Of the
-    earlier lines, nearest counts first, ``skip`` are left out and ``limit`` are given; ``b``
-    is null where there are more.
+    Of the earlier lines ``skip`` are left out and ``limit`` are given; ``b`` is null where there are more.
     """
-    names = ["key", "low", "high", "line", "marks", "piece", "open"]
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b")])
 
-    def group(line: np.ndarray, marks: np.ndarray, piece: np.ndarray, open_: np.ndarray, crossing: bool):
-        for j in np.flatnonzero(open_).tolist():
-            if not j:
-                continue
-            alike, apart = _may_be_near(marks[j : j + 1], marks[:j], edits)
-            alike &= line[:j] != line[j]
-            if crossing:
-                alike &= piece[:j] != piece[j]
-            at = np.flatnonzero(alike)
-            if len(at) <= skip:
-                continue
-            # ties by a mix of both lines, so that no line is every other one's first choice
-            at = at[np.lexsort((_mixed(line[at] ^ line[j]), apart[at]))]
-            chosen = at[skip:] if limit is None else at[skip : skip + limit]
-            yield line[j], line[chosen], limit is not None and len(at) > skip + limit
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        last = pa.RecordBatch.from_arrays(
-            [pa.array([], pa.int64())] * 6 + [pa.array([], pa.bool_())], names=names
-        )
-        for batch, more in _then(batches, last):
-            fresh = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            columns = fresh if held is None else [np.concatenate(p) for p in zip(held, fresh)]
-            key, low, high = columns[:3]
-            if not len(key):
-                continue
-            new = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-            ends = np.flatnonzero(np.append(new, not more)) + 1
-            a, b, start, size = [], [], 0, 0
-            for end in ends.tolist():
-                line, marks, piece, open_ = (c[start:end] for c in columns[3:])
-                found = group(line.view(np.uint64), marks.view(np.uint64), piece, open_.astype(bool), low[start] != high[start])
-                for own, others, rest in found:
-                    a.append(np.full(len(others) + rest, own).view(np.int64))
-                    b.append((np.append(others, own) if rest else others).view(np.int64))
-                    size += len(a[-1])
-                    if size >= 100_000:
-                        yield _pair_batch(a, b, schema)
-                        a, b, size = [], [], 0
-                start = end
+        for columns in _groups(batches, _ROW_SCHEMA):
+            line, bare = columns[3].to_numpy(), columns[9].is_null().to_numpy(zero_copy_only=False)
+            a, b, size = [], [], 0
+            for j, at in _earlier(columns, edits):
+                at = at if bare[j] else at[bare[at]]
+                chosen = at[skip:] if limit is None else at[skip : skip + limit]
+                if len(chosen):
+                    more = limit is not None and len(at) > skip + limit
+                    b.append(line[np.append(chosen, j) if more else chosen])
+                    a.append(np.full(len(b[-1]), line[j]))
+                    size += len(b[-1])
+                if size >= 100_000:
+                    yield _pair_batch(a, b, schema)
+                    a, b, size = [], [], 0
             if a:
                 yield _pair_batch(a, b, schema)
-            held = [c[start:] for c in columns]
 
-    groups = ["key", "low", "high"]
-    ordered = rows.repartition(*groups).sortWithinPartitions(*groups, "p", "line")
-    longs = [F.col(c).cast("long").alias(c) for c in names[:-1]]
-    return ordered.select(*longs, F.coalesce("open", F.lit(False)).alias("open")).mapInArrow(run, schema)
+    return _ordered(rows).mapInArrow(run, schema)
 
 
 def _pair_batch(a: list[np.ndarray], b: list[np.ndarray], schema: T.StructType) -> pa.RecordBatch:
@@ -556,10 +601,12 @@ def verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
 def later_lines(docs: DataFrame, first: DataFrame, edits: int, text_col: str) -> DataFrame:
     """``line, name`` of the lines that are ``near`` an earlier one; ``first`` has names and first places.
 
-    A line's name is a struct of two hashes. Buckets with few candidates give pairs; the lines
-    of all others are compared in rounds with few earlier lines, with more, and with all the
-    rest, as long as none is near. So many variants of a line make few pairs. The texts of
-    candidates are fetched by a second look at the documents, and every pair is verified.
+    A line's name is a struct of two hashes. Buckets with few candidates give pairs. The lines
+    of all others go with their texts to the tasks that compare them with earlier ones as
+    long as none is near; those without text, of more than ``SHORT`` characters, are paired in
+    rounds with few earlier lines, with more, and with all the rest. So many variants of a line
+    make few pairs. Texts are fetched by a second look at the documents, and every pair is
+    verified.
     """
     found = materialize(bucket_pairs(segment_rows(docs, edits, text_col), edits, MOST_TOGETHER))
     pairs = materialize(found.filter("b IS NOT NULL").select("a", "b").distinct())
@@ -575,19 +622,20 @@ def later_lines(docs: DataFrame, first: DataFrame, edits: int, text_col: str) ->
     gone = materialize(verified(pairs, lines, edits))
     if full.isEmpty():
         return gone
-    rows = dealt(full, MOST_TOGETHER).join(lines.select("line", "p"), "line")
-    rows = materialize(rows)
-    left = rows.select("line").distinct().join(gone.select("line"), "line", "left_anti").withColumn("open", F.lit(True))
-    skip = 0
-    for limit in ROUNDS:
-        left = materialize(left)
+    short = F.when(F.length("text") <= SHORT, F.col("text")).alias("text")
+    rows = dealt(full, MOST_TOGETHER).join(lines.select("line", "name", "p", short), "line")
+    left = lines.select("line").join(gone.select("line"), "line", "left_anti").withColumn("open", F.lit(True))
+    rows = materialize(rows.join(left.distinct(), "line", "left"))
+    gone = gone.unionByName(materialize(later_in_groups(rows, edits)))
+    rows, skip = rows.drop("open"), 0
+    for limit in ROUNDS if not rows.filter("text IS NULL").isEmpty() else ():
+        left = materialize(rows.select("line").distinct() if not skip else left)
+        left = left.join(gone.select("line").distinct(), "line", "left_anti").withColumn("open", F.lit(True))
+        asked = materialize(earlier_pairs(rows.join(left, "line", "left"), edits, skip, limit))
+        gone = gone.unionByName(materialize(verified(asked.filter("b IS NOT NULL").distinct(), lines, edits)))
+        left = asked.filter("b IS NULL").select(F.col("a").alias("line")).distinct()
         if left.isEmpty():
             break
-        asked = materialize(earlier_pairs(rows.join(left, "line", "left"), edits, skip, limit))
-        more = asked.filter("b IS NULL").select(F.col("a").alias("line")).distinct()
-        fresh = materialize(verified(asked.filter("b IS NOT NULL").distinct(), lines, edits))
-        gone = gone.unionByName(fresh)
-        left = more.join(fresh.select("line"), "line", "left_anti").withColumn("open", F.lit(True))
         skip += limit or 0
     return materialize(gone.distinct())
 
