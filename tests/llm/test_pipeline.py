@@ -77,3 +77,47 @@ def test_packing_stage(steps):
 
 def test_run_gives_the_stages_result(spark, steps):
     assert corpus_pipeline.run(spark, SF).count() == steps[5].count()
+
+
+def odd_documents(spark):
+    """Null, empty, letterless, very long, repeated and tied rows beside the table's own, and clashing columns."""
+    own = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    text = own[0][1]
+    rows = [(None, text + " and more of it", "en", "web", 1), (9001, None, "en", "web", None), (9002, "", None, None, 0),
+            (9003, "12 -- !!", "en", "web", 8), (9004, text * 300, None, None, 1), (9005, text, "en", "web", 1), (9005, text, "en", "web", 1),
+            (9006, "word " * 30_000, "en", None, 1), (9007, " \n\n ", "en", "web", 3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, removed int, size double, kept boolean"
+    return spark.createDataFrame([(*r, "s", i, 1.5, False) for i, r in enumerate(own[:60] + rows)], schema), len(rows) + 60
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark, tmp_path):
+    docs, n = odd_documents(spark)
+    first = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF)
+        path = str(tmp_path / name)
+        found.write.parquet(path)
+        if name == "packing":
+            assert spark.read.parquet(path).count() >= docs.count()
+            break
+        found = spark.read.schema(docs.schema).parquet(path)
+        assert found.columns == docs.columns
+        rows = found.collect()
+        assert 0 < len(rows) and all(r.score == "s" and r.size == 1.5 and r.kept is False for r in rows)
+        assert all(r.removed == first[r.doc_id].removed for r in rows if r.doc_id != 9005)
+        assert not {9001, 9002, 9003, 9007} & {r.doc_id for r in rows}
+        docs = found
+
+
+def test_stages_of_no_rows(spark):
+    docs, _ = odd_documents(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
+def test_stages_with_texts_that_are_null_or_empty_alone(spark):
+    docs, _ = odd_documents(spark)
+    bare = docs.filter("text IS NULL OR text = '' OR doc_id = 9003")
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, bare, SF).collect()
+        assert len(rows) <= 6, name
