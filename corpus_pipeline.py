@@ -2,6 +2,13 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that its predecessor kept.
 All but the last return the columns of ``documents``.
+
+Null, empty and letterless texts have no clear language and leave in the first stage; in a
+later one they are as the stage's operator defines them. Very long texts are handled whole.
+A null id is carried; rows that share an id are handled as one document by the line stage and stay
+or go together in the near-duplicate stage; repeated rows are mixed and packed each for itself.
+Ties go by hash or id, as the operators state. Further columns stay as they are, whatever
+their names. A table without rows gives none.
 """
 
 from __future__ import annotations
@@ -19,18 +26,29 @@ from pavelore.llm.queries import tokenizer_file
 from pavelore.session import scratch_path
 
 
+def _aside(docs: DataFrame, *names: str) -> DataFrame:
+    """The rows with columns renamed whose names an operator uses for its own."""
+    return docs.withColumnsRenamed({n: f"_own {n}" for n in names if n in docs.columns})
+
+
+def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with their names, in their order."""
+    aside = {f"_own {n}": n for n in docs.columns if f"_own {n}" in found.columns}
+    return found.drop(*aside.values()).withColumnsRenamed(aside).select(*docs.columns)
+
+
 def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; those without a letter or a clear language go."""
     content = dictionaries(docs)
-    found = identify(docs, content).filter("NOT rejected")
-    return found.select(*docs.columns)
+    found = identify(_aside(docs, "lang_pred", "score", "rejected"), content).filter("NOT rejected")
+    return _back(found, docs)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the lines that come first in them; one that keeps no line goes."""
-    found = deduplicate_lines(docs)
+    found = deduplicate_lines(_aside(docs, "n_lines", "removed"))
     left = found.filter((F.col("n_lines") == 0) | (F.size("removed") < F.col("n_lines")))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return _back(left.withColumn("n_chars", F.length("text").cast("long")), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
