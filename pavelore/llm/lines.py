@@ -24,7 +24,7 @@ LONG = 72  # characters from which it does
 BROADCAST_LINES = 2_000_000  # up to so many counted line numbers of 8 bytes are broadcast
 BLOCK = 1024  # bucket rows compared with as many at a time
 MOST_TOGETHER = 20_000  # larger buckets are dealt out in blocks
-PARTNERS = 2  # candidate pairs for each line of a bucket, beyond which lines are compared in rounds
+PARTNERS = 8  # candidate pairs for each line of a bucket, beyond which lines are compared in rounds
 SHORT = 2_000  # characters of lines whose texts go to the tasks that compare full buckets
 ROUNDS = (1, 16, None)  # earlier lines that a longer line is compared with in each round; the last has the rest
 CACHED_LINES = 500_000
@@ -526,11 +526,16 @@ def later_in_groups(rows: DataFrame, edits: int) -> DataFrame:
         gone: set[int] = set()  # lines that the task has found in another group
         for columns in _groups(batches, _ROW_SCHEMA):
             texts, lines, found = columns[9].to_pylist(), columns[3].to_pylist(), []
+            of_words = (columns[4][0].as_py() & (INDEXED - 1)) >> 32 > 0
+            if of_words:  # what is near by characters alone has keys of characters
+                texts = [None if t is None else t.split() for t in texts]
             for j, at in _earlier(columns, edits):
-                if texts[j] is None or lines[j] in gone:
+                y = texts[j]
+                if y is None or lines[j] in gone:
                     continue
                 for i in at.tolist():
-                    if texts[i] is not None and near(texts[i], texts[j], edits):
+                    x = texts[i]
+                    if x is not None and within(x, y, word_edits(min(len(x), len(y))) if of_words else edits):
                         found.append(j)
                         break
             if found:
