@@ -69,3 +69,12 @@ def test_signature_is_the_least_hash():
         a, b = int(fingerprint._A[row, 0]), int(fingerprint._B[row, 0])
         least = min((a * int(v) + b) % 2**64 for v in x)
         assert int(fingerprint.signature(x)[row]) == least >> 32
+
+
+def test_clashing_columns_are_not_looked_at(spark):
+    rows = corpus()[:40]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ["fingerprint", "edited_fingerprint", "_key", "_range", "guest", "place", "n_chars", "key"]
+    clashing = spark.createDataFrame([(*r, *["x"] * len(names)) for r in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    assert sorted(fingerprint.edited_pairs(clashing).collect()) == sorted(fingerprint.edited_pairs(plain).collect())
+    assert sorted(fingerprint.near_duplicates(clashing).collect()) == sorted(fingerprint.near_duplicates(plain).collect())

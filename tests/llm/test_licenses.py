@@ -59,3 +59,11 @@ def test_odd_rows_and_notices(spark):
 def test_band_settings(alike, missed):
     n = band_count(alike, missed)
     assert (1 - alike) ** n <= missed < (1 - alike) ** (n - 1)
+
+
+def test_clashing_columns_are_not_looked_at(spark):
+    rows = corpus()[:60]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ["template_id", "n_shared", "key", "shingles", "band", "containment"]
+    clashing = spark.createDataFrame([(*r, *["x"] * len(names)) for r in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    assert sorted(scan(clashing).collect()) == sorted(scan(plain).collect()) != []

@@ -129,3 +129,11 @@ def test_many_copies_that_just_miss_each_other(spark, monkeypatch, together):
     got = near_duplicates(docs, 2).collect()
     assert {r.doc_id: r.component_id for r in got} == want
     assert calls
+
+
+def test_clashing_columns_are_not_looked_at(spark):
+    rows = corpus()[:40]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ["n_shingles", "component_id", "kept", "key", "node", "bucket", "id", "shingles"]
+    clashing = spark.createDataFrame([(*r, *["x"] * len(names)) for r in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    assert sorted(near_duplicates(clashing).collect()) == sorted(near_duplicates(plain).collect())
