@@ -18,7 +18,7 @@ from .scalars import CLEANED_SQL
 def src_csv(spark, sf):
     """Accident CSV with a declared schema."""
     path = scratch_path(spark, "accidents")
-    files.write_csv(standin(spark, sf, "accidents"), path)
+    files.write_csv(standin(spark, sf, "accidents"), path, packed=True)
     return files.read_csv(spark, path, ACCIDENTS)
 
 
@@ -45,7 +45,7 @@ def wide(accidents):
 def src_csv_wide(spark, sf):
     """The declared columns of the public file's 46, picked by the names of the header."""
     path = scratch_path(spark, "wide")
-    files.write_csv(wide(standin(spark, sf, "accidents")), path)
+    files.write_csv(wide(standin(spark, sf, "accidents")), path, packed=True)
     return files.read_csv(spark, path, ACCIDENTS)
 
 
@@ -92,7 +92,7 @@ def src_csv_dir(spark, sf):
     """A folder of part files read as one table."""
     path = scratch_path(spark, "orders")
     orders = load(spark, sf, "orders")
-    files.write_csv(orders.repartition(4, "o_orderkey"), path)
+    files.write_csv(orders.repartition(4, "o_orderkey"), path, packed=True)
     return files.read_csv(spark, path, orders.schema)
 
 
@@ -161,7 +161,7 @@ _weather_columns = ["Temperature(C)", "Humidity(%)", "Weather_Condition", "Sunri
 def sink_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "counts")
     counts = count_conditions(clean_accidents(standin(spark, sf, "accidents")), _weather_columns)
-    files.write_csv(counts, path)
+    files.write_csv(counts, path, packed=True)
     return files.read_csv(spark, path, counts.schema)
 
 

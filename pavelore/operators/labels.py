@@ -13,9 +13,10 @@ from ..functions.units import boxcox
 from ..session import materialize
 from .ranking import HEAP_LIMIT, top_n
 from .roads import name_road_key
-from .skew import balanced_join, fits_broadcast
+from .skew import fits_broadcast
 
 GRID = 17  # exponents per round of the search
+PIECES = 8  # tasks that the accidents of a street are dealt to
 
 
 def count_conditions(df: DataFrame, columns: Sequence[str] = CONDITIONS) -> DataFrame:
@@ -35,8 +36,9 @@ def count_joined_conditions(
 
     Equal to ``count_conditions(join_roads(...))``. Roads shrink to counts per key and type
     first, so a road listed many times never multiplies rows. Small roads are broadcast
-    and the accidents shuffle once, for the count. Otherwise the accidents shrink to counts
-    per key and condition before the join, so a street with a third of them stays small.
+    and the accidents shuffle once, for the count. Otherwise the accidents are dealt by key
+    once, shrink to counts per key and condition where they lie, and meet the roads there.
+    Every street is dealt in ``PIECES``, as one may have a large share of them.
     """
     key = list(key)
     at_accident = [c for c in columns if c != "highway"]
@@ -49,13 +51,19 @@ def count_joined_conditions(
     if fits_broadcast(per_road):
         joined = accidents.join(F.broadcast(per_road), on=key).withColumn("_accidents", F.lit(1))
     else:
+        condition = [F.col(f"`{c}`") for c in at_accident]
+        # by the split that a row is read from: it stays with a task that runs again, and a hash of
+        # the columns would make the scan's code too long to be compiled
+        piece = (F.spark_partition_id() % PIECES).alias("_piece")
         per_place = (
             accidents.dropna(subset=key)
-            .groupBy(*[F.col(f"`{c}`") for c in [*key, *at_accident]])
+            .select(*key, *condition, piece)
+            .repartition(*key, "_piece")
+            .groupBy(*key, "_piece", *condition)
             .agg(F.count(F.lit(1)).alias("_accidents"))
         )
-        spread = [F.col(f"`{c}`") for c in at_accident]
-        joined = balanced_join(per_place, per_road, key, spread_by=spread)
+        pieces = F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1)))
+        joined = per_place.join(per_road.withColumn("_piece", pieces).hint("merge"), [*key, "_piece"])
     return joined.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(
         F.sum(F.col("_accidents") * F.col("_roads")).alias("count")
     )

@@ -12,6 +12,7 @@ from ..functions.strings import details_of, full_address, street_of
 
 
 _BROKEN = "_broken"
+PACKED_ROWS = 1_000_000  # rows of a packed part of a table
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -115,9 +116,16 @@ def read_scored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, overwritten. Every task writes its own part of the folder."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, packed: bool = False) -> None:
+    """CSV with a header, overwritten. Every task writes its own part of the folder.
+
+    ``packed`` parts are gzip files, which the readers here unpack by their name. One of them is
+    read by one task, so a part ends after ``PACKED_ROWS`` rows.
+    """
+    writer = df.write.mode("overwrite").option("header", True)
+    if packed:
+        writer = writer.options(compression="gzip", maxRecordsPerFile=PACKED_ROWS)
+    writer.csv(path)
 
 
 def check_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
