@@ -1,6 +1,7 @@
 """Files, messages and streaming steps."""
 
 import json
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -49,6 +50,17 @@ def test_csv_folder_round_trip(spark):
     assert back.exceptAll(df).count() == 0 and back.count() == 3
 
 
+def test_packed_csv_round_trip(spark, monkeypatch):
+    monkeypatch.setattr(files, "PACKED_ROWS", 2)
+    df = accidents(spark, {}, {"Street": "Elm, \"North\" St"}, {"Weather_Condition": None}, {"City": "X"}, {"City": "Y"})
+    path = scratch_path(spark, "packed")
+    files.write_csv(df.coalesce(1), path, packed=True)
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(parts) == 3 and all(f.endswith(".csv.gz") for f in parts)
+    back = files.read_csv(spark, path, ACCIDENTS)
+    assert back.exceptAll(df).count() == 0 and back.count() == 5
+
+
 def write_text(folder, *files):
     folder.mkdir()
     for i, lines in enumerate(files):
