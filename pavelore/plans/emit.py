@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..fixed import WEATHER_REFRESH_SECONDS
 from ..operators.scenario import scenario_events
 from ..schemas import ROAD_EVENT, WEATHER_INFO
+from ..session import prepare
 from ..sources.files import read_jsonl
 from ..sources.streams import as_messages, each_batch, read_documents, remove, write_batch
 from ..streaming.live import newest_observations, refreshed_roads
@@ -103,7 +104,7 @@ def main() -> None:
         scenarios.add_argument(f"--{name}", required=True)
     args = options.parse_args()
     spark = SparkSession.builder.appName("pavelore-emit").getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare(spark)
     if args.mode == "live":
         updates = read_documents(spark, args.weather, UPDATE)
         settings = topic_options(args.servers, args.topic) if args.format == "kafka" else {}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import RECENT_MINUTES
 from ..operators.report import in_bounds, recent, top_roads
+from ..session import prepare
 from ..sources.files import read_scored
 
 TIME = "weather_timestamp_iso8601"
@@ -48,7 +49,7 @@ def main() -> None:
     options.add_argument("--now", help="ISO time; default: the present")
     args = options.parse_args()
     spark = SparkSession.builder.appName("pavelore-report").getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare(spark)
     now = F.lit(args.now).cast("timestamp") if args.now else F.current_timestamp()
     write_report(read_scored(spark, args.scored), now, args.out)
 

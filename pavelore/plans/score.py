@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.model import keep_invalid, load_model
 from ..schemas import SCORED
+from ..session import prepare
 from ..sources.files import check_contract, ensure_table, replace_partitions
 from ..sources.streams import BATCH, each_batch, read_messages, write_batch
 from ..streaming import scoring
@@ -120,7 +121,7 @@ def main() -> None:
     options.add_argument("--table", help="catalog table over the scored points")
     args = options.parse_args()
     spark = SparkSession.builder.appName("pavelore-score").getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare(spark)
     settings = {"kafka.bootstrap.servers": args.servers} if args.source == "kafka" else {}
     messages = read_messages(spark, args.source, args.place, **settings)
     model = load_model(args.models, args.version)

@@ -466,6 +466,40 @@ def test_scenarios(spark):
     assert "Join" not in events._jdf.queryExecution().toString()
 
 
+def test_scenarios_are_dealt_to_all_tasks(spark):
+    one = spark.range(40).coalesce(1).withColumnRenamed("id", "way_id")
+    rows = scenario.scenario_rows(one)
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1 and rows.count() == 40 * 648
+
+
+def test_packed_files_are_not_taken_for_small_tables(spark):
+    path = scratch_path(spark, "same-text")
+    text = F.lit("a way of one name that many files repeat " * 3)
+    spark.range(400_000).select((F.col("id") % 7).alias("k"), text.alias("text")).write.parquet(path)
+    packed, few = spark.read.parquet(path), spark.range(7).withColumnRenamed("id", "k")
+    assert skew.looks_small(packed) and not skew.fits_broadcast(packed) and skew.fits_broadcast(few)
+    joined = skew.balanced_join(few, packed, ["k"])
+    assert joined.count() == 400_000 and "Broadcast" not in joined._jdf.queryExecution().toString()
+
+
+def test_accidents_of_large_road_tables_are_shuffled_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    hot = [{"Humidity(%)": float(h % 9)} for h in range(60)]
+    clean = cleaning.clean_accidents(accidents(spark, *hot, {"Street": "Side St"}, {"Street": None}).repartition(5))
+    both = road_rows(spark, MAIN, MAIN, (MAIN[0], *MAIN[1:4], "primary"), ("Side St", *MAIN[1:4], "primary"))
+    expected = listed(labels.count_conditions(roads.join_roads(clean, both)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = labels.count_joined_conditions(clean, both)
+        plan = counts._jdf.queryExecution().sparkPlan().toString()
+        assert listed(counts) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # accidents by key, roads by group and by key, the result by condition
+    executed = counts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert executed.count("Exchange hashpartitioning") == 4, plan
+
+
 def test_whitelist_matches_exact_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "lat int, latitude int, lon int")
     assert relational.whitelist(df, ["lon", "lat", "x"]).columns == ["lon", "lat"]
