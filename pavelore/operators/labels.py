@@ -17,6 +17,7 @@ from .skew import fits_broadcast
 
 GRID = 17  # exponents per round of the search
 PIECES = 8  # tasks that the accidents of a street are dealt to
+DEALT_ROWS = 250_000  # accidents that one task counts, about
 
 
 def count_conditions(df: DataFrame, columns: Sequence[str] = CONDITIONS) -> DataFrame:
@@ -38,7 +39,8 @@ def count_joined_conditions(
     first, so a road listed many times never multiplies rows. Small roads are broadcast
     and the accidents shuffle once, for the count. Otherwise the accidents are dealt by key
     once, shrink to counts per key and condition where they lie, and meet the roads there.
-    Every street is dealt in ``PIECES``, as one may have a large share of them.
+    Every street is dealt in ``PIECES``, as one may have a large share of them. The number of
+    tasks follows from the counted accidents, so what one task holds does not grow with them.
     """
     key = list(key)
     at_accident = [c for c in columns if c != "highway"]
@@ -55,10 +57,11 @@ def count_joined_conditions(
         # by the split that a row is read from: it stays with a task that runs again, and a hash of
         # the columns would make the scan's code too long to be compiled
         piece = (F.spark_partition_id() % PIECES).alias("_piece")
+        accidents = accidents.dropna(subset=key)
+        tasks = -(-accidents.count() // DEALT_ROWS)
         per_place = (
-            accidents.dropna(subset=key)
-            .select(*key, *condition, piece)
-            .repartition(*key, "_piece")
+            accidents.select(*key, *condition, piece)
+            .repartition(max(1, tasks), *key, "_piece")
             .groupBy(*key, "_piece", *condition)
             .agg(F.count(F.lit(1)).alias("_accidents"))
         )

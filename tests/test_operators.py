@@ -762,3 +762,21 @@ def test_a_map_rectangle_reads_few_rows(spark, tmp_path):
     want = table.drop("cell").filter("lat BETWEEN 33 AND 34 AND lon BETWEEN 14 AND 15").count()
     assert len(rows) == want > 300
     assert read < 6000
+
+
+def test_tasks_that_count_accidents_follow_from_their_number(spark, monkeypatch):
+    monkeypatch.setattr(labels, "DEALT_ROWS", 4, raising=False)
+    hot = [{"Humidity(%)": float(h % 9)} for h in range(90)]
+    clean = cleaning.clean_accidents(accidents(spark, *hot, {"Street": "Side St"}, {"Street": None}))
+    both = road_rows(spark, MAIN, MAIN, ("Side St", *MAIN[1:4], "primary"))
+    expected = listed(labels.count_conditions(roads.join_roads(clean, both)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = labels.count_joined_conditions(clean, both)
+        assert listed(counts) == expected
+        assert f", {-(-91 // 4)}), REPARTITION_BY_NUM" in counts._jdf.queryExecution().executedPlan().toString()
+        nothing = labels.count_joined_conditions(clean.limit(0), both)
+        assert listed(nothing) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
