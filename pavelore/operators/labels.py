@@ -58,10 +58,11 @@ def count_joined_conditions(
         # the columns would make the scan's code too long to be compiled
         piece = (F.spark_partition_id() % PIECES).alias("_piece")
         accidents = accidents.dropna(subset=key)
-        tasks = -(-accidents.count() // DEALT_ROWS)
+        least = int(accidents.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # also for many roads
+        tasks = max(least, -(-accidents.count() // DEALT_ROWS))
         per_place = (
             accidents.select(*key, *condition, piece)
-            .repartition(max(1, tasks), *key, "_piece")
+            .repartition(tasks, *key, "_piece")
             .groupBy(*key, "_piece", *condition)
             .agg(F.count(F.lit(1)).alias("_accidents"))
         )

@@ -780,3 +780,25 @@ def test_tasks_that_count_accidents_follow_from_their_number(spark, monkeypatch)
         assert listed(nothing) == []
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pairs_of_many_places_are_held_by_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "TASK_PLACES", 10, raising=False)
+    parts, whole, bounded = [], [], nearest._bounded
+
+    def seen(pairs, *rest):
+        held = bounded(pairs, *rest)
+        parts.append(held.rdd.getNumPartitions())
+        return held
+
+    met_with = nearest._met
+    monkeypatch.setattr(nearest, "_bounded", seen)
+    monkeypatch.setattr(nearest, "_met", lambda pairs, marks, *rest: whole.append(marks.columns) or met_with(pairs, marks, *rest))
+    places = spark.range(95).select((F.col("id") / 1e3).alias("lat"), F.lit(1.0).alias("lon"))
+    text = F.struct(F.col("id").alias("dt"), F.array(F.lit("a long text")).alias("texts")).alias("v")
+    marks = spark.range(40).select((F.col("id") * 2 / 1e3).alias("lat"), F.lit(1.0).alias("lon"), text)
+    found = nearest.nearest_marks(places, marks, 500.0, -F.col("v.dt"), "v")
+    got = {round(r.lat * 1e3): r.v.dt for r in found.collect()}
+    assert sorted(got) == list(range(83)) and all(abs(min(i, 78) - 2 * v) <= 1 for i, v in got.items())
+    assert parts[0] == 10 and found.schema["v"].dataType == marks.schema["v"].dataType
+    assert all("v" not in columns for columns in whole)
