@@ -144,6 +144,7 @@ def pack(
                 texts = batch.column(1).to_pylist()
                 ids = encoder.encode(texts)
                 yield from zip(batch.column(0).to_pylist(), (x + end for x in ids))
+            encoder.forget()
 
         def rows(made: list[tuple]) -> pa.RecordBatch:
             key, start, ids, total, sequence, offset = zip(*made)

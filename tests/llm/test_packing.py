@@ -6,6 +6,7 @@ from tokenizers import Tokenizer
 
 from pavelore.llm.packing import Levels, pack
 from pavelore.llm.queries import QUERIES, tokenizer_file
+from pavelore.llm.tokens import KEPT_WORDS
 
 SF = "/root/testdata/sf0.001"
 PATH = tokenizer_file("word_bpe_49k.json")
@@ -63,6 +64,24 @@ def test_null_ids_and_repeated_rows(spark):
     assert tokens == {None: len(direct("a b")), 1: 2 * len(direct("c"))}
 
 
+def test_many_words_are_let_go_when_a_task_ends(spark):
+    made = "concat_ws(' ', transform(sequence(1, 6000), j -> concat('w', id, 'x', j)))"
+    docs = spark.range(20).selectExpr("id AS doc_id", f"{made} AS text")
+    assert pack(docs.coalesce(1), PATH).selectExpr("sum(length) AS n").first().n > KEPT_WORDS
+
+    def held(batches):
+        import pyarrow as pa
+
+        from pavelore.llm.tokens import word_ids
+
+        for _ in batches:
+            encoder = word_ids(PATH)
+            yield pa.RecordBatch.from_pydict({"n": [len(encoder.words) + len(encoder.older)]})
+
+    rows = spark.range(8, numPartitions=8).mapInArrow(held, "n long").collect()
+    assert len(rows) == 8 and max(r.n for r in rows) <= KEPT_WORDS
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pack(docs, PATH).collect() == []
