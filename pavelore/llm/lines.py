@@ -25,6 +25,7 @@ BROADCAST_LINES = 2_000_000  # up to so many counted line numbers of 8 bytes are
 BLOCK = 1024  # bucket rows compared with as many at a time
 MOST_TOGETHER = 20_000  # larger buckets are dealt out in blocks
 PARTNERS = 8  # candidate pairs for each line of a bucket, beyond which lines are compared in rounds
+FEW = 2 * PARTNERS + 1  # rows of a bucket that cannot have more of them
 SHORT = 2_000  # characters of lines whose texts go to the tasks that compare full buckets
 ROUNDS = (1, 16, None)  # earlier lines that a longer line is compared with in each round; the last has the rest
 CACHED_LINES = 500_000
@@ -238,41 +239,86 @@ def line_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def within(a: str, b: str, edits: int) -> bool:
-    """Whether the edit distance is ``edits`` or less, by bit-parallel steps on a band.
+    """Whether the edit distance is ``edits`` or less.
 
-    Of the column of the distance matrix only the band of ``2 * edits + 1`` cells around
-    the diagonal is kept, as two bit vectors of vertical steps up and down. The score
-    follows the lower edge of the band down the diagonal and in the end along the last row.
+    What both begin and end with is left out. Few edits are looked for along the diagonals of
+    the distance matrix, many for the length by bit-parallel steps on its band.
     """
     if abs(len(a) - len(b)) > edits:
         return False
     if len(a) < len(b):
         a, b = b, a
     start, end = _in_common(a, b), len(b)
+    if start == end:
+        return len(a) - end <= edits
     tail = _in_common(a[start:][::-1], b[start:][::-1])
     a, b = a[start : len(a) - tail], b[start : end - tail]
     if not b:
         return len(a) <= edits
+    if edits * edits <= 2 * len(b):
+        return on_diagonals(a, b, edits)
     return banded(a, b, edits) <= edits
 
 
-def _in_common(a: str, b: str) -> int:
-    """How many characters both texts begin with, by blocks of doubled, then halved lengths."""
-    most, done, step = min(len(a), len(b)), 0, 16
-    while done + step <= most and a[done : done + step] == b[done : done + step]:
+def on_diagonals(a: str, b: str, edits: int) -> bool:
+    """Whether the edit distance is ``edits`` or less; ``a`` is as long as ``b`` or longer.
+
+    After each edit the farthest row that each diagonal reaches follows from those of its
+    neighbours, and from there as far as both texts go on alike. Diagonals from which the
+    edits left do not lead to the last one are left out.
+    """
+    n, m = len(a), len(b)
+    apart = n - m
+    if apart > edits:
+        return False
+    nowhere = -2 * n - 2
+    far = [nowhere] * (2 * edits + 3)  # row by diagonal, from -edits - 1
+    middle = edits + 1
+    far[middle] = _alike_from(a, 0, b, 0, m)
+    if not apart and far[middle] == n:
+        return True
+    for edit in range(1, edits + 1):
+        left = edits - edit
+        before = far.copy()
+        for d in range(max(-edit, apart - left), min(edit, apart + left) + 1):
+            at = d + middle
+            row, last = max(before[at] + 1, before[at - 1] + 1, before[at + 1]), min(n, m + d)
+            if row < last:
+                row += _alike_from(a, row, b, row - d, last - row)
+            far[at] = row = min(row, last)
+            if d == apart and row == n:
+                return True
+    return False
+
+
+def _alike_from(a: str, i: int, b: str, j: int, most: int) -> int:
+    """How many characters are alike from two places on, up to ``most``, by blocks of doubled, then halved lengths."""
+    if a[i] != b[j]:
+        return 0
+    done, step = 1, 16
+    while done + step <= most and a[i + done : i + done + step] == b[j + done : j + done + step]:
         done += step
         step *= 2
     while step > 1:
         step //= 2
-        if done + step <= most and a[done : done + step] == b[done : done + step]:
+        if done + step <= most and a[i + done : i + done + step] == b[j + done : j + done + step]:
             done += step
-    while done < most and a[done] == b[done]:
-        done += 1
     return done
 
 
+def _in_common(a: str, b: str) -> int:
+    """How many characters both texts begin with."""
+    most = min(len(a), len(b))
+    return _alike_from(a, 0, b, 0, most) if most else 0
+
+
 def banded(a: str, b: str, edits: int) -> int:
-    """Edit distance of ``a`` and ``b`` if it is ``edits`` or less, else some larger number."""
+    """Edit distance of ``a`` and ``b`` if it is ``edits`` or less, else some larger number.
+
+    Of the column of the distance matrix only the band of ``2 * edits + 1`` cells around
+    the diagonal is kept, as two bit vectors of vertical steps up and down. The score
+    follows the lower edge of the band down the diagonal and in the end along the last row.
+    """
     rows, width = len(a), 2 * edits + 1
     full = (1 << width) - 1
     where: dict[str, int] = {}
@@ -380,6 +426,26 @@ def _alike(lines: np.ndarray, marks: np.ndarray, edits: int) -> tuple[np.ndarray
     return tuple(map(np.concatenate, zip(*found))) if found else (lines[:0], lines[:0])
 
 
+def _alike_of_small(
+    starts: np.ndarray, ends: np.ndarray, lines: np.ndarray, marks: np.ndarray, edits: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """What ``_alike`` finds in buckets of ``FEW`` rows at most, all of one size at once; pairs may repeat."""
+    sizes = ends - starts
+    of_words = marks[starts] & np.uint64(INDEXED - 1) > np.uint64(COUNTS)
+    for size in np.unique(sizes).tolist():
+        one, other = np.triu_indices(size, 1)
+        for kind in (True, False):
+            first = starts[(sizes == size) & (of_words == kind)]
+            if not len(first):
+                continue
+            a, b = (first[:, None] + one).ravel(), (first[:, None] + other).ravel()
+            differ = lines[a] != lines[b]
+            a, b = a[differ], b[differ]
+            if len(a):
+                alike, _ = _may_be_near(marks[a], marks[b], edits)
+                yield lines[a[alike]], lines[b[alike]]
+
+
 def bucket_pairs(rows: DataFrame, edits: int, most: int) -> DataFrame:
     """Candidate pairs ``a < b`` of the rows that share a key.
 
@@ -418,7 +484,13 @@ def bucket_pairs(rows: DataFrame, edits: int, most: int) -> DataFrame:
                 several &= np.maximum.reduceat(marks[done], starts) >= INDEXED
                 several |= key[starts] == crowded if crowded is not None else False
                 starts, ends_ = starts[several], ends[several]
-                for start, end in zip(starts.tolist(), ends_.tolist()):
+                small = ends_ - starts <= min(most, FEW)
+                if crowded is not None:
+                    small &= key[starts] != crowded
+                if small.any():
+                    found = [x for x in _alike_of_small(starts[small], ends_[small], line, marks, edits) if len(x[0])]
+                    size = sum(len(x[0]) for x in found)
+                for start, end in zip(starts[~small].tolist(), ends_[~small].tolist()):
                     own = slice(start, end)
                     alike = None
                     if key[start] != crowded and end - start <= most:

@@ -241,3 +241,50 @@ def test_many_variants_of_a_line(spark, monkeypatch, short):
 
     assert got == [i for i in range(5000) if not any(apart(i, j) for j in range(i))]
     assert sum(made) < (5000 if short == 2000 else 5000 * 200)
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2, 3, 5])
+def test_few_edits_are_found_along_diagonals(edits):
+    rng = random.Random(edits)
+    for _ in range(300):
+        a = "".join(rng.choice("ab") for _ in range(rng.randint(1, 25)))
+        b = change(rng, a, rng.randint(0, edits + 2), "ab") or "a"
+        want = distance(a, b) <= edits
+        if len(b) > len(a):
+            a, b = b, a
+        assert lines.on_diagonals(a, b, edits) == lines.on_diagonals([*a], [*b], edits) == want
+
+
+def test_few_edits_take_no_step_per_character(monkeypatch):
+    monkeypatch.setattr(lines, "banded", None)
+    rng = random.Random(1)
+    same = "".join(rng.choice("ab ") for _ in range(2000))
+    assert lines.within("x" + same + "y", "u" + same + "v", 2) and lines.within("x" + same, same + "y", 2)
+    assert not lines.within("xx" + same + "y", "u" + same + "v", 2)
+    assert lines.within(["x", *same, "y"], ["u", *same], 2)
+
+
+def test_small_buckets_give_the_same_pairs_at_once():
+    rng = np.random.default_rng(5)
+    for of_words in (0, 40 << 32):
+        sizes = rng.integers(2, lines.FEW + 1, 400)
+        ends = np.cumsum(sizes)
+        name = rng.integers(0, 12, ends[-1]).astype(np.uint64)  # a line may come twice in a bucket
+        counts = rng.integers(0, 1 << 4, 12).astype(np.uint64) | np.uint64(of_words)
+        marks = counts[name] | np.where(rng.random(len(name)) < 0.3, np.uint64(lines.INDEXED), np.uint64(0))
+        got = {
+            (min(p), max(p)) for x, y in lines._alike_of_small(ends - sizes, ends, name, marks, 1)
+            for p in zip(x.tolist(), y.tolist())
+        }
+        want = set()
+        for start, end in zip((ends - sizes).tolist(), ends.tolist()):
+            x, y = lines._alike(name[start:end], marks[start:end], 1)
+            want |= {(min(p), max(p)) for p in zip(x.tolist(), y.tolist())}
+        assert got == want and want
+
+
+def test_small_buckets_are_not_taken_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(lines, "_alike", None)
+    rows = corpus(20)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    assert {r.doc_id: r.removed for r in lines.deduplicate_lines(docs).collect()} == brute(rows, 2)
