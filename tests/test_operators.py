@@ -694,6 +694,30 @@ def test_segments_near_equal_brute_force(spark, limit):
     assert len(found) > 300
 
 
+@pytest.mark.parametrize("limit", [200_000, 9])
+def test_way_lines_are_found_where_places_and_lines_meet(spark, monkeypatch, limit):
+    """Rows keep their columns and copies, crowded blocks are dealt to groups, and no pair is shuffled."""
+    monkeypatch.setattr(nearby, "PLACES_TOGETHER", 7)
+    rng = random.Random(5)
+    near = lambda: (37.0 + rng.uniform(0, 0.05), 15.0 + rng.uniform(0, 0.05))
+    spots = [near() for _ in range(60)]
+    points = [(i, *spots[i % 60 if i < 80 else 0]) for i in range(110)] + [(3, *spots[3]), (None, *spots[4]), (200, None, 15.0)]
+    ways = [(w, *near(), *near()) for w in range(25) for _ in range(3)]
+    df = spark.createDataFrame(points, "address_id long, lat double, lon double")
+    segments = spark.createDataFrame(ways + ways[:5], "way_id long, lat1 double, lon1 double, lat2 double, lon2 double")
+    beside = geo.segment_distance_m(*map(F.col, ("lat", "lon", "lat1", "lon1", "lat2", "lon2"))) <= 600
+    found = df.select("lat", "lon").distinct().crossJoin(segments).filter(beside).select("lat", "lon", "way_id").distinct()
+    want = df.join(found, ["lat", "lon"]).select("address_id", "lat", "lon", "way_id")
+    order = lambda rows: sorted(map(tuple, rows), key=repr)
+    got = nearby.way_lines_near(df, segments)
+    assert got.columns == want.columns
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    want = order(want.collect())
+    assert order(got.collect()) == want and len(want) > 500
+    tags = nearby.segments_near(df, segments.withColumnRenamed("way_id", "tag"), 600.0, pair_limit=limit)
+    assert order(tags.collect()) == sorted({r[1:] for r in want}, key=repr)
+
+
 @pytest.mark.parametrize("together", [2000, 3])
 def test_names_by_cell_equal_all_pairs(spark, together):
     rng = random.Random(2)
