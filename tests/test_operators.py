@@ -718,6 +718,42 @@ def test_way_lines_are_found_where_places_and_lines_meet(spark, monkeypatch, lim
     assert order(tags.collect()) == sorted({r[1:] for r in want}, key=repr)
 
 
+def many_names(spark):
+    """Streets and ways of alike names, all near each other."""
+    rng = random.Random(3)
+    near = lambda: (37.0 + rng.uniform(0, 0.008), 15.0 + rng.uniform(0, 0.008))
+    text = lambda i: f"{'North' if i % 2 else 'South'} Main Road {i % 13}"
+    places = [(text(i), *near()) for i in range(40)] * 2
+    ways = [(i, text(i) if i % 7 else None, "x") for i in range(60)] + [(5, "Main Road", "x")]
+    lines = [(i, *near(), *near()) for i in range(60) for _ in range(2)]
+    return (
+        spark.createDataFrame(places, "street string, lat double, lon double"),
+        spark.createDataFrame(ways, "way_id long, name string, highway string"),
+        spark.createDataFrame(lines, "way_id long, lat1 double, lon1 double, lat2 double, lon2 double"),
+    )
+
+
+@pytest.mark.parametrize("keep", ["best", 3])
+def test_ways_are_chosen_where_names_are_scored(spark, monkeypatch, keep):
+    places, ways, lines = many_names(spark)
+    names = ["street", "lat", "lon", "name", "score", "way_id"]
+    scored = materialize(matching.scored_candidates(places, ways, lines, 0))
+    beside = geo.segment_distance_m(*map(F.col, ("lat", "lon", "lat1", "lon1", "lat2", "lon2"))) <= 600
+    near = places.distinct().crossJoin(lines).filter(beside).select("street", "lat", "lon", "way_id").distinct()
+    near = near.join(nearby.named_ways(ways), "way_id").select("street", "lat", "lon", "name", "way_id")
+    assert listed(scored.select(*near.columns)) == listed(near)
+    assert {(r.street, r.name): r.score for r in matching.score_names(near, 0).collect()} == {
+        (r.street, r.name): r.score for r in scored.collect()}
+    if keep == "best":
+        want = matching.best_names(scored)
+    else:
+        want = matching.top_candidates(scored, ["street", "lat", "lon"], keep)
+    monkeypatch.setattr(nearby, "PLACES_TOGETHER", 6)
+    got = matching.scored_candidates(places, ways, lines, 0, keep=keep)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    assert listed(got.select(*names)) == listed(want.select(*names))
+
+
 @pytest.mark.parametrize("together", [2000, 3])
 def test_names_by_cell_equal_all_pairs(spark, together):
     rng = random.Random(2)
