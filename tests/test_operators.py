@@ -754,6 +754,31 @@ def test_ways_are_chosen_where_names_are_scored(spark, monkeypatch, keep):
     assert listed(got.select(*names)) == listed(want.select(*names))
 
 
+def test_matching_addresses_writes_no_pairs(spark, monkeypatch):
+    """What is checkpointed grows with the addresses, not with the ways of alike names around them."""
+    from pavelore.plans import enrich
+
+    written = []
+
+    def counted(df):
+        df = materialize(df)
+        written.append(df.count())
+        return df
+
+    for module in (enrich, matching):
+        monkeypatch.setattr(module, "materialize", counted)
+    ways = [(i, f"Main Road {i}", "x", [i]) for i in range(40)]
+    nodes = [(i, north(i), 15.0) for i in range(40)]
+    addresses = [(f"Main Road {i}", f"Main Road {i}, {i % 2}") for i in range(30)]
+    tables = enrich.RoadTables(
+        spark.createDataFrame([(a, 1, north(100), 15.0) for _, a in addresses], "address string, rank int, lat double, lon double"),
+        spark.createDataFrame(ways, WAYS), spark.createDataFrame(nodes, NODES), spark.createDataFrame([], POIS))
+    matched, skipped = enrich.match_addresses(spark.createDataFrame(addresses * 2, "street string, address string"), tables)
+    assert listed(matched.select("address", "way_id")) == sorted((a, int(s.split()[-1])) for s, a in addresses)
+    assert skipped.count() == 0
+    assert sum(written) <= 4 * len(addresses)
+
+
 @pytest.mark.parametrize("together", [2000, 3])
 def test_names_by_cell_equal_all_pairs(spark, together):
     rng = random.Random(2)
