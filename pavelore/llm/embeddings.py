@@ -17,17 +17,22 @@ from .common import connected_components
 LEAST = 0.95
 SHARDS = 4  # at least
 SHARD_VECTORS = 50_000  # different vectors of a graph, about
-ASKED_TOGETHER = 8_192  # queries of a task, about
+ASKED_TOGETHER = 8_192  # queries that ask a graph at a time
+GROUPS = 24  # of a graph and the queries that ask it, at least where there are queries enough
+GRAPH_ROW = 1 << 20  # bytes of a graph in one row
 BEAM = 48
-AUDITED = 256  # queries of a task that are compared with all vectors of its shard
+AUDITED = 256  # queries asked at a time that are compared with all vectors of its shard
 RECALL = 0.99  # of their links; below it the beam is doubled
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Vectors of length one, in double precision."""
-    vectors = vectors.astype(np.float64)
-    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = vectors.astype(np.float64)  # a copy; its rows are changed a part at a time
+    for at in range(0, len(vectors), 4096):
+        some = vectors[at : at + 4096]
+        some /= np.abs(some).max(axis=1, keepdims=True)
+        some /= np.linalg.norm(some, axis=1, keepdims=True)
+    return vectors
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -72,7 +77,7 @@ def ask(graph: hnsw.Graph, exact: np.ndarray, queries: np.ndarray, least: float,
     vectors of the shard. Once the beam is as wide as the shard the walk sees all it reaches.
     """
     audited = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
-    true = [np.flatnonzero(row >= least) for row in queries[audited] @ exact.T]
+    true = [np.flatnonzero(row >= least) for at in range(0, len(audited), 16) for row in queries[audited[at : at + 16]] @ exact.T]
     wanted = sum(map(len, true))
     while True:
         loose = hnsw.search(graph, queries.astype(np.float32), least - 1e-4, beam)
@@ -89,9 +94,10 @@ def near_vectors(vectors: DataFrame, least: float = LEAST, id_col: str = "vec_id
     Vectors with a cosine of ``least`` or more are linked; a component is named by its
     smallest id, whose row is kept. Equal vectors are one node with a weight, so a group of
     copies costs no more than one of them. Nodes are dealt to shards by a hash, each
-    with a graph of its own. All nodes ask every shard, in blocks. A block gives back
-    the number of links per node and only so many links as join its components, not
-    all pairs of a group; so what is shuffled grows with the nodes.
+    with a graph of its own. All nodes ask every shard, as many nodes as a shard has (fewer where tasks
+    would be few) by a copy of its graph, in blocks. They give back
+    the number of links per node and only so many links as join their components, not
+    all pairs of a group. A graph travels in rows of ``GRAPH_ROW`` bytes.
 
     A vector that is null, empty, zero or has a null or non-finite component is linked with
     nothing, as is a row without id (which has no component and is kept). Vectors of
@@ -109,26 +115,29 @@ def near_vectors(vectors: DataFrame, least: float = LEAST, id_col: str = "vec_id
         classes.select("x", "y", "weight", F.col("first.vec_id").alias("node"), "first.embedding", F.size("first.embedding").alias("width"))
     )
     n = classes.count()
-    shards, pieces = max(SHARDS, -(-n // SHARD_VECTORS)), max(1, -(-n // ASKED_TOGETHER))
+    shards = max(SHARDS, -(-n // SHARD_VECTORS))
+    pieces = max(1, -(-n // max(SHARD_VECTORS, ASKED_TOGETHER)), min(-(-n // ASKED_TOGETHER), -(-GROUPS // shards)))
+    together, row_bytes = ASKED_TOGETHER, GRAPH_ROW
     part = lambda seed, parts: F.pmod(F.xxhash64("x", "y", F.lit(seed)), F.lit(parts)).cast("int")
     node_type = classes.schema["node"].dataType
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         nodes, weight = (table.column(c).to_numpy() for c in ("node", "weight"))
-        packed = pack_graph(_matrix(table), node=nodes, weight=weight)
-        return pa.table({"width": table.column("width")[:1], "shard": table.column("shard")[:1], "packed": [packed]})
+        packed = memoryview(pack_graph(_matrix(table), node=nodes, weight=weight))
+        rows = [packed[at : at + row_bytes] for at in range(0, len(packed), row_bytes)]
+        own = [pa.repeat(table.column(c)[0], len(rows)) for c in ("width", "shard")]
+        return pa.table([*own, pa.array(range(len(rows)), pa.int32()), pa.array(map(bytes, rows), pa.binary())], names=["width", "shard", "seq", "packed"])
 
     dealt = classes.withColumn("shard", part(1, shards))
-    graphs = materialize(dealt.groupBy("width", "shard").applyInArrow(build, "width int, shard int, packed binary"))
+    graphs = materialize(dealt.groupBy("width", "shard").applyInArrow(build, "width int, shard int, seq int, packed binary"))
 
     def links(asking: pa.Table, shard: pa.Table) -> pa.Table:
         if not len(asking) or not len(shard):
             return pa.table({"a": pa.nulls(0, kind), "b": pa.nulls(0, kind), "n": pa.nulls(0, pa.int64())})
         asking = asking.sort_by("node")
-        nodes = asking.column("node").to_numpy()
-        graph, exact, arrays = unpack_graph(shard.column("packed")[0].as_py())
-        found = ask(graph, exact, unit(_matrix(asking)), least)
+        nodes, vectors = asking.column("node").to_numpy(), _matrix(asking)
+        graph, exact, arrays = unpack_graph(b"".join(shard.sort_by("seq").column("packed").to_pylist()))
         parent: dict = {}
 
         def root(x):
@@ -137,16 +146,18 @@ def near_vectors(vectors: DataFrame, least: float = LEAST, id_col: str = "vec_id
             return x
 
         a, b, counts = [], [], []
-        for node, near in zip(nodes.tolist(), found):
-            other = arrays["node"][near]
-            near = near[other != node]
-            counts.append(int(arrays["weight"][near].sum()))
-            for far in arrays["node"][near].tolist():
-                x, y = root(node), root(far)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-                    a.append(node)
-                    b.append(far)
+        for at in range(0, len(nodes), together):
+            found = ask(graph, exact, unit(vectors[at : at + together]), least)
+            for node, near in zip(nodes[at : at + together].tolist(), found):
+                other = arrays["node"][near]
+                near = near[other != node]
+                counts.append(int(arrays["weight"][near].sum()))
+                for far in arrays["node"][near].tolist():
+                    x, y = root(node), root(far)
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+                        a.append(node)
+                        b.append(far)
         joined = [*nodes.tolist(), *a], [None] * len(nodes) + b, counts + [None] * len(a)
         return pa.table([pa.array(joined[0], kind), pa.array(joined[1], kind), pa.array(joined[2], pa.int64())], names=["a", "b", "n"])
 

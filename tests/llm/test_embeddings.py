@@ -3,6 +3,7 @@ import pytest
 
 from pavelore.llm import embeddings, hnsw
 from pavelore.llm.queries import QUERIES
+from pavelore.session import materialize
 
 SCHEMA = "vec_id long, embedding array<float>, node string, label int"
 
@@ -55,6 +56,25 @@ def test_links_equal_brute_force(spark, monkeypatch, shard, asked):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_graphs_travel_in_small_rows(spark, monkeypatch):
+    """No row holds a whole graph, and a graph is copied for many blocks of queries at once."""
+    rows = []
+
+    def kept(df):
+        df = materialize(df)
+        if "packed" in df.columns:
+            rows.extend(df.selectExpr("shard", "seq", "length(packed) AS n").collect())
+        return df
+
+    for name, value in (("materialize", kept), ("GRAPH_ROW", 5000), ("ASKED_TOGETHER", 10), ("GROUPS", 8)):
+        monkeypatch.setattr(embeddings, name, value)
+    some = corpus(100)
+    docs = spark.createDataFrame([(*r, "x", 1) for r in some], SCHEMA)
+    got = embeddings.near_vectors(docs)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == brute(some)
+    assert len(rows) > 2 * embeddings.SHARDS and max(r.n for r in rows) == 5000
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [1.0, nan]), (6, [inf, 1.0]), (7, [1.0, 1.0]),
